@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wayfare.operators import sessions
+from wayfare.operators import network, sessions
 from wayfare.plans import stages
-from wayfare.session import cut_lineage
+from wayfare.session import cut_lineage, scratch_path
+from wayfare.sources.sessions import write_daily
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -285,6 +286,168 @@ parsed AS (
 )
 
 
-def sql(prefix: str, body: str) -> str:
-    """A whole statement from a chain of common tables and its last select."""
-    return "WITH " + prefix.strip().rstrip(",") + "\n" + body
+def nested_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hits of ``event_hits`` as nested sessions."""
+
+    def dimensions(*pairs):
+        entries = [
+            F.when(
+                F.col(name).isNotNull(),
+                F.struct(F.lit(index).alias("index"), F.col(name).alias("value")),
+            )
+            for index, name in pairs
+        ]
+        return F.filter(F.array(*entries), lambda d: d.isNotNull())
+
+    hit = F.struct(
+        F.col("hitNumber").cast("int").alias("hitNumber"),
+        "type",
+        F.struct("pagePath").alias("page"),
+        F.struct("eventCategory", "eventAction").alias("eventInfo"),
+        dimensions((59, "taxons"), (4, "contentId"), (2, "documentType")).alias("customDimensions"),
+    )
+    keys = ["fullVisitorId", "visitId", "visitNumber", "visitStartTime", "date"]
+    head = ["deviceCategory", "trafficSource", "trafficMedium", "abVariant"]
+    return (
+        numbered_event_hits(spark, sf_dir)
+        .groupBy(*keys, *head)
+        .agg(F.collect_list(hit).alias("hits"))
+        .select(
+            *keys[:4],
+            F.struct("deviceCategory").alias("device"),
+            F.struct(
+                F.col("trafficSource").alias("source"), F.col("trafficMedium").alias("medium")
+            ).alias("trafficSource"),
+            dimensions((65, "abVariant")).alias("customDimensions"),
+            "hits",
+            "date",
+        )
+    )
+
+
+def written_sessions(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the nested sessions, one folder per day."""
+    path = scratch_path(spark, "sessions")
+    write_daily(nested_sessions(spark, sf_dir), path)
+    return path
+
+
+def page_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search pages and ``/p0`` help to find, the rest are things."""
+    page = F.col("pagePath")
+    finding = page.startswith("/search") | (page == "/p0")
+    return event_hits(spark, sf_dir).select(
+        "pagePath", finding.cast("int").alias("is_finding")
+    ).distinct()
+
+
+PAGE_TYPES_SQL = """
+page_types AS (
+  SELECT DISTINCT pagePath, CAST(starts_with(pagePath, '/search') OR pagePath = '/p0' AS INTEGER) AS is_finding FROM hits
+),
+"""
+
+
+def taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as a tree of four children each, with unknown parents and one circle."""
+    key = F.col("p_partkey")
+    parent = (
+        F.when(key == 0, F.lit(None))
+        .when(key % 97 == 5, "missing")
+        .when(key == 300, "t1201")
+        .otherwise(F.concat(F.lit("t"), F.expr("p_partkey DIV 4").cast("string")))
+    )
+    return table(spark, sf_dir, "part").select(
+        F.concat(F.lit("t"), key.cast("string")).alias("content_id"),
+        F.concat("p_name", F.lit(" "), (key % 50).cast("string")).alias("title"),
+        F.concat(F.lit("/"), F.lower("p_type"), F.lit("/"), key.cast("string")).alias("base_path"),
+        parent.alias("parent_content_id"),
+    )
+
+
+TAXONOMY_SQL = """
+taxonomy AS (
+  SELECT 't' || p_partkey AS content_id, p_name || ' ' || (p_partkey % 50) AS title,
+         '/' || lower(p_type) || '/' || p_partkey AS base_path,
+         CASE WHEN p_partkey = 0 THEN NULL WHEN p_partkey % 97 = 5 THEN 'missing'
+              WHEN p_partkey = 300 THEN 't1201' ELSE 't' || (p_partkey // 4) END AS parent_content_id
+  FROM part
+),
+"""
+
+ANCESTORS_SQL = (
+    TAXONOMY_SQL
+    + """
+chain AS (
+  SELECT content_id, 0 AS distance, content_id AS ancestor_id, parent_content_id AS ancestor_parent_id, title, [content_id] AS path FROM taxonomy
+  UNION ALL
+  SELECT c.content_id, c.distance + 1, t.content_id, t.parent_content_id, t.title, list_append(c.path, t.content_id)
+  FROM chain c JOIN taxonomy t ON t.content_id = c.ancestor_parent_id WHERE NOT list_contains(c.path, t.content_id)
+),
+anc AS (
+  SELECT content_id, CAST(max(distance) OVER (PARTITION BY content_id) - distance + 1 AS INTEGER) AS level,
+         ancestor_id, ancestor_parent_id, title
+  FROM chain WHERE distance > 0
+),
+"""
+)
+
+
+def adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of raw pages: path of the page, link target, first part of the path."""
+    path = F.regexp_extract("url", "^[a-z]+://[^/]+(/[^?#]*)", 1)
+    return (
+        table(spark, sf_dir, "pages")
+        .select(
+            path.alias("source_base_path"),
+            F.explode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), 1)).alias(
+                "sink_base_path"
+            ),
+        )
+        .select(
+            "*", F.regexp_extract("source_base_path", "^/([^/]*)", 1).alias("link_type")
+        )
+    )
+
+
+ADJACENCY_SQL = """
+adjacency AS (
+  SELECT source_base_path, sink_base_path, regexp_extract(source_base_path, '^/([^/]*)', 1) AS link_type
+  FROM (SELECT regexp_extract(url, '^[a-z]+://[^/]+(/[^?#]*)', 1) AS source_base_path,
+               unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS sink_base_path FROM pages)
+),
+"""
+
+
+def link_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structural network, weighted by the number of equal links."""
+    return (
+        adjacency(spark, sf_dir)
+        .groupBy(F.col("source_base_path").alias("src"), F.col("sink_base_path").alias("dst"))
+        .agg(F.count("*").alias("weight"))
+    )
+
+
+LINK_EDGES_SQL = (
+    ADJACENCY_SQL
+    + """
+edges AS (SELECT source_base_path AS src, sink_base_path AS dst, count(*) AS weight FROM adjacency GROUP BY ALL),
+"""
+)
+
+
+def journey_edges(spark: SparkSession, sf_dir: str, delooped: bool = False) -> DataFrame:
+    return network.edge_weights(parsed(spark, sf_dir), delooped)
+
+
+JOURNEY_EDGES_SQL = (
+    PARSED_SQL
+    + """
+per_seq AS (SELECT PageSequence AS sequence, CAST(sum(Occurrences) AS BIGINT) AS occ, min(pl) AS pages FROM parsed GROUP BY ALL),
+edges AS (
+  SELECT src, dst, CAST(sum(occ) AS BIGINT) AS weight FROM (
+    SELECT occ, unnest(list_transform(pages[2:], lambda p, i: {'src': pages[i], 'dst': p}), recursive := true) FROM per_seq)
+  GROUP BY ALL
+),
+"""
+)

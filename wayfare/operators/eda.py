@@ -129,10 +129,8 @@ def value_shares(df: DataFrame, by: str, weight: str = "Occurrences") -> DataFra
 
 
 def _with_share(groups: DataFrame, value: str, name: str, scale: float) -> DataFrame:
-    total = groups.agg(F.sum(value).cast("double").alias("_total"))
-    return groups.crossJoin(total).select(
-        *groups.columns, F.try_divide(F.col(value) * F.lit(scale), F.col("_total")).alias(name)
-    )
+    total = groups.agg(F.sum(value).cast("double").alias("total")).scalar()
+    return groups.withColumn(name, F.try_divide(F.col(value) * F.lit(scale), total))
 
 
 def _hash_uniform(key: str, seed: int) -> Column:
@@ -301,12 +299,13 @@ def concentration(visits: DataFrame, shares: list[float]) -> DataFrame:
         F.sum("pages").over(down).alias("pages_upto"),
         F.sum(F.col("visits") * F.col("pages")).over(down).alias("visits_upto"),
     )
-    totals = visits.agg(
-        F.count("*").alias("n_pages"), F.coalesce(F.sum("visits"), F.lit(0)).alias("n_visits")
+    n_pages, n_visits = F.max("pages_upto").over(W.partitionBy()), F.max("visits_upto").over(
+        W.partitionBy()
     )
-    wanted = totals.select(
-        "n_pages",
-        "n_visits",
+    wanted = running.select(
+        "*",
+        n_pages.alias("n_pages"),
+        n_visits.alias("n_visits"),
         F.explode(F.array(*[F.lit(s) for s in shares])).alias("share_of_pages"),
     ).withColumn("top", F.floor(F.col("n_pages") * F.col("share_of_pages")).cast("bigint"))
     # The level in which the top pages end: all above it whole, of it what is left.
@@ -315,10 +314,8 @@ def concentration(visits: DataFrame, shares: list[float]) -> DataFrame:
         F.col("pages_upto") - F.col("pages") < F.col("top"),
         F.col("visits") * (F.col("top") - F.col("pages_upto") + F.col("pages")),
     )
-    # As many rows as wanted shares meet the levels.
     return (
-        running.crossJoin(wanted)
-        .groupBy("share_of_pages", "top", "n_visits")
+        wanted.groupBy("share_of_pages", "top", "n_visits")
         .agg(F.coalesce(F.sum(F.coalesce(whole, part)), F.lit(0)).alias("visits"))
         .select(
             "share_of_pages",
@@ -383,24 +380,17 @@ def sessions_per_sequence(df: DataFrame, sequence: str = "PageSequence") -> Data
 
 def top_and_others(per_sequence: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` most frequent sequences with their percentage, the rest as ``Others``."""
-    total = per_sequence.agg(F.sum("journey_occurrences").alias("total"))
+    total = per_sequence.agg(F.sum("journey_occurrences").alias("total")).scalar()
     top = per_sequence.orderBy(F.desc("journey_occurrences"), "PageSequence").limit(n)
     others = (
         top.agg(F.coalesce(F.sum("journey_occurrences"), F.lit(0)).alias("in_top"))
-        .crossJoin(total)
         .select(
             F.lit("Others").alias("PageSequence"),
-            (F.col("total") - F.col("in_top")).alias("journey_occurrences"),
+            (total - F.col("in_top")).alias("journey_occurrences"),
         )
     )
-    return (
-        top.unionByName(others)
-        .crossJoin(total)
-        .select(
-            "PageSequence",
-            "journey_occurrences",
-            (F.col("journey_occurrences") * 100.0 / F.col("total")).cast("double").alias("percent"),
-        )
+    return top.unionByName(others).withColumn(
+        "percent", (F.col("journey_occurrences") * 100.0 / total).cast("double")
     )
 
 

@@ -101,11 +101,11 @@ def density(edges: DataFrame, is_directed: bool) -> DataFrame:
 
 def degree_centrality(edges: DataFrame) -> DataFrame:
     per_node = degrees(edges)
-    total = per_node.agg(F.count("*").alias("n"))
-    return per_node.crossJoin(total).select(
+    others = per_node.agg((F.count("*") - 1).alias("n")).scalar()
+    return per_node.select(
         "node",
         "degree",
-        F.try_divide(F.col("degree").cast("double"), F.col("n") - 1).alias("degree_centrality"),
+        F.try_divide(F.col("degree").cast("double"), others).alias("degree_centrality"),
     )
 
 
@@ -163,7 +163,7 @@ def transitivity(edges: DataFrame) -> DataFrame:
             F.sum(F.expr("degree * (degree - 1) DIV 2")), F.lit(0)
         ).alias("triples")
     )
-    return triangles.crossJoin(triples).select(
+    return triangles.withColumn("triples", triples.scalar()).select(
         F.col("triangles").cast("bigint"),
         F.col("triples").cast("bigint"),
         F.coalesce(

@@ -250,11 +250,10 @@ def _centrality(
         )
         parts = part if parts is None else parts.union(part)
     total = parts.groupBy("node").agg(F.sum("value").alias("value"))
-    n = nodes.agg(F.count("*").cast("double").alias("n"))
-    scaled = F.when(
-        F.col("n") > 2, F.coalesce("value", F.lit(0.0)) / ((F.col("n") - 1) * (F.col("n") - 2))
-    ).otherwise(F.coalesce("value", F.lit(0.0)))
-    return nodes.join(total, "node", "left").crossJoin(n).select("node", scaled.alias(name))
+    n = float(nodes.count())
+    scale = (n - 1) * (n - 2) if n > 2 else 1.0
+    scaled = F.coalesce("value", F.lit(0.0)) / scale
+    return nodes.join(total, "node", "left").select("node", scaled.alias(name))
 
 
 def betweenness(
@@ -317,18 +316,14 @@ def eigenvector_centrality(
                 F.col("x").alias("before"),
             )
         written = cut_lineage(vector)
-        norms = written.agg(
-            F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"),
-            F.sqrt(F.sum(F.col("before") * F.col("before"))).alias("norm_before"),
-        )
-        scaled = cut_lineage(
-            written.crossJoin(norms).select(
-                "node",
-                (F.col("x") / F.col("norm")).alias("x"),
-                F.abs(F.col("x") / F.col("norm") - F.col("before") / F.col("norm_before")).alias(
-                    "change"
-                ),
-            )
+        norm, norm_before = written.agg(
+            F.sqrt(F.sum(F.col("x") * F.col("x"))),
+            F.sqrt(F.sum(F.col("before") * F.col("before"))),
+        ).first()
+        scaled = written.select(
+            "node",
+            (F.col("x") / norm).alias("x"),
+            F.abs(F.col("x") / norm - F.col("before") / norm_before).alias("change"),
         )
         vector = scaled.select("node", "x")
         if scaled.agg(F.sum("change")).first()[0] < n * tolerance:

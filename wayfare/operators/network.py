@@ -94,9 +94,8 @@ def attach_ends(edges: DataFrame, nodes: DataFrame, with_taxons: bool = False) -
 
 def network_totals(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """One row: number of nodes and edges."""
-    return nodes.agg(F.count("*").alias("n_nodes")).crossJoin(
-        edges.agg(F.count("*").alias("n_edges"))
-    )
+    n_edges = edges.agg(F.count("*").alias("n_edges")).scalar()
+    return nodes.agg(F.count("*").alias("n_nodes")).select("n_nodes", n_edges.alias("n_edges"))
 
 
 def adjacency_nodes(adjacency: DataFrame, start: int = 0) -> DataFrame:
