@@ -1,4 +1,4 @@
 """Loads every group of queries."""
 
-from catalog import extract  # noqa: F401
+from catalog import extract, merging, networks, parsing  # noqa: F401
 from catalog.registry import ORACLES, QUERIES  # noqa: F401

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from catalog import inputs as I
 from catalog.registry import register
-from wayfare.functions import parsing
 from wayfare.operators import network, pagetypes, report, taxonomy
 from wayfare.operators import sessions as S
 from wayfare.plans import stages
@@ -296,8 +295,6 @@ def io15(spark, sf):
     ).csv(path)
 
 
-# The SQL of this report stands with the other reports.
-IO15 = io15
 
 register(
     "io16_write_journeys_naming_taxon",
@@ -536,4 +533,3 @@ register(
         FROM hits {CONTENT_WHERE}""",
 )
 
-__all__ = ["IO15", "parsing"]
