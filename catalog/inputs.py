@@ -118,8 +118,10 @@ hits AS (
 """
 
 
-def order_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_hits(spark: SparkSession, sf_dir: str, page=None) -> DataFrame:
     """Page hits of orders: a visit is one order, its pages are part types."""
+    if page is None:
+        page = F.concat(F.lit("/"), F.lower("p_type"))
     line = table(spark, sf_dir, "lineitem")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     order = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
@@ -136,7 +138,7 @@ def order_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
             "deviceCategory"
         ),
         F.lit("PAGE").alias("type"),
-        F.concat(F.lit("/"), F.lower("p_type")).alias("pagePath"),
+        page.alias("pagePath"),
         F.lit(None).cast("string").alias("eventCategory"),
         F.lit(None).cast("string").alias("eventAction"),
         F.lit("t").alias("taxons"),
@@ -247,10 +249,8 @@ def with_totals(spark: SparkSession, sf_dir: str, multisets=None) -> DataFrame:
     return stages.process_journeys(cut_lineage(event_journeys(spark, sf_dir, multisets)))
 
 
-# Lists per journey; positions in DuckDB lists start at 1.
-PARSED_SQL = (
-    JOURNEYS_SQL
-    + """
+# Lists per row of ``journeys``; positions in DuckDB lists start at 1.
+PARSE_SQL = """
 parsed0 AS (
   SELECT *, list_transform(
       list_filter(list_transform(string_split(regexp_replace(Sequence, '>>iii\\.+|>>\\.+|\\s>>>\\s', '', 'g'), '>>'),
@@ -283,7 +283,7 @@ parsed AS (
   FROM parsed3
 ),
 """
-)
+PARSED_SQL = JOURNEYS_SQL + PARSE_SQL
 
 
 def nested_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -451,3 +451,77 @@ edges AS (
 ),
 """
 )
+
+
+def ab_journeys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed journeys per sequence and variant, without tablets."""
+    rows = sessions.ab_sessions(
+        event_sessions(spark, sf_dir, head=("visitNumber", "deviceCategory", "abVariant")), "Test"
+    )
+    counted = sessions.count_journeys(
+        rows.where("Sequence IS NOT NULL"), keys=("Sequence", "ABVariant")
+    )
+    return stages.add_event_columns(stages.add_sequence_columns(counted))
+
+
+AB_PARSED_SQL = (
+    SESSIONS_SQL
+    + """
+journeys AS (
+  SELECT Sequence, replace(abVariant, 'Test:', '') AS ABVariant, count(*) AS Occurrences, CAST(NULL AS VARCHAR) AS PageSequence
+  FROM sessions WHERE starts_with(abVariant, 'Test:') AND deviceCategory <> 'tablet' AND Sequence IS NOT NULL GROUP BY ALL
+),
+"""
+    + PARSE_SQL
+)
+
+
+def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One response per order; the customers are the clients."""
+    started = F.date_format("o_orderdate", "dd/MM/yyyy")
+    client = F.col("o_custkey")
+    answer = F.when(F.col("o_orderkey") % 7 == 0, F.lit(None)).when(
+        F.col("o_orderkey") % 7 == 1, "  "
+    ).otherwise(F.concat(F.col("o_orderpriority"), F.lit("  "), F.col("o_orderstatus")))
+    return table(spark, sf_dir, "orders").select(
+        client.cast("string").alias("clientID"),
+        F.concat(F.lit("/p"), (F.col("o_orderkey") % 5).cast("string")).alias("Page_Path"),
+        F.concat(started, F.lit(" 10:00:00")).alias("Started"),
+        F.concat(started, F.lit(" 10:05:00")).alias("Ended"),
+        F.concat(F.lit("u"), (F.col("o_orderkey") % 9).cast("string")).alias("UserID"),
+        answer.alias("answer"),
+        F.col("o_orderkey").alias("response"),
+    )
+
+
+def client_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions whose id carries the client as its fourth field."""
+    rows = event_sessions(spark, sf_dir)
+    client = (F.col("fullVisitorId").cast("bigint") * 20).cast("string")
+    return rows.select(
+        F.concat(
+            F.lit("s-"), F.col("fullVisitorId"), F.lit("-"), F.col("visitId").cast("string"), F.lit("-"), client
+        ).alias("sessionId"),
+        "PageSequence",
+    )
+
+
+SURVEY_SQL = """
+survey AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS clientID, '/p' || (o_orderkey % 5) AS Page_Path,
+         strftime(o_orderdate, '%d/%m/%Y') || ' 10:00:00' AS Started, strftime(o_orderdate, '%d/%m/%Y') || ' 10:05:00' AS Ended,
+         'u' || (o_orderkey % 9) AS UserID,
+         CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 7 = 1 THEN '  ' ELSE o_orderpriority || '  ' || o_orderstatus END AS answer,
+         o_orderkey AS response
+  FROM orders
+),
+"""
+CLIENT_SESSIONS_SQL = (
+    SESSIONS_SQL
+    + """
+client_sessions AS (
+  SELECT 's-' || fullVisitorId || '-' || visitId || '-' || (CAST(fullVisitorId AS BIGINT) * 20) AS sessionId,
+         CAST(CAST(fullVisitorId AS BIGINT) * 20 AS VARCHAR) AS client_id, PageSequence FROM sessions
+),
+"""
+)

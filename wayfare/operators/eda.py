@@ -133,10 +133,15 @@ def _with_share(groups: DataFrame, value: str, name: str, scale: float) -> DataF
     return groups.withColumn(name, F.try_divide(F.col(value) * F.lit(scale), total))
 
 
+def _hash_number(key: str, seed: int) -> Column:
+    """A number of 48 bits that depends on the key and the seed alone."""
+    text = F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("bigint")
+
+
 def _hash_uniform(key: str, seed: int) -> Column:
-    """A number in (0, 1) that depends on the key and the seed alone."""
-    digits = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key))), 1, 12), 16, 10)
-    return (digits.cast("bigint").cast("double") + 1.0) / float(2**48 + 1)
+    """The same as a number between 0 and 1, neither included."""
+    return (_hash_number(key, seed).cast("double") + 1.0) / float(2**48 + 1)
 
 
 def weighted_sample(df: DataFrame, n: int, key: str = "Sequence", seed: int = 1234) -> DataFrame:
@@ -179,7 +184,7 @@ def sample_with_replacement(
     )
     picks = (
         df.sparkSession.range(draws)
-        .withColumn("_pick", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(max(total, 1))))
+        .withColumn("_pick", _hash_number("id", seed) % max(total, 1))
         .withColumn("_block", F.expr(f"_pick DIV {block}"))
     )
     counts = (

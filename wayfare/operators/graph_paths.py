@@ -292,28 +292,23 @@ def eigenvector_centrality(
 ) -> DataFrame:
     """``node, eigenvector`` of the undirected graph by power iteration.
 
-    Each step adds the values of the neighbours to the own value. Several steps make
-    one job; scaling and the test for convergence come at its end.
+    Each step adds the values of the neighbours to the own value; a link from every
+    node to itself stands for the latter, so a step reads the vector once. Several
+    steps make one job; scaling and the test for convergence come at its end.
     """
-    links = cut_lineage(graph.both_ways(graph.undirected(edges)).select("src", "dst"))
-    nodes = cut_lineage(links.select(F.col("src").alias("node")).distinct())
+    simple = graph.both_ways(graph.undirected(edges)).select("src", "dst")
+    nodes = cut_lineage(simple.select(F.col("src").alias("node")).distinct())
+    own = nodes.select(F.col("node").alias("src"), F.col("node").alias("dst"), F.lit(True).alias("own"))
+    links = cut_lineage(simple.withColumn("own", F.lit(False)).unionByName(own))
     n = nodes.count()
     vector = nodes.withColumn("x", F.lit(1.0 / max(n, 1)))
     for _ in range(math.ceil(max_iter / steps_per_round)):
-        last = vector
         for _ in range(steps_per_round):
-            last = vector
-            gained = (
-                links.join(vector.select("node", "x"), links["src"] == F.col("node"))
+            vector = (
+                links.join(vector.select("node", "x"), F.col("src") == F.col("node"))
                 .groupBy("dst")
-                .agg(F.sum("x").alias("gain"))
-            )
-            vector = last.select("node", "x").join(
-                gained, F.col("node") == F.col("dst"), "left"
-            ).select(
-                "node",
-                (F.col("x") + F.coalesce("gain", F.lit(0.0))).alias("x"),
-                F.col("x").alias("before"),
+                .agg(F.sum("x").alias("x"), F.max(F.when(F.col("own"), F.col("x"))).alias("before"))
+                .withColumnRenamed("dst", "node")
             )
         written = cut_lineage(vector)
         norm, norm_before = written.agg(
