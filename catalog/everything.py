@@ -1,4 +1,4 @@
 """Loads every group of queries."""
 
-from catalog import extract, graphs, merging, networks, parsing  # noqa: F401
+from catalog import disruptions, experiments, extract, graphs, merging, networks, parsing, reports  # noqa: F401
 from catalog.registry import ORACLES, QUERIES  # noqa: F401
