@@ -1,4 +1,15 @@
 """Loads every group of queries."""
 
-from catalog import disruptions, experiments, extract, graphs, merging, networks, parsing, reports  # noqa: F401
+from catalog import (  # noqa: F401
+    disruptions,
+    experiments,
+    exploration,
+    extract,
+    graphs,
+    merging,
+    networks,
+    parsing,
+    reports,
+    surveys,
+)
 from catalog.registry import ORACLES, QUERIES  # noqa: F401

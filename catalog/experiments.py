@@ -65,11 +65,16 @@ register(
     CLICKS_SQL,
     "SELECT Sequence, ABVariant, clicks > 0 AS Has_Related, clicks * Occurrences AS Related_Clicks_Total FROM ab",
 )
-EVENT_TEXT = F.concat_ws("<:<", "type", "eventCategory", "eventAction")
+
+
+def event_text():
+    return F.concat_ws("<:<", "type", "eventCategory", "eventAction")
+
+
 register(
     "a4_navigation_event",
     lambda s, d: I.event_hits(s, d).select(
-        F.col("hitOrder.event_id").alias("event_id"), features.is_navigation_event(EVENT_TEXT).alias("is_nav")
+        F.col("hitOrder.event_id").alias("event_id"), features.is_navigation_event(event_text()).alias("is_nav")
     ),
     I.HITS_SQL,
     """SELECT event_id, coalesce(eventCategory = 'breadcrumbClicked' OR (eventCategory = 'relatedLinkClicked' AND contains(eventAction, 'Explore the topic')), false) AS is_nav FROM hits""",

@@ -13,7 +13,11 @@ from wayfare.session import scratch_path
 from wayfare.sources import journeys as J
 from wayfare.sources import sessions as N
 
-DAY = F.date_format("date", "yyyy-MM-dd").alias("day")
+
+def day():
+    return F.date_format("date", "yyyy-MM-dd").alias("day")
+
+
 DAY_SQL = "strftime(date, '%Y-%m-%d') AS day"
 
 
@@ -46,7 +50,7 @@ register(
 
 
 def _hits_per_day(sessions):
-    return N.explode_hits(sessions).groupBy(DAY).agg(F.count("*").alias("n"))
+    return N.explode_hits(sessions).groupBy(day()).agg(F.count("*").alias("n"))
 
 
 register(
@@ -60,7 +64,7 @@ register(
 register(
     "io3_date_range_from_flat_hits",
     lambda s, d: N.in_date_range(I.event_hits(s, d), "2024-01-20", None)
-    .groupBy(DAY)
+    .groupBy(day())
     .agg(F.count("*").alias("n")),
     I.HITS_SQL,
     f"SELECT {DAY_SQL}, count(*) AS n FROM hits WHERE date >= DATE '2024-01-20' GROUP BY ALL",
@@ -78,7 +82,7 @@ def io4(spark, sf):
     daily = S.count_journeys(S.sessions_of(S.nested_visits(nested)), keys=DAILY_KEYS)
     path = scratch_path(spark, "daily")
     N.write_daily(daily, path)
-    return spark.read.parquet(path).select(DAY, *S.JOURNEY_KEYS, "Occurrences")
+    return spark.read.parquet(path).select(day(), *S.JOURNEY_KEYS, "Occurrences")
 
 
 register("io4_daily_extraction", io4, I.SESSIONS_SQL, DAILY_SQL)
@@ -396,7 +400,7 @@ for name, column in (
 register(
     "x15_sessions",
     lambda s, d: I.event_sessions(s, d, head=I.FULL_HEAD).select(
-        "sessionId", DAY, "deviceCategory", "trafficSource", "trafficMedium", "abVariant", "Sequence"
+        "sessionId", day(), "deviceCategory", "trafficSource", "trafficMedium", "abVariant", "Sequence"
     ),
     I.SESSIONS_SQL,
     f"SELECT sessionId, {DAY_SQL}, deviceCategory, trafficSource, trafficMedium, abVariant, Sequence FROM sessions",
@@ -484,7 +488,7 @@ register(
     lambda s, d: S.count_journeys(
         I.event_sessions(s, d, "legacy", TRAFFIC_HEAD),
         keys=("Sequence", "PageSeq_Length", "Actions_Length", "trafficSource", "trafficMedium", "date"),
-    ).select("Sequence", "PageSeq_Length", "Actions_Length", "trafficSource", "trafficMedium", DAY, "Occurrences"),
+    ).select("Sequence", "PageSeq_Length", "Actions_Length", "trafficSource", "trafficMedium", day(), "Occurrences"),
     I.sessions_sql("legacy"),
     f"""SELECT Sequence, PageSeq_Length, Actions_Length, trafficSource, trafficMedium, {DAY_SQL}, count(*) AS Occurrences
         FROM sessions GROUP BY ALL""",
@@ -500,7 +504,7 @@ def x24(column):
             keys=keys,
             multisets={"TrafficSources": "trafficSource", "TrafficMediums": "trafficMedium"},
         )
-        return multiset_rows(counted, column, "Sequence", "PageSeq_Length", "Actions_Length", DAY)
+        return multiset_rows(counted, column, "Sequence", "PageSeq_Length", "Actions_Length", day())
 
     return build
 

@@ -12,15 +12,25 @@ from wayfare.functions import features, parsing
 from wayfare.plans import stages
 from wayfare.session import cut_lineage
 
-PEL, PL = F.col("Page_Event_List"), F.col("Page_List")
+
+def pel():
+    return F.col("Page_Event_List")
+
+
+def pl():
+    return F.col("Page_List")
+
+
+def pairs():
+    return parsing.adjacent_pairs(pl())
 
 
 def per_journey(name, sql, **columns):
-    """Columns of each journey beside its sequence."""
+    """Columns of each journey beside its sequence, built when the query runs."""
     register(
         name,
         lambda s, d: I.parsed(s, d).select(
-            "Sequence", *[column.alias(alias) for alias, column in columns.items()]
+            "Sequence", *[column().alias(alias) for alias, column in columns.items()]
         ),
         I.PARSED_SQL,
         f"SELECT Sequence, {sql} FROM parsed",
@@ -97,14 +107,14 @@ register(
        CASE WHEN k % 4 = 0 THEN eventAction WHEN k % 4 > 1 AND eventCategory IS NULL THEN type || '_NULL' WHEN k % 4 > 1 THEN eventAction END AS action
        FROM hits""",
 )
-per_journey("p5_page_list", "array_to_string(pl, '|') AS pages", pages=F.array_join(PL, "|"))
+per_journey("p5_page_list", "array_to_string(pl, '|') AS pages", pages=lambda: F.array_join(pl(), "|"))
 per_journey(
     "p6_event_list",
     "array_to_string(list_transform(el, lambda e: e.category || '|' || e.action), ';') AS events",
-    events=joined("Event_List", "category", "action"),
+    events=lambda: joined("Event_List", "category", "action"),
 )
-per_journey("p7_page_sequence", "array_to_string(pl, '>>') AS pages", pages=parsing.join_pages(PL))
-per_journey("p8_taxon_list", "array_to_string(tl, ';') AS taxons", taxons=F.array_join("Taxon_List", ";"))
+per_journey("p7_page_sequence", "array_to_string(pl, '>>') AS pages", pages=lambda: parsing.join_pages(pl()))
+per_journey("p8_taxon_list", "array_to_string(tl, ';') AS taxons", taxons=lambda: F.array_join("Taxon_List", ";"))
 register(
     "p9_page_taxons",
     lambda s, d: I.parsed(s, d)
@@ -117,12 +127,12 @@ register(
 per_journey(
     "p10_all_hits_taxons",
     "array_to_string(list_transform(pel, lambda h: h.page || '|' || h.taxons), ';') AS hits",
-    hits=joined(parsing.all_hits_taxons(PEL), "page", "taxons"),
+    hits=lambda: joined(parsing.all_hits_taxons(pel()), "page", "taxons"),
 )
 per_journey(
     "p11_nest_taxons",
     "array_to_string(list_transform(tl, lambda t: CAST(len(string_split(t, ',')) AS VARCHAR) || ':' || string_split(t, ',')[1]), ';') AS nested",
-    nested=F.array_join(
+    nested=lambda: F.array_join(
         F.transform(
             parsing.nest_taxons(F.col("Taxon_List")),
             lambda t: F.concat(F.size(t).cast("string"), F.lit(":"), t[0]),
@@ -131,18 +141,18 @@ per_journey(
     ),
 )
 per_journey(
-    "p12_collapse_loops", "array_to_string(pnl, '|') AS pages", pages=F.array_join(parsing.collapse_loops(PL), "|")
+    "p12_collapse_loops", "array_to_string(pnl, '|') AS pages", pages=lambda: F.array_join(parsing.collapse_loops(pl()), "|")
 )
 per_journey(
     "p13_delooped_sequence",
     "seq_nl AS Page_Seq_NL, len(pnl) AS n_pages",
-    Page_Seq_NL=F.col("Page_Seq_NL"),
-    n_pages=F.size(parsing.split_pages(F.col("Page_Seq_NL"))).cast("bigint"),
+    Page_Seq_NL=lambda: F.col("Page_Seq_NL"),
+    n_pages=lambda: F.size(parsing.split_pages(F.col("Page_Seq_NL"))).cast("bigint"),
 )
 register(
     "p14_adjacent_pairs",
     lambda s, d: I.parsed(s, d)
-    .select("Sequence", F.posexplode(parsing.adjacent_pairs(PL)).alias("position", "pair"))
+    .select("Sequence", F.posexplode(parsing.adjacent_pairs(pl())).alias("position", "pair"))
     .select("Sequence", F.col("position").cast("bigint").alias("position"), "pair.src", "pair.dst"),
     I.PARSED_SQL,
     """SELECT Sequence, i - 1 AS position, pl[i] AS src, pl[i + 1] AS dst
@@ -151,28 +161,27 @@ register(
 per_journey(
     "p15_first_last_page",
     "pl[1] AS start_page, pl[-1] AS end_page",
-    start_page=parsing.first_item(PL),
-    end_page=parsing.last_item(PL),
+    start_page=lambda: parsing.first_item(pl()),
+    end_page=lambda: parsing.last_item(pl()),
 )
-PAIRS = parsing.adjacent_pairs(PL)
 per_journey(
     "p16_ends_of_pairs",
     """CASE WHEN len(pl) > 1 THEN pl[1] END AS start_page, CASE WHEN len(pl) > 1 THEN pl[-1] END AS end_page,
        CASE WHEN len(pl) > 1 THEN pl[1] || '>' || pl[2] END AS first_pair,
        CASE WHEN len(pl) > 1 THEN pl[-2] || '>' || pl[-1] END AS last_pair""",
-    start_page=parsing.ends_of_pairs(PAIRS)["start"],
-    end_page=parsing.ends_of_pairs(PAIRS)["end"],
-    first_pair=F.concat(
-        parsing.end_pairs(PAIRS)["first"]["src"], F.lit(">"), parsing.end_pairs(PAIRS)["first"]["dst"]
+    start_page=lambda: parsing.ends_of_pairs(pairs())["start"],
+    end_page=lambda: parsing.ends_of_pairs(pairs())["end"],
+    first_pair=lambda: F.concat(
+        parsing.end_pairs(pairs())["first"]["src"], F.lit(">"), parsing.end_pairs(pairs())["first"]["dst"]
     ),
-    last_pair=F.concat(
-        parsing.end_pairs(PAIRS)["last"]["src"], F.lit(">"), parsing.end_pairs(PAIRS)["last"]["dst"]
+    last_pair=lambda: F.concat(
+        parsing.end_pairs(pairs())["last"]["src"], F.lit(">"), parsing.end_pairs(pairs())["last"]["dst"]
     ),
 )
 register(
     "p17_reindex_hits",
     lambda s, d: I.parsed(s, d)
-    .select("Sequence", F.posexplode(parsing.reindex_hits(PEL)).alias("i", "hit"))
+    .select("Sequence", F.posexplode(parsing.reindex_hits(pel())).alias("i", "hit"))
     .select("Sequence", F.col("hit.position").cast("bigint").alias("position"), "hit.page", "hit.event"),
     I.PARSED_SQL,
     """SELECT Sequence, position, page, event FROM (
@@ -181,21 +190,21 @@ register(
            CAST(sum(CASE WHEN i > 1 AND pel[i].page <> pel[i - 1].page THEN 1 ELSE 0 END) OVER (PARTITION BY Sequence ORDER BY i) AS BIGINT) AS position
          FROM (SELECT Sequence, pel, unnest(range(1, len(pel) + 1)) AS i FROM parsed)) WHERE kept""",
 )
-per_journey("p18_has_loop", "len(pnl) <> len(pl) AS has_loop", has_loop=features.has_loop(PL))
+per_journey("p18_has_loop", "len(pnl) <> len(pl) AS has_loop", has_loop=lambda: features.has_loop(pl()))
 per_journey(
     "p19_has_repetition",
     "len(list_distinct(pnl)) <> len(pnl) AS has_repetition",
-    has_repetition=features.has_repetition(F.col("Page_List_NL")),
+    has_repetition=lambda: features.has_repetition(F.col("Page_List_NL")),
 )
 per_journey(
     "p20_count_categories",
     "len(list_distinct(list_transform(el, lambda e: e.category))) AS n",
-    n=features.count_event_categories(F.col("Event_List")),
+    n=lambda: features.count_event_categories(F.col("Event_List")),
 )
 per_journey(
     "p21_count_event",
     "len(list_filter(el, lambda e: e.category = 'yesNoFeedbackForm' AND e.action = 'ffYesClick')) AS n",
-    n=features.count_event(F.col("Event_List"), "yesNoFeedbackForm", C.FEEDBACK_YES),
+    n=lambda: features.count_event(F.col("Event_List"), "yesNoFeedbackForm", C.FEEDBACK_YES),
 )
 register(
     "p22_category_frequencies",
@@ -226,15 +235,15 @@ per_journey(
     "p25_event_columns",
     """len(el) AS n_events, len(list_distinct(list_transform(el, lambda e: e.category))) AS num_event_cats,
        len(list_distinct(list_transform(el, lambda e: e.category || '|' || e.action))) AS n_pairs""",
-    n_events=F.size("Event_List").cast("bigint"),
-    num_event_cats=F.col("num_event_cats"),
-    n_pairs=F.size("Event_cat_act_agg").cast("bigint"),
+    n_events=lambda: F.size("Event_List").cast("bigint"),
+    num_event_cats=lambda: F.col("num_event_cats"),
+    n_pairs=lambda: F.size("Event_cat_act_agg").cast("bigint"),
 )
 per_journey(
     "p26_taxon_columns",
     "len(tl) AS n_texts, len(list_distinct(flatten(list_transform(tl, lambda t: string_split(t, ','))))) AS n_taxons",
-    n_texts=F.size("Taxon_List").cast("bigint"),
-    n_taxons=F.size(F.array_distinct(F.flatten(F.transform("Taxon_Page_List", lambda p: p["taxons"])))).cast("bigint"),
+    n_texts=lambda: F.size("Taxon_List").cast("bigint"),
+    n_taxons=lambda: F.size(F.array_distinct(F.flatten(F.transform("Taxon_Page_List", lambda p: p["taxons"])))).cast("bigint"),
 )
 
 
@@ -257,14 +266,14 @@ register(
 register(
     "p28_sequence_check",
     lambda s, d: I.parsed(s, d)
-    .withColumn("same", F.coalesce("PageSequence", F.lit("")) == parsing.join_pages(PL))
+    .withColumn("same", F.coalesce("PageSequence", F.lit("")) == parsing.join_pages(pl()))
     .groupBy("same")
     .agg(F.count("*").alias("n"), F.sum("Occurrences").alias("Occurrences")),
     I.PARSED_SQL,
     """SELECT coalesce(PageSequence, '') = array_to_string(pl, '>>') AS same, count(*) AS n,
        CAST(sum(Occurrences) AS BIGINT) AS Occurrences FROM parsed GROUP BY ALL""",
 )
-per_journey("p29_list_length", "len(pl) AS n, len(pnl) AS n_nl", n=F.size(PL).cast("bigint"), n_nl=F.size("Page_List_NL").cast("bigint"))
+per_journey("p29_list_length", "len(pl) AS n, len(pnl) AS n_nl", n=lambda: F.size(pl()).cast("bigint"), n_nl=lambda: F.size("Page_List_NL").cast("bigint"))
 register(
     "p30_delimiter_length",
     lambda s, d: I.event_sessions(s, d)

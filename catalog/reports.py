@@ -10,7 +10,9 @@ from catalog.registry import register
 from wayfare.functions import features
 from wayfare.operators import report as R
 
-DEVICES = F.col("DeviceCategories")
+
+def devices():
+    return F.col("DeviceCategories")
 
 
 def journeys(spark, sf):
@@ -48,7 +50,7 @@ def row(name, sql_body, build, prefix=BASE_SQL):
 row(
     "d1_device_count",
     "SELECT Sequence, t AS n FROM rep",
-    lambda s, d: journeys(s, d).select("Sequence", features.multiset_count(DEVICES, "tablet").alias("n")),
+    lambda s, d: journeys(s, d).select("Sequence", features.multiset_count(devices(), "tablet").alias("n")),
 )
 row(
     "d2_device_columns",
@@ -108,18 +110,17 @@ corrected AS (SELECT o + least(0.5, abs(e - o)) * sign(e - o) AS o, e FROM cells
 """
 TEST_SQL = """SELECT mr AS mobile_related, m - mr AS mobile_not_related, dr AS desktop_related, d - dr AS desktop_not_related,
        round((SELECT {} FROM corrected), 6) AS statistic, 1 AS degrees_of_freedom FROM vol"""
-ROUNDED = F.round("statistic", 6)
 row(
     "d10_chi2_statistic",
     TEST_SQL.format("sum((o - e) * (o - e) / e)"),
-    lambda s, d: R.chi2_test(prepared(s, d)).withColumn("statistic", ROUNDED),
+    lambda s, d: R.chi2_test(prepared(s, d)).withColumn("statistic", F.round("statistic", 6)),
     BASE_SQL + CELLS_SQL,
 )
 register("d10_chi2_test", lambda s, d: R.with_p_value(R.chi2_test(prepared(s, d))))
 row(
     "d11_g_statistic",
     TEST_SQL.format("2 * sum(CASE WHEN o = 0 THEN 0 ELSE o * ln(o / e) END)"),
-    lambda s, d: R.g_test(prepared(s, d)).withColumn("statistic", ROUNDED),
+    lambda s, d: R.g_test(prepared(s, d)).withColumn("statistic", F.round("statistic", 6)),
     BASE_SQL + CELLS_SQL,
 )
 register("d11_g_test", lambda s, d: R.with_p_value(R.g_test(prepared(s, d))))
@@ -176,7 +177,7 @@ row(
     "d17_device_ratio",
     """SELECT Sequence, CASE WHEN m = 0 THEN -1 ELSE CAST(d AS DOUBLE) / CAST(m AS DOUBLE) END AS ratio, d * 1e2 / (d + m + t) AS percent_desktop FROM rep""",
     lambda s, d: journeys(s, d).select(
-        "Sequence", R.device_ratio(DEVICES).alias("ratio"), R.percent_desktop(DEVICES).alias("percent_desktop")
+        "Sequence", R.device_ratio(devices()).alias("ratio"), R.percent_desktop(devices()).alias("percent_desktop")
     ),
 )
 row(
@@ -184,8 +185,8 @@ row(
     "SELECT Sequence, d >= m AND d >= t AS more_desktop, m > d AND m >= t AS more_mobile FROM rep",
     lambda s, d: journeys(s, d).select(
         "Sequence",
-        R.most_used_device_is(DEVICES, "desktop").alias("more_desktop"),
-        R.most_used_device_is(DEVICES, "mobile").alias("more_mobile"),
+        R.most_used_device_is(devices(), "desktop").alias("more_desktop"),
+        R.most_used_device_is(devices(), "mobile").alias("more_mobile"),
     ),
 )
 CLICKS = "len(list_filter(el, lambda e: contains(e.action, 'Related content')))"

@@ -8,11 +8,14 @@ from statistics import NormalDist
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("double")
-def _erfc(x: pd.Series) -> pd.Series:
-    return x.map(math.erfc, na_action="ignore")
+def _erfc(x: Column) -> Column:
+    def tail(values: pd.Series) -> pd.Series:
+        return values.map(math.erfc, na_action="ignore")
+
+    return F.pandas_udf(tail, T.DoubleType())(x)
 
 
 def normal_two_sided(z: Column) -> Column:

@@ -225,11 +225,12 @@ def with_running_total(df: DataFrame, order: list[Column], value: str, name: str
 def expand_sessions(df: DataFrame, per_block: int = 100_000) -> DataFrame:
     """One row per session, numbered from 0 within its journey.
 
-    A journey with very many sessions is first cut into blocks that spread over tasks.
+    A journey with very many sessions is first cut into blocks; rebalancing spreads the
+    blocks evenly over tasks.
     """
     blocks = df.withColumn(
         "_block", F.explode(F.sequence(F.lit(0), F.expr(f"(Occurrences - 1) DIV {per_block}")))
-    ).repartition()
+    ).hint("rebalance")
     first = F.col("_block") * per_block
     last = F.least(first + per_block, F.col("Occurrences")) - 1
     return blocks.withColumn("session", F.explode(F.sequence(first, last))).drop("_block")
