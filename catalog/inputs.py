@@ -254,7 +254,7 @@ PARSE_SQL = """
 parsed0 AS (
   SELECT *, list_transform(
       list_filter(list_transform(string_split(regexp_replace(Sequence, '>>iii\\.+|>>\\.+|\\s>>>\\s', '', 'g'), '>>'),
-                                 lambda h: string_split(regexp_replace(h, '["'']', '', 'g'), '<<')),
+                                 lambda h: list_transform(string_split(h, '<<'), lambda f: regexp_replace(f, '["'']', '', 'g'))),
                   lambda f: len(f) IN (2, 3)),
       lambda f: {'page': f[1], 'event': f[2], 'taxons': f[3]}) AS pel
   FROM journeys

@@ -82,7 +82,7 @@ register(
     f"""SELECT Sequence, i - 1 AS position, l[i][1] AS page, l[i][2] AS event, l[i][3] AS taxons FROM (
           SELECT Sequence, l, unnest(range(1, len(l) + 1)) AS i FROM (
             SELECT Sequence, list_filter(list_transform(string_split({SCRUB_SQL}, '>>'),
-              lambda h: string_split(regexp_replace(h, '["'']', '', 'g'), '<<')), lambda f: len(f) IN (2, 3)) AS l FROM noisy))""",
+              lambda h: list_transform(string_split(h, '<<'), lambda f: regexp_replace(f, '["'']', '', 'g'))), lambda f: len(f) IN (2, 3)) AS l FROM noisy))""",
 )
 
 

@@ -79,12 +79,13 @@ def test_weight_is_distance(spark):
 
 
 def test_load_splits_over_predecessors(spark):
-    # a to d by b or c; d leads on to e.
+    # a reaches d by b or c, and d leads on to e: from a, d sends one unit of its own and
+    # one of e back in halves; from b and from c, d passes on one unit each.
     edges = spark.createDataFrame(
         [("a", "b", 1), ("a", "c", 1), ("b", "d", 1), ("c", "d", 1), ("d", "e", 1)], "src string, dst string, weight bigint"
     )
     found = values(graph_paths.load_centrality(edges, is_directed=True))
-    assert found == pytest.approx({"a": 0, "b": 2 / 12, "c": 2 / 12, "d": 3 / 12, "e": 0})
+    assert found == pytest.approx({"a": 0, "b": 1 / 12, "c": 1 / 12, "d": 3 / 12, "e": 0})
 
 
 def test_eigenvector(shape):

@@ -25,7 +25,7 @@ def page_event_list(sequence: Column) -> Column:
     """``array<struct<page,event,taxons>>`` of the hits with two or three fields."""
     hits = F.transform(
         split_text(scrub_fragments(sequence), C.HIT_DELIMITER),
-        lambda hit: split_text(strip_quotes(hit), C.FIELD_DELIMITER),
+        lambda hit: F.transform(split_text(hit, C.FIELD_DELIMITER), strip_quotes),
     )
     well_formed = F.filter(hits, lambda fields: F.size(fields).isin(2, 3))
     return F.transform(
