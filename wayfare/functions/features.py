@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wayfare import constants as C
-from wayfare.functions.parsing import adjacent_pairs, split_text
+from wayfare.functions.parsing import adjacent_pairs, bound, split_text
 
 
 def any_of(conditions: list[Column]) -> Column:
@@ -48,35 +48,40 @@ def _count_equal(items: Column, item: Column) -> Column:
 
 def category_frequencies(events: Column) -> Column:
     """``array<struct<category,n>>`` in order of first appearance."""
-    categories = event_categories(events)
-    return F.transform(
-        F.array_distinct(categories),
-        lambda c: F.struct(c.alias("category"), _count_equal(categories, c).alias("n")),
+    return bound(
+        event_categories(events),
+        lambda categories: F.transform(
+            F.array_distinct(categories),
+            lambda c: F.struct(c.alias("category"), _count_equal(categories, c).alias("n")),
+        ),
     )
 
 
 def event_frequencies(events: Column) -> Column:
     """``array<struct<category,action,n>>`` in order of first appearance."""
-    known = _known(events)
-    return F.transform(
-        F.array_distinct(known),
-        lambda e: F.struct(
-            e["category"].alias("category"),
-            e["action"].alias("action"),
-            _count_equal(known, e).alias("n"),
+    return bound(
+        _known(events),
+        lambda known: F.transform(
+            F.array_distinct(known),
+            lambda e: F.struct(
+                e["category"].alias("category"),
+                e["action"].alias("action"),
+                _count_equal(known, e).alias("n"),
+            ),
         ),
     )
 
 
 def list_to_multiset(items: Column) -> Column:
     """``map<string,bigint>`` of how often each item occurs."""
-    present = F.filter(items, lambda item: item.isNotNull())
-    return F.map_from_entries(
-        F.transform(
+    counts = bound(
+        F.filter(items, lambda item: item.isNotNull()),
+        lambda present: F.transform(
             F.array_distinct(present),
             lambda item: F.struct(item.alias("key"), _count_equal(present, item).alias("n")),
-        )
+        ),
     )
+    return F.map_from_entries(counts)
 
 
 def text_to_multiset(text: Column) -> Column:
@@ -85,18 +90,19 @@ def text_to_multiset(text: Column) -> Column:
 
 def sum_entries(entries: Column) -> Column:
     """``map<string,bigint>`` from ``array<struct<key,n>>`` with repeated keys summed."""
-    keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
 
-    def total(key: Column) -> Column:
-        return F.aggregate(
-            F.filter(entries, lambda e: e["key"] == key),
-            F.lit(0).cast("bigint"),
-            lambda acc, e: acc + e["n"],
-        )
+    def totals(all_entries: Column) -> Column:
+        def total(key: Column) -> Column:
+            return F.aggregate(
+                F.filter(all_entries, lambda e: e["key"] == key),
+                F.lit(0).cast("bigint"),
+                lambda acc, e: acc + e["n"],
+            )
 
-    return F.map_from_entries(
-        F.transform(keys, lambda key: F.struct(key.alias("key"), total(key).alias("n")))
-    )
+        keys = F.array_distinct(F.transform(all_entries, lambda e: e["key"]))
+        return F.transform(keys, lambda key: F.struct(key.alias("key"), total(key).alias("n")))
+
+    return F.map_from_entries(bound(entries, totals))
 
 
 def multiset_entries(multiset: Column) -> Column:
@@ -119,10 +125,13 @@ def zip_multiset(columns: dict[str, Column]) -> Column:
     zipped = F.arrays_zip(
         *[split_text(text, C.LIST_DELIMITER).alias(name) for name, text in columns.items()]
     )
-    return F.transform(
-        F.array_distinct(zipped),
-        lambda row: F.struct(
-            *[row[name].alias(name) for name in names], _count_equal(zipped, row).alias("n")
+    return bound(
+        zipped,
+        lambda rows: F.transform(
+            F.array_distinct(rows),
+            lambda row: F.struct(
+                *[row[name].alias(name) for name in names], _count_equal(rows, row).alias("n")
+            ),
         ),
     )
 

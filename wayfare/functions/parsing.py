@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wayfare import constants as C
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once per row, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip_quotes(text: Column) -> Column:
     return F.regexp_replace(text, C.QUOTES, "")
 
@@ -44,7 +51,10 @@ def split_event(event: Column) -> Column:
     With three parts the hit type is dropped, or put in front of both other parts
     when the category carries the text ``NULL``.
     """
-    parts = split_text(event, C.EVENT_DELIMITER)
+    return bound(split_text(event, C.EVENT_DELIMITER), _pair_of_parts)
+
+
+def _pair_of_parts(parts: Column) -> Column:
     first, second, third = (F.get(parts, F.lit(i)) for i in range(3))
 
     def pair(category: Column, action: Column) -> Column:
@@ -66,7 +76,8 @@ def page_list(page_events: Column) -> Column:
 
 
 def event_list(page_events: Column) -> Column:
-    return F.transform(page_events, lambda hit: split_event(hit["event"]))
+    parts = F.transform(page_events, lambda hit: split_text(hit["event"], C.EVENT_DELIMITER))
+    return F.transform(parts, _pair_of_parts)
 
 
 def join_pages(pages: Column) -> Column:
@@ -109,18 +120,21 @@ def nest_taxons(taxon_texts: Column) -> Column:
 
 def collapse_loops(pages: Column) -> Column:
     """Drop a page that repeats the page right before it."""
-    return F.filter(
-        pages,
-        lambda page, i: (i == 0) | (page != F.get(pages, i - 1)),
+    return bound(
+        pages, lambda l: F.filter(l, lambda page, i: (i == 0) | (page != F.get(l, i - 1)))
     )
 
 
 def adjacent_pairs(items: Column) -> Column:
     """``array<struct<src,dst>>`` of neighbours in the list."""
-    following = F.slice(items, F.lit(2), F.greatest(F.size(items) - 1, F.lit(0)))
-    return F.transform(
-        following, lambda item, i: F.struct(F.get(items, i).alias("src"), item.alias("dst"))
-    )
+
+    def pairs(l: Column) -> Column:
+        following = F.slice(l, F.lit(2), F.greatest(F.size(l) - 1, F.lit(0)))
+        return F.transform(
+            following, lambda item, i: F.struct(F.get(l, i).alias("src"), item.alias("dst"))
+        )
+
+    return bound(items, pairs)
 
 
 def first_item(items: Column) -> Column:

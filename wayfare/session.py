@@ -11,13 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 def build_session(app_name: str = "wayfare", **conf: str) -> SparkSession:
     """A session with the settings every operator here assumes.
 
-    Adaptive execution splits hot keys of joins and sizes shuffles at run time; the
-    time zone is pinned so that dates do not depend on the machine.
+    Adaptive execution splits hot keys of joins and sizes shuffles at run time. Parsing
+    costs much time per byte, so small shuffles are not merged below a quarter megabyte.
+    The time zone is pinned so that dates do not depend on the machine.
     """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
         .config("spark.sql.session.timeZone", "UTC")
     )
     for key, value in conf.items():
