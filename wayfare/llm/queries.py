@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import contamination, language, licences, near_duplicates, packing, sharding, toxicity
+from wayfare.llm import chat, contamination, language, licences, near_duplicates, neighbours, packing, sharding, toxicity, urls
 from wayfare.llm.tables import fold, read
 
 SHARDS = 8
@@ -20,6 +20,11 @@ def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.transform("mask", lambda s: F.concat_ws(":", s["start"].cast("string"), s["length"].cast("string")))
+    return chat.rotate(read(spark, sf_dir, "conversations")).withColumn("mask", F.array_join(spans, ","))
+
+
 def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(read(spark, sf_dir, "documents"))
 
@@ -34,6 +39,10 @@ def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.cluster(read(spark, sf_dir, "documents"), words=2)
 
@@ -49,18 +58,88 @@ def contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def page_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    listed = pages.where(urls.host_of(F.col("url")).rlike(UNWANTED)).select(urls.canonical(F.col("url")).alias("canonical_url"))
+    return urls.judge(pages, listed, RULES)
+
+
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), *packing.vocabulary(), most=SEQUENCE, digest=True)
 
 
+#: Rules (verdict, host, path).
+RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+#: The block list holds the canonical URLs of pages whose host has such a word in its name.
+UNWANTED = "(^|[.-])(spam|adult|casino|pills|bets|ads)([.-]|$)"
+
 QUERIES = {
     "op1_sharding": shards,
+    "op2_perspectives": perspectives,
     "op3_licences": licence_scan,
     "op4_toxicity": toxic,
+    "op5_neighbours": nearest,
     "op6_near_duplicates": near_copies,
     "op7_language": languages,
     "op8_decontamination": contaminated,
+    "op9_urls": page_verdicts,
     "op10_packing": packed,
 }
 
-ORACLES: dict[str, str] = {}
+_HOST = "translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES = {
+    "op2_perspectives": """
+WITH rows AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos FROM rows
+), speakers AS (
+  SELECT DISTINCT conv_id, role AS perspective FROM rows WHERE role <> 'system'
+), shown AS (
+  SELECT n.conv_id, perspective, pos, (pos // 32)::INTEGER AS part, role = perspective AS own, text || '<|end|>' || chr(10) AS body,
+    CASE WHEN role = 'system' THEN '<|system|>' WHEN role = perspective THEN '<|assistant|>'
+      ELSE '<|user name=' || role || '|>' END || chr(10) AS head
+  FROM numbered n JOIN speakers s ON n.conv_id = s.conv_id
+), spans AS (
+  SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, perspective, part ORDER BY pos) - length(body) AS start
+  FROM shown
+)
+SELECT conv_id, perspective, part, count(*) AS n_messages, string_agg(head || body, '' ORDER BY pos) AS text,
+  coalesce(string_agg(start::BIGINT || ':' || length(body), ',' ORDER BY pos) FILTER (WHERE own), '') AS mask
+FROM spans GROUP BY conv_id, perspective, part""",
+    "op9_urls": f"""
+WITH rows AS (
+  SELECT page_id, {_HOST} AS host, coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path,
+    coalesce(regexp_extract(url, '^[^?#]*\\?([^#]*)', 1), '') AS query
+  FROM pages
+), cleaned AS (
+  SELECT *, regexp_replace(host, '^(www|m)\\.', '') AS bare,
+    regexp_replace(regexp_replace(path, '/+$', ''), '\\.html?$', '') AS short,
+    list_filter(string_split(query, '&'), lambda x: x <> '' AND NOT regexp_full_match(x, '(utm_[^=&]*|ref|fbclid|gclid)(=.*)?')) AS kept
+  FROM rows
+), canon AS (
+  SELECT *, CASE WHEN bare <> '' THEN bare || short || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END END AS canonical_url
+  FROM cleaned
+), listed AS (
+  SELECT DISTINCT canonical_url FROM canon WHERE canonical_url IS NOT NULL
+    AND regexp_matches(host, '(^|[.-])(spam|adult|casino|pills|bets|ads)([.-]|$)')
+), rules(verdict, name, start) AS (
+  VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), judged AS (
+  SELECT c.*, (
+    SELECT struct_pack(rule := name || start, verdict := verdict) FROM rules
+    WHERE (c.host = name OR ends_with(c.host, '.' || name)) AND starts_with(c.path, start) ORDER BY length(name || start) DESC LIMIT 1
+  ) AS found, canonical_url IS NOT NULL AND canonical_url IN (SELECT canonical_url FROM listed) AS listed
+  FROM canon c
+)
+SELECT page_id, host, path, found.rule AS rule, coalesce(found.verdict, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict, canonical_url, listed
+FROM judged""",
+}
