@@ -19,8 +19,10 @@ from wayfare.llm.bytewords import LOWER, buffer_of, hashes, in_bytes, rolled, sp
 from wayfare.llm.tables import columns
 from wayfare.session import cut_lineage
 
-#: Template tokens in a window; shorter items are one window of their own length.
+#: Template tokens in a window; shorter items are one window of their own length, and items of
+#: fewer than ``LEAST_TOKENS`` are passed over, as any text holds such.
 WINDOW = 8
+LEAST_TOKENS = 5
 #: Share of an item's windows that a document has to hold.
 LEAST_COVERED = 0.5
 #: A window says something only with so many literal words in it.
@@ -132,7 +134,7 @@ _UNIT_HASHES = _hash_words(list(UNITS))
 def item_windows(benchmark: DataFrame) -> DataFrame:
     """(hash, item_id, item_at, length, n_windows, item_slots) of every window of the benchmark.
 
-    Items without words have no window. Windows with fewer than ``LEAST_LITERAL`` literal words do
+    Items of fewer than ``LEAST_TOKENS`` tokens have no window. Windows with fewer than ``LEAST_LITERAL`` literal words do
     not count, unless an item has no other.
     """
 
@@ -142,7 +144,7 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
             all_ = Templates(batch.column("text"))
             sizes = np.diff(all_.first)
             for length in np.unique(np.minimum(sizes, WINDOW)):
-                if not length:
+                if length < LEAST_TOKENS:
                     continue
                 found, text = all_.windows(int(length))
                 good = all_.literal[length:] - all_.literal[:-length] >= min(LEAST_LITERAL, length)
