@@ -43,11 +43,12 @@ def test_language_stage(spark):
 
 
 def test_toxicity_stage(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    kept = {r["doc_id"] for r in STAGES["toxicity"](spark, docs, SF).collect()}
-    marked = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    kept = {r["doc_id"] for r in STAGES["toxicity"](spark, docs, sf).collect()}
+    marked = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     toxic, clean = ({i for i, t in marked.items() if t == want} for want in (1, 0))
-    assert len(toxic - kept) >= 0.85 * len(toxic) and len(clean & kept) >= 0.97 * len(clean)
+    assert len(toxic - kept) >= 0.9 * len(toxic) and len(clean & kept) >= 0.98 * len(clean)
 
 
 def test_near_duplicate_stage(spark):
@@ -68,7 +69,7 @@ def test_decontamination_stage(spark):
 
 def test_packing_stage(spark):
     found = STAGES["packing"](spark, documents(spark), SF).toPandas()
-    assert sorted(found.sequence_id) == list(range(len(found))) and found.doc_id.nunique() == 44
+    assert sorted(found.sequence_id) == list(range(len(found))) and found.doc_id.nunique() == 45
 
 
 def test_run(spark):

@@ -26,8 +26,8 @@ STEM = 5
 #: Weight of the prior in words: counts are smoothed towards the whole corpus by so many words.
 PRIOR = 1000.0
 #: A word or stem takes part from so many labelled texts and so many standard errors on.
-LEAST_TEXTS = 5
-LEAST_Z = 3.5
+LEAST_TEXTS = 3
+LEAST_Z = 2.5
 #: Words that lean to the toxic side by less than this say little alone and, in long texts, add up
 #: to passages by chance; they count like any other word.
 LEAST_ODDS = 1.5
