@@ -202,7 +202,7 @@ register(
 )
 register(
     "a19_journeys_with_event",
-    lambda s, d: A.containing_event(I.event_journeys(s, d), "yesNoFeedbackForm").select("Sequence", "Occurrences"),
+    lambda s, d: A.containing_event(I.event_journeys(s, d), "yesNoFeedbackForm", 5).select("Sequence", "Occurrences"),
     I.JOURNEYS_SQL,
     "SELECT Sequence, Occurrences FROM journeys WHERE contains(Sequence, 'yesNoFeedbackForm') ORDER BY Sequence LIMIT 5",
 )

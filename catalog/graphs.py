@@ -159,45 +159,40 @@ register(
 )
 
 
-def weak_links(spark, sf):
-    """Links in one language, so that the graph falls apart."""
-    return cut_lineage(I.link_edges(spark, sf).where(F.col("src").startswith("/es") & (F.length("dst") > 4)))
+def all_links(spark, sf):
+    """The whole link graph, written once for the loops over it."""
+    return cut_lineage(I.link_edges(spark, sf))
 
 
-WEAK_E = I.ADJACENCY_SQL + """
-edges AS (SELECT source_base_path AS src, sink_base_path AS dst, count(*) AS weight FROM adjacency
-          WHERE starts_with(source_base_path, '/es') AND length(sink_base_path) > 4 GROUP BY ALL),
-"""
-WEAK = WEAK_E + REACH[len(E):]
 register(
     "g15_many_components",
-    lambda s, d: P.connected_components(weak_links(s, d)),
-    WEAK,
+    lambda s, d: P.connected_components(all_links(s, d)),
+    REACH,
     "SELECT node, component FROM components",
 )
 register(
     "g15_component_sizes",
-    lambda s, d: P.component_sizes(P.connected_components(weak_links(s, d))),
-    WEAK,
+    lambda s, d: P.component_sizes(P.connected_components(all_links(s, d))),
+    REACH,
     "SELECT component, count(*) AS n_nodes FROM components GROUP BY ALL",
 )
 register(
     "g15_is_connected",
-    lambda s, d: P.is_connected(P.connected_components(weak_links(s, d))),
-    WEAK,
+    lambda s, d: P.is_connected(P.connected_components(all_links(s, d))),
+    REACH,
     "SELECT count(DISTINCT component) = 1 AS is_connected FROM components",
 )
 register(
     "g15_largest_component",
-    lambda s, d: P.largest_component(P.connected_components(weak_links(s, d))),
-    WEAK,
+    lambda s, d: P.largest_component(P.connected_components(all_links(s, d))),
+    REACH,
     """SELECT node, component FROM components WHERE component =
        (SELECT component FROM components GROUP BY ALL ORDER BY count(*) DESC, component LIMIT 1)""",
 )
 register(
     "g16_diameter",
-    lambda s, d: P.diameter(weak_links(s, d)),
-    WEAK + """
+    lambda s, d: P.diameter(all_links(s, d)),
+    REACH + """
 members AS (SELECT node FROM components WHERE component = (SELECT component FROM components GROUP BY ALL ORDER BY count(*) DESC, component LIMIT 1)),
 walk AS (
   SELECT node AS source, node, 0 AS level FROM members
@@ -255,9 +250,8 @@ sp AS (SELECT s, t, min(level) AS d, arg_min(c, level) AS sigma FROM walk GROUP
 """
 register(
     "g18_betweenness",
-    lambda s, d: P.betweenness(weak_links(s, d)).withColumn("betweenness", F.round("betweenness", 6)),
-    WEAK_E
-    + B[len(E) :]
+    lambda s, d: P.betweenness(all_links(s, d)).withColumn("betweenness", F.round("betweenness", 6)),
+    B
     + PAIR_COUNTS
     + """
 through AS (
@@ -291,7 +285,7 @@ register(
 )
 register(
     "g19_load_centrality",
-    lambda s, d: P.load_centrality(weak_links(s, d)).withColumn("load", F.round("load", 6)),
+    lambda s, d: P.load_centrality(all_links(s, d)).withColumn("load", F.round("load", 6)),
 )
 register(
     "g20_eigenvector_centrality",
@@ -310,11 +304,11 @@ power AS (
 """,
     "SELECT node, round(x / (SELECT sqrt(sum(x * x)) FROM power WHERE turn = 300), 4) AS eigenvector FROM power WHERE turn = 300",
 )
-register("g21_communities", lambda s, d: C.louvain(weak_links(s, d)))
+register("g21_communities", lambda s, d: C.louvain(all_links(s, d)))
 
 
 def g21_quality(spark, sf):
-    edges = cut_lineage(G.undirected(weak_links(spark, sf)))
+    edges = cut_lineage(G.undirected(all_links(spark, sf)))
     found = C.louvain(edges)
     value = C.modularity(edges, found)
     return found.agg(F.countDistinct("community").alias("n_communities")).withColumn(
@@ -326,36 +320,36 @@ register("g21_modularity", g21_quality)
 
 
 def groups(spark, sf):
-    parts = P.connected_components(weak_links(spark, sf))
+    parts = P.connected_components(all_links(spark, sf))
     return parts.withColumnRenamed("component", "community")
 
 
 register(
     "g22_community_members",
     lambda s, d: C.members_of_larger(groups(s, d)).select("node", "community", "n_nodes"),
-    WEAK,
+    REACH,
     """SELECT node, component AS community, n_nodes FROM components
        JOIN (SELECT component, count(*) AS n_nodes FROM components GROUP BY ALL) USING (component) WHERE n_nodes > 2""",
 )
 register(
     "g22_size_histogram",
     lambda s, d: C.size_histogram(groups(s, d)),
-    WEAK,
+    REACH,
     "SELECT n_nodes, count(*) AS n_communities FROM (SELECT component, count(*) AS n_nodes FROM components GROUP BY ALL) GROUP BY ALL",
 )
 register(
     "g23_rank_in_communities",
     lambda s, d: C.rank_in_communities(
-        groups(s, d), G.degrees(weak_links(s, d)).select("node", "degree"), "degree"
+        groups(s, d), G.degrees(all_links(s, d)).select("node", "degree"), "degree"
     ),
-    WEAK + DEGREES,
+    REACH + DEGREES,
     """SELECT component AS community, node, degree, row_number() OVER (PARTITION BY component ORDER BY degree DESC, node) AS rank
        FROM components JOIN degrees USING (node)""",
 )
 
 
 def g23_joined(spark, sf):
-    edges = weak_links(spark, sf)
+    edges = all_links(spark, sf)
     between = P.betweenness(edges).withColumn("betweenness", F.round("betweenness", 6))
     top = G.top_nodes(between, "betweenness", 10)
     return top.join(G.degrees(edges).select("node", "degree"), "node")

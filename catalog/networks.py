@@ -196,7 +196,7 @@ def n16(spark, sf):
     nodes = N.node_taxons(I.parsed(spark, sf)).withColumn(
         "Node_Taxon", F.concat("Node_Taxon", F.array(F.lit("unknown")))
     )
-    known = I.taxonomy(spark, sf).where("content_id <> 't3'")
+    known = I.taxonomy(spark, sf)
     return T.translate_nodes(cut_lineage(nodes), known).select(
         "Node", F.array_join("Node_Taxon_basepath", ";").alias("paths")
     )
@@ -208,7 +208,7 @@ register(
     I.TAXONOMY_SQL + I.PARSED_SQL + NODE_TAXONS_SQL,
     """SELECT node AS Node, coalesce((SELECT string_agg(base_path, ';' ORDER BY i) FROM (
          SELECT unnest(string_split(taxons, ',')) AS content_id, unnest(range(len(string_split(taxons, ',')))) AS i)
-         JOIN taxonomy USING (content_id) WHERE content_id <> 't3'), '') AS paths FROM node_taxons""",
+         JOIN taxonomy USING (content_id)), '') AS paths FROM node_taxons""",
 )
 register(
     "n17_journeys_with_taxon",
@@ -256,7 +256,7 @@ register(
 
 
 def known_taxonomy(spark, sf):
-    return I.taxonomy(spark, sf).where("content_id <> 't3'")
+    return I.taxonomy(spark, sf)
 
 
 def n22(spark, sf):
@@ -275,7 +275,7 @@ labels2 AS (
   SELECT taxons, string_agg(coalesce(title, 'None'), '_' ORDER BY i) AS label FROM (
     SELECT taxons, unnest(string_split(taxons, ',')) AS content_id, unnest(range(len(string_split(taxons, ',')))) AS i
     FROM (SELECT DISTINCT unnest(tl) AS taxons FROM parsed))
-  LEFT JOIN (SELECT * FROM taxonomy WHERE content_id <> 't3') USING (content_id) GROUP BY ALL
+  LEFT JOIN taxonomy USING (content_id) GROUP BY ALL
 ),
 """
 register(

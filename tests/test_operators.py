@@ -168,7 +168,7 @@ def test_taxonomy_levels_orphan_and_cycle(spark):
 
 def test_adjacency_list_parts_hold_every_neighbour(spark):
     edges = spark.createDataFrame([("hub", f"p{i}", 1) for i in range(95)] + [("q", "hub", 1)], "src string, dst string, weight bigint")
-    parts = network.adjacency_lists(edges, per_list=10).collect()
+    parts = network.adjacency_lists(edges, parts=10).collect()
     assert sorted(p for r in parts if r.src == "hub" for p in r.pages) == sorted(f"p{i}" for i in range(95))
     assert len([r for r in parts if r.src == "hub"]) > 5
 

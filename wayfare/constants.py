@@ -97,3 +97,14 @@ FINAL_PAGE_TYPES = [
 ]
 
 EXIT_PAGE = "/exit"
+
+# The columns that count something per journey.
+COUNTABLE = (
+    "Languages",
+    "Locations",
+    "DeviceCategories",
+    "TrafficSources",
+    "TrafficMediums",
+    "NetworkLocations",
+    "Dates",
+)

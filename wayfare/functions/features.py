@@ -73,15 +73,29 @@ def event_frequencies(events: Column) -> Column:
 
 
 def list_to_multiset(items: Column) -> Column:
-    """``map<string,bigint>`` of how often each item occurs."""
-    counts = bound(
-        F.filter(items, lambda item: item.isNotNull()),
-        lambda present: F.transform(
-            F.array_distinct(present),
-            lambda item: F.struct(item.alias("key"), _count_equal(present, item).alias("n")),
-        ),
-    )
-    return F.map_from_entries(counts)
+    """``map<string,bigint>`` of how often each item occurs.
+
+    The items are sorted once; the ends of the runs of equal items give the counts.
+    """
+
+    def runs(present: Column) -> Column:
+        end = F.filter(
+            F.sequence(F.lit(1), F.size(present)),
+            lambda i: (i == F.size(present)) | (F.element_at(present, i) != F.get(present, i)),
+        )
+        counted = bound(
+            end,
+            lambda ends: F.transform(
+                ends,
+                lambda at, k: F.struct(
+                    F.element_at(present, at).alias("key"),
+                    (at - F.coalesce(F.get(ends, k - 1), F.lit(0))).cast("bigint").alias("n"),
+                ),
+            ),
+        )
+        return F.when(F.size(present) > 0, counted).otherwise(F.array().cast("array<struct<key:string,n:bigint>>"))
+
+    return F.map_from_entries(bound(F.array_sort(F.filter(items, lambda item: item.isNotNull())), runs))
 
 
 def text_to_multiset(text: Column) -> Column:

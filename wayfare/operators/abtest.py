@@ -258,8 +258,8 @@ def page_views(journeys: DataFrame) -> DataFrame:
     )
 
 
-def containing_event(journeys: DataFrame, text: str, limit: int = 5) -> DataFrame:
-    """Examples of journeys with a text in their sequence, first by sequence."""
+def containing_event(journeys: DataFrame, text: str, limit: int) -> DataFrame:
+    """``limit`` examples of journeys with a text in their sequence, first by sequence."""
     return journeys.where(F.col("Sequence").contains(text)).orderBy("Sequence").limit(limit)
 
 

@@ -42,8 +42,14 @@ def modularity(edges: DataFrame, communities: DataFrame) -> float:
     return row["inside"] / (row["two_m"] / 2) - row["squares"] / row["two_m"] ** 2
 
 
-def _local_moving(edges: DataFrame, rounds: int, tolerance: float) -> tuple[DataFrame, float]:
-    """Communities of one level: in each round half of the nodes may move."""
+def _local_moving(edges: DataFrame, tolerance: float) -> tuple[DataFrame, float]:
+    """Communities of one level, moved until no single move raises modularity.
+
+    In each round one class of nodes by hash may move; there are two classes at first.
+    Where a whole cycle brings nothing although nodes want to move, moves hinder each
+    other, and there are twice as many classes from then on: at the latest when every
+    node has a class of its own, a move that gains is a gain.
+    """
     links = cut_lineage(graph.both_ways(edges))
     # A self-loop adds its weight at both of its ends.
     doubled = F.when(F.col("src") == F.col("dst"), F.col("weight") * 2).otherwise(F.col("weight"))
@@ -53,8 +59,9 @@ def _local_moving(edges: DataFrame, rounds: int, tolerance: float) -> tuple[Data
     two_m = strength.agg(F.sum("k")).first()[0] or 1.0
     best = strength.select("node", "k", F.col("node").alias("community"))
     best_value = modularity(edges, best)
-    state, stale = best, 0
-    for turn in range(rounds):
+    n_nodes = strength.count()
+    state, stale, classes, turn = best, 0, 2, 0
+    while True:
         totals = state.groupBy("community").agg(F.sum("k").alias("total"))
         neighbour = state.select(F.col("node").alias("dst"), "community")
         toward = (
@@ -83,26 +90,32 @@ def _local_moving(edges: DataFrame, rounds: int, tolerance: float) -> tuple[Data
                 )
             ).alias("choice")
         )
-        may_move = F.pmod(F.xxhash64("node") + F.lit(turn), F.lit(2)) == 0
+        may_move = F.pmod(F.pmod(F.xxhash64("node"), F.lit(classes)) + F.lit(turn), F.lit(classes)) == 0
         moved = choice.select(
             "node",
             "k",
+            (~F.col("choice.stays")).alias("wants"),
             F.when(may_move, F.col("choice.community")).otherwise(F.col("own")).alias("community"),
         )
-        state = cut_lineage(moved)
+        moved = cut_lineage(moved)
+        turn += 1
+        if not moved.where("wants").limit(1).count():
+            break
+        state = moved.drop("wants")
         value = modularity(edges, state)
         if value > best_value + tolerance:
             best, best_value, stale = state, value, 0
         else:
             stale += 1
-            if stale == 2:
-                break
+            if stale == classes:
+                if classes > 4 * n_nodes:
+                    break
+                # From the best state on, with fewer moves at a time.
+                state, stale, classes = best, 0, classes * 2
     return best.select("node", "community"), best_value
 
 
-def louvain(
-    edges: DataFrame, levels: int = 10, rounds: int = 20, tolerance: float = 1e-6
-) -> DataFrame:
+def louvain(edges: DataFrame, tolerance: float = 1e-6) -> DataFrame:
     """``node, community``: local moving, then the same on the graph of communities.
 
     The result does not depend on the order of rows: nodes take turns by a hash, and a
@@ -111,8 +124,8 @@ def louvain(
     current = cut_lineage(graph.undirected(edges))
     members = cut_lineage(graph.nodes_of(current).withColumn("community", F.col("node")))
     value = modularity(current, members)
-    for _ in range(levels):
-        found, found_value = _local_moving(current, rounds, tolerance)
+    while True:
+        found, found_value = _local_moving(current, tolerance)
         if found_value <= value + tolerance:
             break
         value = found_value

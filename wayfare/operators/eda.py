@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from wayfare import constants as C
 from wayfare.functions import features, parsing
 from wayfare.operators.positions import with_position
+from wayfare.session import cut_lineage
 
 SEARCH_PATTERN = "/search?"
 SEARCH_FOLDER = "/search/"
@@ -166,12 +167,11 @@ def sample_with_replacement(
     draws meet by blocks of numbers; a row with many sessions spans many blocks, so no
     block and no task holds more than its part of the draws.
     """
-    from wayfare.session import cut_lineage
-
     placed = cut_lineage(with_running_total(df, [F.col(key)], "Occurrences", "_upto"))
     total = placed.agg(F.sum("Occurrences")).first()[0] or 0
     draws = -int(-share * total // 1)
-    block = max(1, int(total // max(draws, 1)) * 1000)
+    # About one draw a block, so a block meets few draws however many rows begin in it.
+    block = max(1, int(total // max(draws, 1)))
     spans = placed.select(
         key,
         (F.col("_upto") - F.col("Occurrences")).alias("_from"),
@@ -197,7 +197,12 @@ def sample_with_replacement(
 
 
 def with_running_total(df: DataFrame, order: list[Column], value: str, name: str) -> DataFrame:
-    """Add the sum of ``value`` up to and with each row, in an order without ties.
+    """Add the sum of ``value`` up to and with each row, in an order without ties."""
+    return with_running_totals(df, order, {name: value})
+
+
+def with_running_totals(df: DataFrame, order: list[Column], values: dict[str, str]) -> DataFrame:
+    """Add the running sum of each value under its name, in an order without ties.
 
     Positions cut the order into blocks; totals run within a block and over the block
     sums.
@@ -211,14 +216,17 @@ def with_running_total(df: DataFrame, order: list[Column], value: str, name: str
     before = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_block")
-        .agg(F.sum(value).alias("_sum"))
-        .select("_block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+        .agg(*[F.sum(value).alias(f"_sum_{name}") for name, value in values.items()])
+        .select(
+            "_block",
+            *[F.coalesce(F.sum(f"_sum_{name}").over(before), F.lit(0)).alias(f"_offset_{name}") for name in values],
+        )
     )
     return (
-        placed.withColumn("_inside", F.sum(value).over(inside))
+        placed.select("*", *[F.sum(value).over(inside).alias(f"_inside_{name}") for name, value in values.items()])
         .join(offsets, "_block")
-        .withColumn(name, F.col("_inside") + F.col("_offset"))
-        .drop("_position", "_block", "_inside", "_offset")
+        .withColumns({name: F.col(f"_inside_{name}") + F.col(f"_offset_{name}") for name in values})
+        .drop("_position", "_block", *[f"_{part}_{name}" for name in values for part in ("inside", "offset")])
     )
 
 
@@ -298,37 +306,31 @@ def concentration(visits: DataFrame, shares: list[float]) -> DataFrame:
     distinct visit counts. There are at most ``sqrt(2 * visits)`` of those.
     """
     levels = visits.groupBy("visits").agg(F.count("*").alias("pages"))
-    down = W.orderBy(F.desc("visits"))
-    running = levels.select(
-        "visits",
-        "pages",
-        F.sum("pages").over(down).alias("pages_upto"),
-        F.sum(F.col("visits") * F.col("pages")).over(down).alias("visits_upto"),
-    )
-    n_pages, n_visits = F.max("pages_upto").over(W.partitionBy()), F.max("visits_upto").over(
-        W.partitionBy()
-    )
-    wanted = running.select(
-        "*",
-        n_pages.alias("n_pages"),
-        n_visits.alias("n_visits"),
-        F.explode(F.array(*[F.lit(s) for s in shares])).alias("share_of_pages"),
-    ).withColumn("top", F.floor(F.col("n_pages") * F.col("share_of_pages")).cast("bigint"))
-    # The level in which the top pages end: all above it whole, of it what is left.
-    whole = F.when(F.col("pages_upto") <= F.col("top"), F.col("visits") * F.col("pages"))
-    part = F.when(
-        F.col("pages_upto") - F.col("pages") < F.col("top"),
-        F.col("visits") * (F.col("top") - F.col("pages_upto") + F.col("pages")),
+    running = cut_lineage(
+        with_running_totals(
+            levels.withColumn("held", F.col("visits") * F.col("pages")),
+            [F.desc("visits")],
+            {"pages_upto": "pages", "visits_upto": "held"},
+        )
     )
-    return (
-        wanted.groupBy("share_of_pages", "top", "n_visits")
-        .agg(F.coalesce(F.sum(F.coalesce(whole, part)), F.lit(0)).alias("visits"))
-        .select(
-            "share_of_pages",
-            "top",
-            "visits",
-            F.try_divide(F.col("visits").cast("double"), F.col("n_visits")).alias("share_of_visits"),
+    n_pages, n_visits = running.agg(F.max("pages_upto"), F.max("visits_upto")).first()
+    tops = [(share, int(n_pages * share)) for share in shares] if n_pages else []
+    # Each share's pages end in one level, so no level is repeated for shares that end elsewhere.
+    begins = F.col("pages_upto") - F.col("pages")
+    wanted = F.array(*[F.struct(F.lit(s).alias("share"), F.lit(n).cast("bigint").alias("top")) for s, n in tops if n])
+    none = visits.sparkSession.createDataFrame([t for t in tops if not t[1]], "share_of_pages double, top bigint")
+    none = none.withColumn("visits", F.lit(0).cast("bigint"))
+    found = none
+    if any(n for _, n in tops):
+        ends_here = F.filter(wanted, lambda t: (t["top"] > begins) & (t["top"] <= F.col("pages_upto")))
+        rows = running.withColumn("end", F.explode(ends_here)).select(
+            F.col("end.share").alias("share_of_pages"),
+            F.col("end.top").alias("top"),
+            (F.col("visits_upto") - F.col("held") + F.col("visits") * (F.col("end.top") - begins)).alias("visits"),
         )
+        found = rows.unionByName(none)
+    return found.withColumn(
+        "share_of_visits", F.try_divide(F.col("visits").cast("double"), F.lit(n_visits).cast("bigint"))
     )
 
 

@@ -8,10 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wayfare.constants import COUNTABLE
 from wayfare.functions.features import multiset_entries
 
-MULTISETS = ("DeviceCategories", "Dates")
-
 
 def union_daily(frames: Sequence[DataFrame]) -> DataFrame:
     """All daily frames below each other; a column missing in one reads NULL."""
@@ -23,12 +22,20 @@ def merge_journeys(
 ) -> DataFrame:
     """One row per ``key``: occurrences and multisets summed, other columns kept.
 
-    The other columns come from the first row in their own order. Totals and every
+    ``multisets`` default to the countable columns that the journeys have; they must be
+    maps, as ``parse_multisets`` makes of comma texts. A map that is none of them is an
+    error, for it has no first row. The other columns come from the first row in their
+    own order. Totals and every
     multiset entry travel as rows of one long frame, so one aggregate with map-side
     combining sums them all and no task holds the copies of a frequent journey.
     """
     if multisets is None:
-        multisets = [name for name in MULTISETS if name in journeys.columns]
+        multisets = [name for name in COUNTABLE if name in journeys.columns]
+    types = dict(journeys.dtypes)
+    if unread := [name for name in multisets if not types[name].startswith("map")]:
+        raise ValueError(f"parse {unread} to multisets before merging")
+    if unknown := [n for n, t in types.items() if t.startswith("map") and n != key and n not in multisets]:
+        raise ValueError(f"name {unknown} among the multisets or drop them")
     kept = [c for c in journeys.columns if c not in (key, "Occurrences", *multisets)]
     kept_row = F.struct(*kept) if kept else F.lit(None).cast("string")
 

@@ -126,15 +126,14 @@ def frequent_edges(edges: DataFrame, threshold: int = 1000) -> DataFrame:
     return edges.where((F.col("weight") >= threshold) & (F.col("src") != F.col("dst")))
 
 
-def adjacency_lists(edges: DataFrame, per_list: int = 10_000) -> DataFrame:
-    """``src, part, pages``: a page with very many neighbours has several parts."""
-    degree = edges.groupBy("src").agg(
-        F.ceil(F.count("*") / per_list).cast("bigint").alias("parts")
-    )
-    part: Column = F.pmod(F.xxhash64("dst"), F.col("parts"))
+def adjacency_lists(edges: DataFrame, parts: int = 1) -> DataFrame:
+    """``src, part, pages``: every page's neighbours, dealt by a hash over ``parts`` lists.
+
+    The number of lists is the caller's choice and does not depend on the data.
+    """
+    part: Column = F.pmod(F.xxhash64("dst"), F.lit(parts))
     return (
-        edges.join(degree, "src")
-        .withColumn("part", part)
+        edges.withColumn("part", part)
         .groupBy("src", "part")
         .agg(F.sort_array(F.collect_set("dst")).alias("pages"))
     )

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare import constants as C
-from wayfare.functions.features import sum_entries
 
 SESSION_HEAD = ("visitNumber", "deviceCategory", "date")
 JOURNEY_KEYS = ("Sequence", "PageSequence", "PageSeq_Length", "Actions_Length")
@@ -200,33 +199,38 @@ def count_journeys(
     """Sessions per journey, with ``map<string,bigint>`` counts of further columns.
 
     ``kept`` columns are not keys: the journey takes them from its first row in their
-    own order. The first aggregate counts per journey and multiset value before
-    anything is shuffled; the second sees few rows per journey however often it occurs.
+    own order. Totals and the values of every multiset travel as rows of one long frame,
+    counted before they are shuffled; a map gathers only its own distinct values, and
+    values of several multisets are never combined.
     """
     multisets = multisets or {}
-    values = [F.col(column).cast("string").alias(f"_{column}") for column in multisets.values()]
-    partial = sessions.groupBy(*keys, *kept, *values).agg(F.count("*").alias("n"))
     if not multisets and not kept:
-        return partial.withColumnRenamed("n", "Occurrences")
+        return sessions.groupBy(*keys).agg(F.count("*").alias("Occurrences"))
+    parts = [F.struct(F.lit(-1).alias("part"), F.lit(None).cast("string").alias("item"))] + [
+        F.struct(F.lit(i).alias("part"), F.col(column).cast("string").alias("item"))
+        for i, column in enumerate(multisets.values())
+    ]
+    kept_row = F.struct(*kept) if kept else F.lit(None).cast("string")
+    long = sessions.select(
+        *keys, kept_row.alias("_kept"), F.explode(F.array(*parts)).alias("_e")
+    ).where("_e.part < 0 OR _e.item IS NOT NULL")
+    total = F.col("_e.part") < 0
+    counted = long.groupBy(*keys, F.col("_e.part").alias("_part"), F.col("_e.item").alias("_item")).agg(
+        F.count("*").alias("_n"), F.min(F.when(total, F.col("_kept"))).alias("_kept")
+    )
 
-    def gathered(column: str) -> Column:
-        entry = F.struct(F.col(f"_{column}").alias("key"), F.col("n"))
-        return F.collect_list(F.when(F.col(f"_{column}").isNotNull(), entry))
+    def collected(part: int) -> Column:
+        entry = F.struct(F.col("_item").alias("key"), F.col("_n").alias("value"))
+        return F.map_from_entries(F.collect_list(F.when(F.col("_part") == part, entry)))
 
-    first = [F.min(F.struct(*kept)).alias("kept")] if kept else []
     return (
-        partial.groupBy(*keys)
+        counted.groupBy(*keys)
         .agg(
-            F.sum("n").alias("Occurrences"),
-            *first,
-            *[gathered(column).alias(name) for name, column in multisets.items()],
-        )
-        .select(
-            *keys,
-            "Occurrences",
-            *[sum_entries(F.col(name)).alias(name) for name in multisets],
-            *[F.col("kept")[column].alias(column) for column in kept],
+            F.sum(F.when(F.col("_part") < 0, F.col("_n"))).alias("Occurrences"),
+            F.min("_kept").alias("_kept"),
+            *[collected(part).alias(name) for part, name in enumerate(multisets)],
         )
+        .select(*keys, "Occurrences", *multisets, *[F.col("_kept")[c].alias(c) for c in kept])
     )
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wayfare.constants import COUNTABLE
+from wayfare.functions.features import text_to_multiset
 from wayfare.schemas import ADJACENCY, RAW_JOURNEY, TAXON
 
 
@@ -33,6 +35,12 @@ def read_extracts(
     )
 
 
+def parse_multisets(df: DataFrame, names: Sequence[str] = COUNTABLE) -> DataFrame:
+    """The countable columns of ``df`` that are comma texts, as ``map<string,bigint>``."""
+    texts = [name for name, kind in df.dtypes if name in names and kind == "string"]
+    return df.withColumns({name: text_to_multiset(F.col(name)) for name in texts})
+
+
 def write_extract(df: DataFrame, path: str, sep: str = "\t") -> None:
     """Delimited text, gzip compressed, with a header."""
     df.write.mode("overwrite").option("sep", sep).option("header", True).option(
