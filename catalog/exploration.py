@@ -120,7 +120,7 @@ def percent_sql(column, source="derived"):
 
 register(
     "e12_group_percent",
-    lambda s, d: E.group_percent(cut_lineage(I.parsed(s, d)), "PageSeq_Length"),
+    lambda s, d: E.group_percent(I.parsed(s, d), "PageSeq_Length"),
     I.PARSED_SQL,
     percent_sql("PageSeq_Length", "parsed"),
 )
@@ -285,7 +285,7 @@ def share_sql(column, source="derived"):
 
 register(
     "e27_flag_shares",
-    lambda s, d: E.value_shares(cut_lineage(derived(s, d)), "contains_search_regex"),
+    lambda s, d: E.value_shares(derived(s, d), "contains_search_regex"),
     DERIVED_SQL,
     share_sql("contains_search_regex"),
 )
@@ -309,13 +309,13 @@ register(
 )
 register(
     "e30_final_page_types",
-    lambda s, d: E.group_percent(cut_lineage(derived(s, d)), "final_page_type"),
+    lambda s, d: E.group_percent(derived(s, d), "final_page_type"),
     DERIVED_SQL,
     percent_sql("final_page_type"),
 )
 register(
     "e30_final_interaction_types",
-    lambda s, d: E.group_percent(cut_lineage(derived(s, d)), "final_interaction_type"),
+    lambda s, d: E.group_percent(derived(s, d), "final_interaction_type"),
     DERIVED_SQL,
     percent_sql("final_interaction_type"),
 )

@@ -10,7 +10,8 @@ from catalog.registry import register
 from wayfare.functions import features
 from wayfare.operators import merge as M
 from wayfare.operators import sessions as S
-from wayfare.session import cut_lineage
+from wayfare.plans import stages
+from wayfare.session import cut_lineage, scratch_path
 from wayfare.sources import journeys as J
 
 
@@ -89,6 +90,55 @@ register(
 )
 
 
+def stage_inputs(spark, sf):
+    """Daily gzip extracts with five countable columns, and files whose names must not match."""
+    sets = {**I.MULTISETS, "TrafficSources": "trafficSource", "TrafficMediums": "trafficMedium"}
+    head = ("visitNumber", "deviceCategory", "trafficSource", "trafficMedium", "date")
+    rows = S.count_journeys(
+        I.event_sessions(spark, sf, head=head), keys=("date", *S.JOURNEY_KEYS), multisets=sets
+    )
+    texts = rows.withColumns({name: J.render_multiset(F.col(name)) for name in sets})
+    folder = scratch_path(spark, "merge")
+    J.write_extract(texts, f"{folder}/extract")
+    J.write_extract(texts.limit(5).withColumn("Occurrences", F.lit(10**9)), f"{folder}/other")
+    # Both writers name their files alike, so the stub is a part of the real ones' names.
+    return folder, file_stub(spark, f"{folder}/extract")
+
+
+def file_stub(spark, folder):
+    """The writing job's id, which all files of ``folder`` and no others have in their names."""
+    name = spark.read.text(folder).select(F.col("_metadata.file_name").alias("f")).first()["f"]
+    return "-".join(name.split("-")[2:7]).split("-c000")[0]
+
+
+def merged_stage(spark, sf, **options):
+    folder, stub = stage_inputs(spark, sf)
+    return stages.merge_extracts(spark, folder, stub, **options)
+
+
+STAGE_SQL = "SELECT Sequence, Occurrences, coalesce(seq_occ, -1) AS Page_Seq_Occurrences FROM parsed JOIN (SELECT Sequence AS s, PageSeq_Length AS n FROM journeys) ON s = Sequence"
+for option, options, condition in (
+    ("all", {}, ""),
+    ("no_one_offs", {"one_offs": False}, " WHERE seq_occ > 1"),
+    ("no_length_one", {"length_one": "drop"}, " WHERE n > 1"),
+    ("only_length_one", {"length_one": "only"}, " WHERE n = 1"),
+):
+    register(
+        f"m3_merge_stage_{option}",
+        lambda s, d, o=options: merged_stage(s, d, **o).select(
+            "Sequence", "Occurrences", F.coalesce("Page_Seq_Occurrences", F.lit(-1)).alias("Page_Seq_Occurrences")
+        ),
+        I.PARSED_SQL,
+        STAGE_SQL + condition,
+    )
+register(
+    "m3_merge_stage_sources",
+    lambda s, d: multiset_rows(merged_stage(s, d), "TrafficSources", "Sequence"),
+    I.SESSIONS_SQL,
+    "SELECT Sequence, trafficSource AS item, count(*) AS n FROM sessions WHERE Sequence IS NOT NULL AND trafficSource IS NOT NULL GROUP BY ALL",
+)
+
+
 def m4(spark, sf):
     rows = I.event_sessions(
         spark, sf, head=("visitNumber", "deviceCategory", "trafficSource", "trafficMedium")
@@ -250,4 +300,14 @@ def m16_whole(spark, sf):
     return wrong.agg(F.count("*").alias("n_differences"))
 
 
-register("m16_check_whole_merge", m16_whole, None, "SELECT 0 AS n_differences FROM events LIMIT 1")
+register(
+    "m16_check_whole_merge",
+    m16_whole,
+    I.JOURNEYS_SQL,
+    """SELECT count(*) AS n_differences FROM (
+         SELECT Sequence, 'total' AS item, sum(Occurrences) AS n FROM counted GROUP BY ALL
+         UNION ALL SELECT Sequence, day, sum(n) FROM seq_dates GROUP BY ALL) x
+       FULL JOIN (SELECT Sequence, 'total' AS item, Occurrences AS n FROM journeys
+         UNION ALL SELECT Sequence, day, n FROM seq_dates) y ON x.Sequence = y.Sequence AND x.item = y.item
+       WHERE x.n IS DISTINCT FROM y.n""",
+)

@@ -12,6 +12,7 @@ from catalog import inputs as I
 from wayfare.operators import abtest, describe, eda, merge, network, positions, survey, taxonomy
 from wayfare.operators import sessions as S
 from wayfare.session import cut_lineage, scratch_path
+from wayfare.sources import journeys as journeys_source
 from wayfare.sources import sessions as N
 from wayfare.streaming import daily
 
@@ -230,6 +231,36 @@ def test_daily_stream_equals_one_batch(spark):
     assert spark.read.parquet(target).count() == expected.count()
 
 
+def test_late_files_of_a_day_count_as_one_batch(spark):
+    source, target, state = (scratch_path(spark, n) for n in ("source", "target", "state"))
+    nested = cut_lineage(I.nested_sessions(spark, SF))
+    late = F.pmod(F.xxhash64("fullVisitorId", "visitId", "visitNumber"), F.lit(2)) == 0
+    for part in (nested.where(~late), nested.where(late)):
+        part.write.mode("append").partitionBy("date").parquet(source)
+        daily.start_daily_extraction(spark, source, target, state).awaitTermination()
+    columns = ["date", "Sequence", "PageSequence", "Occurrences"]
+    found = spark.read.parquet(target).withColumn("date", F.col("date").cast("string")).select(columns)
+    expected = daily.extract_day(nested).withColumn("date", F.col("date").cast("string")).select(columns)
+    assert found.exceptAll(expected).count() == 0 and found.count() == expected.count()
+
+
+def test_one_journey_with_very_many_sources(spark):
+    sessions = spark.range(200_000).select(F.lit("a").alias("Sequence"), F.concat(F.lit("s"), "id").alias("source"), (F.col("id") % 3).cast("string").alias("medium"))
+    found = S.count_journeys(sessions, keys=("Sequence",), multisets={"Sources": "source", "Mediums": "medium"}).first()
+    assert found.Occurrences == 200_000 and len(found.Sources) == 200_000 and sum(found.Mediums.values()) == 200_000
+
+
+def test_merging_keeps_every_countable_column(spark):
+    df = spark.createDataFrame([("a", 1, "google", "x"), ("a", 2, "bing,bing", "x")], "Sequence string, Occurrences bigint, TrafficSources string, Note string")
+    with pytest.raises(ValueError, match="parse"):
+        merge.merge_journeys(df)
+    parsed = journeys_source.parse_multisets(df)
+    row = merge.merge_journeys(parsed).first()
+    assert row.Occurrences == 3 and row.TrafficSources == {"google": 1, "bing": 2} and row.Note == "x"
+    with pytest.raises(ValueError, match="name"):
+        merge.merge_journeys(parsed.withColumnRenamed("TrafficSources", "Odd"))
+
+
 def test_date_range_prunes_partitions(spark):
     path = I.written_sessions(spark, SF)
     plan = N.read_sessions(spark, path, "2024-01-10", "2024-01-12", ["2024-01-11"])._jdf.queryExecution().toString()

@@ -43,12 +43,9 @@ def modularity(edges: DataFrame, communities: DataFrame) -> float:
 
 
 def _local_moving(edges: DataFrame, tolerance: float) -> tuple[DataFrame, float]:
-    """Communities of one level, moved until no single move raises modularity.
+    """Communities of one level: half of the nodes may move in each round, by turns.
 
-    In each round one class of nodes by hash may move; there are two classes at first.
-    Where a whole cycle brings nothing although nodes want to move, moves hinder each
-    other, and there are twice as many classes from then on: at the latest when every
-    node has a class of its own, a move that gains is a gain.
+    Rounds go on until a turn of each half has not raised modularity.
     """
     links = cut_lineage(graph.both_ways(edges))
     # A self-loop adds its weight at both of its ends.
@@ -59,9 +56,8 @@ def _local_moving(edges: DataFrame, tolerance: float) -> tuple[DataFrame, float]
     two_m = strength.agg(F.sum("k")).first()[0] or 1.0
     best = strength.select("node", "k", F.col("node").alias("community"))
     best_value = modularity(edges, best)
-    n_nodes = strength.count()
-    state, stale, classes, turn = best, 0, 2, 0
-    while True:
+    state, stale, turn = best, 0, 0
+    while stale < 2:
         totals = state.groupBy("community").agg(F.sum("k").alias("total"))
         neighbour = state.select(F.col("node").alias("dst"), "community")
         toward = (
@@ -90,28 +86,19 @@ def _local_moving(edges: DataFrame, tolerance: float) -> tuple[DataFrame, float]
                 )
             ).alias("choice")
         )
-        may_move = F.pmod(F.pmod(F.xxhash64("node"), F.lit(classes)) + F.lit(turn), F.lit(classes)) == 0
+        may_move = F.pmod(F.xxhash64("node") + F.lit(turn), F.lit(2)) == 0
         moved = choice.select(
             "node",
             "k",
-            (~F.col("choice.stays")).alias("wants"),
             F.when(may_move, F.col("choice.community")).otherwise(F.col("own")).alias("community"),
         )
-        moved = cut_lineage(moved)
+        state = cut_lineage(moved)
         turn += 1
-        if not moved.where("wants").limit(1).count():
-            break
-        state = moved.drop("wants")
         value = modularity(edges, state)
         if value > best_value + tolerance:
             best, best_value, stale = state, value, 0
         else:
             stale += 1
-            if stale == classes:
-                if classes > 4 * n_nodes:
-                    break
-                # From the best state on, with fewer moves at a time.
-                state, stale, classes = best, 0, classes * 2
     return best.select("node", "community"), best_value
 
 

@@ -130,6 +130,8 @@ def value_shares(df: DataFrame, by: str, weight: str = "Occurrences") -> DataFra
 
 
 def _with_share(groups: DataFrame, value: str, name: str, scale: float) -> DataFrame:
+    """The groups are read twice, so they are written, not the rows they come from."""
+    groups = cut_lineage(groups)
     total = groups.agg(F.sum(value).cast("double").alias("total")).scalar()
     return groups.withColumn(name, F.try_divide(F.col(value) * F.lit(scale), total))
 

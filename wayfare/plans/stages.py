@@ -4,11 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.functions import features, parsing
 from wayfare.operators import merge
+from wayfare.sources import journeys as source
+
+
+def merge_extracts(
+    spark: SparkSession,
+    path: str,
+    stub: str = "",
+    one_offs: bool = True,
+    length_one: str = "keep",
+    sep: str = "\t",
+) -> DataFrame:
+    """Merged journeys of all extracts below ``path`` whose file name holds ``stub``.
+
+    The countable columns of the extracts are parsed to multisets and summed per
+    sequence. ``one_offs=False`` drops journeys whose page sequence occurs once;
+    ``length_one`` is ``keep``, ``drop`` or ``only``.
+    """
+    if length_one not in ("keep", "drop", "only"):
+        raise ValueError("length_one is keep, drop or only")
+    read = source.read_extracts(spark, path, stub, sep, schema=None)
+    merged = merge.page_sequence_occurrences(merge.merge_journeys(source.parse_multisets(read)))
+    if not one_offs:
+        merged = merge.drop_one_offs(merged)
+    if length_one == "drop":
+        merged = merge.drop_length_one(merged)
+    elif length_one == "only":
+        merged = merge.keep_length_one(merged)
+    return merged
 
 
 def add_sequence_columns(df: DataFrame) -> DataFrame:

@@ -18,21 +18,25 @@ def read_extracts(
     path: str,
     stub: str = "",
     sep: str = "\t",
-    schema: T.StructType = RAW_JOURNEY,
+    schema: T.StructType | None = RAW_JOURNEY,
 ) -> DataFrame:
     """All delimited extracts of a folder whose name holds ``stub``.
 
-    Rows without a sequence are dropped. Compressed files are read as they are.
+    Rows without a sequence are dropped. Compressed files are read as they are. Without
+    a schema, columns are named by the header, counts and lengths are numbers and all
+    else is text.
     """
-    return (
-        spark.read.schema(schema)
-        .option("sep", sep)
+    reader = (
+        spark.read.option("sep", sep)
         .option("header", True)
         .option("pathGlobFilter", f"*{stub}*")
         .option("recursiveFileLookup", True)
-        .csv(path)
-        .dropna(subset=["Sequence"])
     )
+    if schema is not None:
+        return reader.schema(schema).csv(path).dropna(subset=["Sequence"])
+    df = reader.csv(path)
+    numbers = [name for name in ("Occurrences", "PageSeq_Length", "Actions_Length") if name in df.columns]
+    return df.withColumns({name: F.col(name).cast("bigint") for name in numbers}).dropna(subset=["Sequence"])
 
 
 def parse_multisets(df: DataFrame, names: Sequence[str] = COUNTABLE) -> DataFrame:

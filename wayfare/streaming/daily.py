@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wayfare.operators import sessions
@@ -22,17 +23,23 @@ def extract_day(nested: DataFrame) -> DataFrame:
 def start_daily_extraction(
     spark: SparkSession, source: str, target: str, checkpoint: str
 ) -> StreamingQuery:
-    """Write the journeys of new day folders of ``source`` below ``target``.
+    """Write the journeys of the days of ``source`` that got new files below ``target``.
 
-    Sessions never span days, so a day that arrives whole gives final counts. A batch
-    that runs again after a failure writes its own folder again and nothing else.
+    A batch tells which days were touched; those are counted anew from all their files
+    and take the place of what ``target`` has for them, so files that come late, or in
+    several runs, count as if they had come at once. A batch that runs again after a
+    failure does the same again.
     """
     days = spark.readStream.schema(NESTED_SESSION).parquet(source)
 
     def write(batch: DataFrame, number: int) -> None:
-        extract_day(batch).write.mode("overwrite").partitionBy("date").parquet(
-            f"{target}/batch={number}"
-        )
+        # At most one row per day of the batch.
+        touched = [row["date"] for row in batch.select("date").distinct().collect()]
+        if touched:
+            whole = spark.read.schema(NESTED_SESSION).parquet(source).where(F.col("date").isin(touched))
+            extract_day(whole).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                "date"
+            ).parquet(target)
 
     return (
         days.writeStream.foreachBatch(write)
