@@ -94,6 +94,24 @@ register(
     None,
     f"""SELECT page_id, CASE {URL_CASES} ELSE 'other' END AS kind FROM (SELECT page_id, url || string_split(html, ' ')[-1] AS url FROM pages)""",
 )
+# An address for each pattern and each pair of neighbours, dealt over all parts, so that every branch is taken.
+SAMPLES = [pattern.replace(".*", "x") for pattern, _ in C.FINAL_PAGE_TYPES]
+ADDRESSES = ["/plain", *SAMPLES, *[a + "/" + b for a, b in zip(SAMPLES, SAMPLES[1:])]]
+
+
+def e9_every(spark, sf):
+    samples = F.array(*[F.lit(a) for a in ADDRESSES])
+    address = F.concat(F.element_at(samples, (F.col("p_partkey") % len(ADDRESSES)).cast("int") + 1), F.lit("/"), F.col("p_partkey"))
+    return I.table(spark, sf, "part").select("p_partkey", E.final_page_type(address).alias("kind"))
+
+
+register(
+    "e9_every_page_type",
+    e9_every,
+    None,
+    f"""SELECT p_partkey, CASE {URL_CASES} ELSE 'other' END AS kind FROM (
+          SELECT p_partkey, ({ADDRESSES!r})[CAST(p_partkey % {len(ADDRESSES)} AS INTEGER) + 1] || '/' || p_partkey AS url FROM part)""",
+)
 simple("e10_final_interaction_type", "final_interaction_type")
 
 
@@ -398,6 +416,32 @@ register(
     LINK_PER_SQL,
     "SELECT " + ", ".join(f"count(*) FILTER ({c}) AS {n}" for n, c in JUNK) + f", count(*) FILTER ({CLEAN_SQL}) AS kept FROM per",
 )
+# Every leading pattern, sequences that fit none and those that are not clean, dealt over all parts.
+LEADS = ["/ x", "/-x", "/:x", "/?x", "/name", "/_x", "name", "/9"]
+BUILT_SQL = f"""
+per AS (SELECT ({LEADS!r})[CAST(p_partkey % {len(LEADS)} AS INTEGER) + 1] || p_partkey AS PageSequence, p_size AS journey_occurrences FROM part),
+"""
+
+
+def built_sequences(spark, sf):
+    lead = F.element_at(F.array(*[F.lit(x) for x in LEADS]), (F.col("p_partkey") % len(LEADS)).cast("int") + 1)
+    return I.table(spark, sf, "part").select(
+        F.concat(lead, F.col("p_partkey").cast("string")).alias("PageSequence"), F.col("p_size").alias("journey_occurrences")
+    )
+
+
+register(
+    "e36_drop_every_junk",
+    lambda s, d: E.drop_junk(built_sequences(s, d)),
+    BUILT_SQL,
+    f"SELECT * FROM per WHERE {CLEAN_SQL}",
+)
+register(
+    "e36_every_junk_counts",
+    lambda s, d: E.junk_counts(built_sequences(s, d)),
+    BUILT_SQL,
+    "SELECT " + ", ".join(f"count(*) FILTER ({c}) AS {n}" for n, c in JUNK) + f", count(*) FILTER ({CLEAN_SQL}) AS kept FROM per",
+)
 TYPED_SQL = PER_SQL + """
 typed AS (SELECT *, len(string_split(PageSequence, '>>')) AS journey_length, CASE WHEN journey_occurrences = 1 THEN 'one-off' ELSE 'not-one-off' END AS pageseq_type FROM per),
 bucketed AS (SELECT *, CASE WHEN journey_length < 11 THEN CAST(journey_length AS VARCHAR) WHEN journey_length < 101 THEN '11<=x<100'

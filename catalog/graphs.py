@@ -248,9 +248,7 @@ walk AS (
 ),
 sp AS (SELECT s, t, min(level) AS d, arg_min(c, level) AS sigma FROM walk GROUP BY ALL),
 """
-register(
-    "g18_betweenness",
-    lambda s, d: P.betweenness(all_links(s, d)).withColumn("betweenness", F.round("betweenness", 6)),
+BETWEEN_SQL = (
     B
     + PAIR_COUNTS
     + """
@@ -259,9 +257,17 @@ through AS (
   WHERE x.s <> x.t AND y.s <> y.t AND x.s <> y.t AND x.d + y.d = z.d GROUP BY ALL
 ),
 n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM (SELECT DISTINCT src FROM bi)),
-""",
-    """SELECT node, round(coalesce(v, 0) / ((n - 1) * (n - 2)), 6) AS betweenness
-       FROM (SELECT DISTINCT src AS node FROM bi) LEFT JOIN through USING (node), n""",
+betweens AS (
+  SELECT node, round(coalesce(v, 0) / ((n - 1) * (n - 2)), 6) AS betweenness
+  FROM (SELECT DISTINCT src AS node FROM bi) LEFT JOIN through USING (node), n
+),
+"""
+)
+register(
+    "g18_betweenness",
+    lambda s, d: P.betweenness(all_links(s, d)).withColumn("betweenness", F.round("betweenness", 6)),
+    BETWEEN_SQL,
+    "SELECT node, betweenness FROM betweens",
 )
 WALKS = """
 paths AS (
@@ -355,7 +361,13 @@ def g23_joined(spark, sf):
     return top.join(G.degrees(edges).select("node", "degree"), "node")
 
 
-register("g23_betweenness_with_degree", g23_joined)
+register(
+    "g23_betweenness_with_degree",
+    g23_joined,
+    BETWEEN_SQL + DEGREES,
+    """SELECT node, betweenness, degree FROM (SELECT * FROM betweens ORDER BY betweenness DESC, node LIMIT 10)
+       JOIN (SELECT node, degree FROM degrees) USING (node)""",
+)
 register(
     "g24_nodes_with_prefix",
     lambda s, d: G.nodes_with_prefix(G.nodes_of(I.link_edges(s, d)), "/fr", 25),

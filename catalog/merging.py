@@ -97,10 +97,10 @@ def stage_inputs(spark, sf):
     rows = S.count_journeys(
         I.event_sessions(spark, sf, head=head), keys=("date", *S.JOURNEY_KEYS), multisets=sets
     )
-    texts = rows.withColumns({name: J.render_multiset(F.col(name)) for name in sets})
+    texts = rows.drop("date").withColumns({name: J.render_multiset(F.col(name)) for name in sets})
     folder = scratch_path(spark, "merge")
     J.write_extract(texts, f"{folder}/extract")
-    J.write_extract(texts.limit(5).withColumn("Occurrences", F.lit(10**9)), f"{folder}/other")
+    J.write_extract(texts.withColumn("Occurrences", F.lit(10**9)), f"{folder}/other")
     # Both writers name their files alike, so the stub is a part of the real ones' names.
     return folder, file_stub(spark, f"{folder}/extract")
 
