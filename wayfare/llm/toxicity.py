@@ -23,6 +23,8 @@ from wayfare.session import cut_lineage
 WORD = re.compile(r"[^\W\d_]+")
 #: Letters of a word's stem; words too rare to judge are judged by their stem.
 STEM = 5
+#: Most documents of each label that fitting reads; a label with fewer gives all.
+SAMPLE = 20_000
 #: Weight of the prior in words: counts are smoothed towards the whole corpus by so many words.
 PRIOR = 1000.0
 #: A word or stem takes part from so many labelled texts and so many standard errors on.
@@ -144,15 +146,22 @@ class Lookup(dict):
             return score
 
 
-def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic) of labelled rows; a document labelled both ways counts as toxic."""
-    marks = (
-        columns(labels, "doc_id", "toxic")
-        .where("doc_id IS NOT NULL AND toxic IS NOT NULL")
-        .groupBy("doc_id")
-        .agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    )
-    return columns(docs, "doc_id", "text").where("text IS NOT NULL").join(marks, "doc_id").select("text", "toxic")
+def _marks(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) once a document; one labelled both ways counts as toxic."""
+    known = columns(labels, "doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IS NOT NULL")
+    return known.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
+
+
+def _labelled(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """(text, toxic) of the labelled sample: ``SAMPLE`` documents a label, by the hash of their ids.
+
+    The limit works in each map task before anything is shuffled. The sample's ids are bounded, so
+    they are sent to the texts and no text is shuffled.
+    """
+    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
+    sample = marks.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= SAMPLE).drop("nth")
+    texts = columns(docs, "doc_id", "text").where("text IS NOT NULL")
+    return texts.join(F.broadcast(cut_lineage(sample)), "doc_id").select("text", "toxic")
 
 
 def _counts(labelled: DataFrame) -> DataFrame:
@@ -226,7 +235,7 @@ def scale_of(scores: list[tuple[float, float]]) -> float:
     return low
 
 
-def logistic(bins: list[tuple[float, int, int]]) -> tuple[float, float]:
+def logistic(bins: list[tuple[float, float, float]]) -> tuple[float, float]:
     """(slope, intercept) of the chance of a toxic label, fitted to (x, toxic, clean) with a weak prior."""
     slope, intercept, ridge = 1.0, -2.0, 1e-3
     for _ in range(100):
@@ -248,10 +257,13 @@ def logistic(bins: list[tuple[float, int, int]]) -> tuple[float, float]:
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from the rows of ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic) covers.
 
-    All labelled rows are counted. The driver receives at most ``MOST_ENTRIES`` features, one row
-    of sums, and ``BINS`` x 2 counts. Without labelled rows of both kinds the model knows no word.
+    Words are counted in at most ``SAMPLE`` documents of each label; the chance of a label comes
+    from all labels. The driver receives at most ``MOST_ENTRIES`` features, one row of sums, and
+    ``BINS`` x 2 counts. Without labelled rows of both kinds the model knows no word.
     """
-    labelled = cut_lineage(_labelled(docs, labels))
+    marks = cut_lineage(_marks(labels))
+    totals = dict(marks.groupBy("toxic").count().collect())
+    labelled = cut_lineage(_labelled(docs, marks))
     counts = cut_lineage(_counts(labelled))
     sizes = counts.where("feature = ''").first()
     toxic, clean = (int(sizes["toxic"]), int(sizes["clean"])) if sizes else (0, 0)
@@ -275,7 +287,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     # Bins of log(1 + evidence) that tell the two labels apart; 64 bins of 1/8 reach e**8.
     at = F.least(F.floor(F.log1p("best") * 8), F.lit(BINS - 1))
     bins = evidence.groupBy(at.alias("at")).agg(F.avg(F.log1p("best")).alias("x"), F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("n"))
-    slope, intercept = logistic([(row["x"], row["toxic"], row["n"] - row["toxic"]) for row in bins.collect()])
+    # A sampled document stands for as many as its label has to each of the sample.
+    w1, w0 = totals[1] / toxic, totals[0] / clean
+    slope, intercept = logistic([(row["x"], row["toxic"] * w1, (row["n"] - row["toxic"]) * w0) for row in bins.collect()])
     return Model(scores, scale, model.log_k, slope, intercept)
 
 
