@@ -6,7 +6,7 @@ into bands; documents that agree in a band are candidates. The likelihood of all
 set sizes drops hopeless candidates, and the full sets confirm the rest.
 
 Candidates are compared along pivots. In every bucket one member is compared with the others and
-components are joined; only members that are still apart go on to the next pivots. A bucket of
+components are joined; only members that are still apart go on to the next pivots, four times as many. A bucket of
 copies ends after one round, and no bucket is cut short: rounds end when each pair of a bucket has
 been compared or lies in one component.
 """
@@ -175,6 +175,15 @@ def _verified(pairs: DataFrame, full: DataFrame, limit: int) -> DataFrame:
     )
 
 
+def _are_stars(links: DataFrame) -> bool:
+    """Whether each node of links (u, v), v < u, is a centre or tied to one centre and nothing else."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+        links.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into"))
+    )
+    counts = ends.groupBy("node").agg(F.sum("out").alias("out"), F.sum("into").alias("into"))
+    return counts.where("out > 1 OR (out > 0 AND into > 0)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node of ``links`` (a, b): the smallest node reachable.
 
@@ -184,15 +193,13 @@ def components(links: DataFrame) -> DataFrame:
     are joined, so that a hub's links are split over tasks and never gathered.
     """
     links = cut_lineage(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    last, state = None, links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-    while state[0] and state != last:
+    while not _are_stars(links):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = cut_lineage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = cut_lineage(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         centre = cut_lineage(large.groupBy("u").agg(F.min("v").alias("m")))
         to = F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
         links = cut_lineage(large.join(centre, "u").select(to.alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
-        last, state = state, links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
     centres = links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return cut_lineage(links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(centres))
 
@@ -200,8 +207,7 @@ def components(links: DataFrame) -> DataFrame:
 def _joined(buckets: DataFrame, full: DataFrame, limit: int) -> DataFrame:
     """(node, component) from buckets (bucket, rep, first, place, size), by confirmed links."""
     pairs = buckets.where("place > 0").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
-    links = cut_lineage(_verified(pairs, full, limit))
-    named = components(links)
+    named = components(cut_lineage(_verified(pairs, full, limit)))
     open_ = cut_lineage(buckets.where("size > 2").select("bucket", "rep", "place"))
     done, step = 1, 1
     while True:
@@ -219,7 +225,7 @@ def _joined(buckets: DataFrame, full: DataFrame, limit: int) -> DataFrame:
         of = cut_lineage(of.join(cut_lineage(apart), "bucket", "left_semi"))
         if of.isEmpty():
             return named
-        step *= 2
+        step *= 4
         pivots = of.where((F.col("place") >= done) & (F.col("place") < done + step)).select(
             "bucket", F.col("rep").alias("a"), F.col("place").alias("at"), F.col("component").alias("own")
         )
@@ -232,8 +238,9 @@ def _joined(buckets: DataFrame, full: DataFrame, limit: int) -> DataFrame:
         )
         found = cut_lineage(_verified(pairs, full, limit))
         if not found.isEmpty():
-            links = links.unionByName(found)
-            named = components(links)
+            # The stars so far stand for all links found before.
+            stars = named.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            named = components(stars.unionByName(found))
         done += step
         open_ = of.select("bucket", "rep", "place")
 
