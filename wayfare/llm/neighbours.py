@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayfare.llm.tables import columns
+from wayfare.llm.tables import columns, in_slices
 from wayfare.operators.positions import with_position
 from wayfare.session import cut_lineage
 
@@ -85,11 +85,10 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 def _trees(reps: DataFrame, size: int) -> DataFrame:
     """(tree, key, rep, query): hash strings shifted to keep their order as signed numbers."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         normals = planes(size)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in in_slices(batches, 1024):
             keys = (hash_strings(matrix(batch.column("embedding")), normals) ^ np.uint64(1 << 63)).astype(np.int64)
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
