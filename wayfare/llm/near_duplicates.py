@@ -209,24 +209,24 @@ def _joined(buckets: DataFrame, full: DataFrame, limit: int) -> DataFrame:
     pairs = buckets.where("place > 0").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
     named = components(cut_lineage(_verified(pairs, full, limit)))
     open_ = cut_lineage(buckets.where("size > 2").select("bucket", "rep", "place"))
-    done, step = 1, 1
+    done, step = 1, 4
     while True:
         # Members of a bucket that are in one component need no more comparing with each other.
-        of = open_.join(named.withColumnRenamed("node", "rep"), "rep", "left").select(
+        # Those before place ``done`` have been compared with all others.
+        of = open_.where(F.col("place") >= done).join(named.withColumnRenamed("node", "rep"), "rep", "left").select(
             "bucket", "rep", "place", F.coalesce("component", "rep").alias("component")
         )
         apart = (
             of.groupBy("bucket")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("place").alias("last"))
+            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
             .where(F.col("low") != F.col("high"))
-            .where(F.col("last") > done)
             .select("bucket")
         )
         of = cut_lineage(of.join(cut_lineage(apart), "bucket", "left_semi"))
         if of.isEmpty():
             return named
         step *= 4
-        pivots = of.where((F.col("place") >= done) & (F.col("place") < done + step)).select(
+        pivots = of.where(F.col("place") < done + step).select(
             "bucket", F.col("rep").alias("a"), F.col("place").alias("at"), F.col("component").alias("own")
         )
         pairs = (
