@@ -44,17 +44,23 @@ class Languages:
 def fit(labelled: DataFrame) -> Languages:
     """Dictionaries from rows (doc_id, text, lang); rows without text or language are passed over.
 
-    The sample of a language is its ``SAMPLE_TEXTS`` rows with the smallest hash of their id. The
-    limit is applied in every map task before the shuffle, so a language that holds most rows sends
-    no more than any other.
+    The sample of a language is its ``SAMPLE_TEXTS`` rows with the smallest hash of their id (modulo 2**30). Rows
+    are first drawn by that hash with a share that leaves some four times as many, so a language
+    that holds most rows gathers no more of them than any other.
     """
     rows = (
         columns(labelled, "doc_id", "text", "lang")
         .where("lang IS NOT NULL AND text IS NOT NULL AND text RLIKE '\\\\p{L}'")
         .select("lang", F.xxhash64("doc_id").alias("at"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
     )
-    order = Window.partitionBy("lang").orderBy("at", "text")
-    sample = rows.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= SAMPLE_TEXTS)
+    # One row a language.
+    totals = rows.groupBy("lang").count().collect()
+    drawn, share = F.pmod("at", F.lit(1 << 30)), F.lit(0)
+    for row in totals:
+        most = int((1 << 30) * min(1.0, 4 * SAMPLE_TEXTS / row["count"]))
+        share = F.when(F.col("lang") == row["lang"], F.lit(most)).otherwise(share)
+    order = Window.partitionBy("lang").orderBy(drawn, "at", "text")
+    sample = rows.where(drawn < share).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= SAMPLE_TEXTS)
     found: dict[str, list[str]] = {}
     for row in sample.orderBy("lang", "nth").select("lang", "text").collect():
         found.setdefault(row["lang"], []).append(row["text"])

@@ -14,7 +14,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.llm.tables import columns, in_slices
@@ -23,7 +23,8 @@ from wayfare.session import cut_lineage
 WORD = re.compile(r"[^\W\d_]+")
 #: Letters of a word's stem; words too rare to judge are judged by their stem.
 STEM = 5
-#: Most documents of each label that fitting reads; a label with fewer gives all.
+#: Documents of each label that fitting reads, within the spread of independent draws; a label with
+#: fewer gives all.
 SAMPLE = 20_000
 #: Weight of the prior in words: counts are smoothed towards the whole corpus by so many words.
 PRIOR = 1000.0
@@ -152,16 +153,19 @@ def _marks(labels: DataFrame) -> DataFrame:
     return known.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
 
 
-def _labelled(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """(text, toxic) of the labelled sample: ``SAMPLE`` documents a label, by the hash of their ids.
+def _labelled(docs: DataFrame, marks: DataFrame, totals: dict[int, int]) -> DataFrame:
+    """(text, toxic) of the labelled sample: some ``SAMPLE`` documents a label, by the hash of their ids.
 
-    The limit works in each map task before anything is shuffled. The sample's ids are bounded, so
-    they are sent to the texts and no text is shuffled.
+    A document is drawn by itself, with the share that its label's total allows, so nothing is
+    gathered or sorted. The sample's ids are bounded, so they are sent to the texts and no text is
+    shuffled.
     """
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = marks.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= SAMPLE).drop("nth")
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    share = F.lit(0)
+    for toxic, total in totals.items():
+        share = F.when(F.col("toxic") == toxic, F.lit(int((1 << 30) * min(1.0, SAMPLE / total)))).otherwise(share)
     texts = columns(docs, "doc_id", "text").where("text IS NOT NULL")
-    return texts.join(F.broadcast(cut_lineage(sample)), "doc_id").select("text", "toxic")
+    return texts.join(F.broadcast(cut_lineage(marks.where(drawn < share))), "doc_id").select("text", "toxic")
 
 
 def _counts(labelled: DataFrame) -> DataFrame:
@@ -263,7 +267,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """
     marks = cut_lineage(_marks(labels))
     totals = dict(marks.groupBy("toxic").count().collect())
-    labelled = cut_lineage(_labelled(docs, marks))
+    labelled = cut_lineage(_labelled(docs, marks, totals))
     counts = cut_lineage(_counts(labelled))
     sizes = counts.where("feature = ''").first()
     toxic, clean = (int(sizes["toxic"]), int(sizes["clean"])) if sizes else (0, 0)
