@@ -301,6 +301,32 @@ def test_neighbour_edges(spark):
     assert neighbours.search(frame.where("false"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def recall_of(spark, vectors, asked):
+    """Share of the five true neighbours that ``search`` finds for the rows ``asked``."""
+    frame = spark.createDataFrame(pa.table({"vec_id": pa.array(np.arange(len(vectors))), "embedding": pa.array(list(vectors), pa.list_(pa.float32()))}))
+    found = neighbours.search(frame, F.col("vec_id").isin(asked), k=5).toPandas()
+    exact = vectors.astype(np.float32).astype(float)
+    exact /= np.sqrt((exact * exact).sum(axis=1))[:, None]
+    hits = 0
+    for q in asked:
+        scores = exact @ exact[q]
+        scores[q] = -9
+        hits += (found[found.query_id == q].score >= np.sort(scores)[-5] - 1e-9).sum()
+    return hits / (5 * len(asked))
+
+
+def test_neighbours_of_many_vectors(spark):
+    vectors = np.random.default_rng(3).standard_normal((240_000, 64)).astype(np.float32)
+    assert recall_of(spark, vectors, list(range(0, 240_000, 4_000))) >= 0.9
+
+
+def test_neighbours_in_a_dense_cluster(spark):
+    draw = np.random.default_rng(4)
+    vectors = draw.standard_normal((24_000, 32))
+    vectors[:20_000] = vectors[0] + 1e-4 * draw.standard_normal((20_000, 32))
+    assert recall_of(spark, vectors, list(range(0, 24_000, 400))) >= 0.9
+
+
 # 6: near duplicates
 
 

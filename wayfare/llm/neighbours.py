@@ -4,8 +4,12 @@ Every tree gives each vector a string of hash bits and keeps the vectors as an a
 A query descends to the place of its longest-prefix match in each tree. All trees then ascend in
 step, one prefix bit at a time, until enough vectors share the prefix; these are compared exactly.
 
-The sorted arrays are cut into blocks of equal size with a margin on both sides, so that no run of
-equal prefixes, however long, meets in one task.
+How far a query looks is measured, not given: queries of a sample are answered exactly, and the
+window is as wide as their neighbours need, up to the whole array.
+
+The sorted arrays are cut into blocks of bounded size, and queries are sent to all blocks they look
+at, so that no run of equal prefixes, however long, meets in one task. Runs of equal strings are
+sorted by a projection of the tree's own, so that each tree shows other members of a dense cluster.
 """
 
 from __future__ import annotations
@@ -23,8 +27,13 @@ from wayfare.session import cut_lineage
 
 #: Trees and bits of their hash strings.
 TREES, BITS = 24, 64
-#: Places a query looks at on either side in a tree: ``REACH * sqrt(n)`` of n vectors.
+#: Places a query looks at on either side in a tree, at least: ``REACH * sqrt(n)`` of n vectors.
 REACH = 6.0
+#: Queries answered exactly to size the window, the share of their neighbours that has to lie in it,
+#: and the share found below which the window is doubled.
+SAMPLE, INSIDE, RECALL = 256, 0.98, 0.95
+#: Numbers of a block's vectors, at most (32 MB as doubles).
+BLOCK_NUMBERS = 1 << 22
 #: Vectors that have to share the prefix before the ascent ends, as a share of all places looked at.
 ENOUGH = 0.8
 SEED = 7
@@ -84,60 +93,119 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def _trees(reps: DataFrame, size: int) -> DataFrame:
-    """(tree, key, rep, query): hash strings shifted to keep their order as signed numbers."""
+    """(tree, key, within, rep, query): hash strings shifted to keep their order as signed numbers.
+
+    ``within`` orders equal strings: the projection of the unit vector on a direction of the tree.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         normals = planes(size)
+        directions = np.random.default_rng(SEED + 1).standard_normal((size, TREES))
         for batch in in_slices(batches, 1024):
-            keys = (hash_strings(matrix(batch.column("embedding")), normals) ^ np.uint64(1 << 63)).astype(np.int64)
+            vectors = matrix(batch.column("embedding"))
+            keys = (hash_strings(vectors, normals) ^ np.uint64(1 << 63)).astype(np.int64)
+            within = vectors @ directions / np.sqrt((vectors * vectors).sum(axis=1))[:, None]
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.tile(np.arange(TREES, dtype=np.int32), n)),
                     pa.array(keys.ravel()),
+                    pa.array(within.ravel()),
                     pa.array(np.repeat(batch.column("rep").to_numpy(), TREES)),
                     pa.array(np.repeat(batch.column("query").to_numpy(zero_copy_only=False), TREES)),
                 ],
-                ["tree", "key", "rep", "query"],
+                ["tree", "key", "within", "rep", "query"],
             )
 
-    return reps.select("rep", "query", "embedding").mapInArrow(run, "tree int, key long, rep long, query boolean")
+    return reps.select("rep", "query", "embedding").mapInArrow(run, "tree int, key long, within double, rep long, query boolean")
 
 
-def _blocks(placed: DataFrame, reach: int) -> DataFrame:
-    """Rows of ``placed`` (tree, place, ..) in their own block and those whose margin they lie in."""
-    size = 4 * reach
-    first, last = F.floor((F.col("place") - reach) / size), F.floor((F.col("place") + reach) / size)
-    home = F.floor(F.col("place") / size)
-    return placed.withColumn("block", F.explode(F.sequence(F.greatest(first, F.lit(0)), last))).withColumn("home", F.col("block") == home)
+def _exact(reps: DataFrame, ids: np.ndarray, asked: np.ndarray, k: int) -> dict[int, list[tuple[float, int]]]:
+    """The ``k`` nearest (score, rep) of a sample of queries, by comparing it with all vectors."""
+    units = asked / np.sqrt((asked * asked).sum(axis=1))[:, None]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, names = np.empty((0, len(ids))), np.empty((0, len(ids)), np.int64)
+        for batch in in_slices(batches, 4096):
+            vectors, rep = matrix(batch.column("embedding")), batch.column("rep").to_numpy()
+            scores = vectors @ units.T / np.sqrt((vectors * vectors).sum(axis=1))[:, None]
+            scores[rep[:, None] == ids[None, :]] = -np.inf
+            best, names = np.concatenate([best, scores]), np.concatenate([names, np.repeat(rep[:, None], len(ids), axis=1)])
+            top = np.argsort(-best, axis=0, kind="stable")[:k]
+            best, names = np.take_along_axis(best, top, axis=0), np.take_along_axis(names, top, axis=0)
+        query = np.repeat(ids[None, :], len(best), axis=0)
+        real = np.isfinite(best)
+        yield pa.RecordBatch.from_arrays([pa.array(query[real]), pa.array(names[real]), pa.array(best[real])], ["query", "rep", "score"])
+
+    found = reps.select("rep", "embedding").mapInArrow(run, "query long, rep long, score double")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
+    out: dict[int, list[tuple[float, int]]] = {}
+    for row in found.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k).orderBy("query", "nth").collect():
+        out.setdefault(row["query"], []).append((row["score"], row["rep"]))
+    return out
+
+
+def _needed(placed: DataFrame, truth: dict[int, list[tuple[float, int]]]) -> int:
+    """Places on either side that hold ``INSIDE`` of the true neighbours, each in the tree where it is nearest."""
+    ids = sorted({*truth, *(rep for found in truth.values() for _, rep in found)})
+    places = {rep: np.zeros(TREES, np.int64) for rep in ids}
+    for row in placed.where(F.col("rep").isin(ids)).select("tree", "rep", "place").collect():
+        places[row["rep"]][row["tree"]] = row["place"]
+    apart = [np.abs(places[query] - places[rep]).min() for query, found in truth.items() for _, rep in found]
+    return int(np.quantile(apart, INSIDE, method="higher")) if apart else 0
+
+
+def _recall(near: DataFrame, truth: dict[int, list[tuple[float, int]]], k: int) -> float:
+    """Share of the sample's true neighbours found; equally near ones stand for each other."""
+    rows = near.where(F.col("query").isin(sorted(truth))).select("query", "rep", "score").distinct()
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
+    rows = rows.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k)
+    found = sum(row["score"] >= truth[row["query"]][-1][0] - 1e-9 for row in rows.collect())
+    return found / max(1, sum(map(len, truth.values())))
+
+
+def _blocks(placed: DataFrame, reach: int, size: int) -> DataFrame:
+    """Rows of ``placed`` (tree, place, query, ..) in their block; those that ask also in all blocks they look at."""
+    rows = placed.withColumn("block", F.floor(F.col("place") / size)).withColumn("asks", F.lit(False))
+    first, last = F.floor(F.greatest(F.col("place") - reach, F.lit(0)) / size), F.floor((F.col("place") + reach) / size)
+    return rows.unionByName(placed.where("query").withColumn("block", F.explode(F.sequence(first, last))).withColumn("asks", F.lit(True)))
 
 
 def _runs(table: pa.Table, reach: int):
-    """For each query of a block: (row, rows within reach in order of place, shared prefix bits)."""
-    place = table.column("place").to_numpy()
-    order = np.argsort(place)
-    place, keys = place[order], table.column("key").to_numpy()[order].astype(np.uint64)
-    asks = (table.column("query").to_numpy() & table.column("home").to_numpy())[order]
-    for at in np.flatnonzero(asks):
-        low, high = np.searchsorted(place, place[at] - reach), np.searchsorted(place, place[at] + reach, "right")
-        near = np.concatenate([np.arange(low, at), np.arange(at + 1, high)])
-        yield order[at], order[near], common_prefix(keys[near], keys[at])
-
-
-def _levels(placed: DataFrame, reach: int, enough: int) -> DataFrame:
+    """Rows of a block in order of place, then for each query: (row, low, high, shared prefix bits).
+
+    Those of ``order[low:high]`` lie within reach; the query itself, if there, shares -1 bits.
+    """
+    asks = table.column("asks").to_numpy()
+    place, keys = table.column("place").to_numpy(), table.column("key").to_numpy().astype(np.uint64)
+    order = np.flatnonzero(~asks)
+    order = order[np.argsort(place[order])]
+    sorted_places, sorted_keys = place[order], keys[order]
+
+    def each():
+        for at in np.flatnonzero(asks):
+            low, high = np.searchsorted(sorted_places, place[at] - reach), np.searchsorted(sorted_places, place[at] + reach, "right")
+            shared = common_prefix(sorted_keys[low:high], keys[at])
+            shared[sorted_places[low:high] == place[at]] = -1
+            yield at, low, high, shared
+
+    return order, each()
+
+
+def _levels(placed: DataFrame, reach: int, size: int, enough: int) -> DataFrame:
     """(rep, level) of every query: the longest prefix that ``enough`` vectors share over all trees."""
 
     def run(table: pa.Table) -> pa.Table:
         reps = table.column("rep").to_numpy()
         rows: list[np.ndarray] = []
-        for at, _, shared in _runs(table, reach):
-            counts = np.bincount(shared, minlength=BITS + 1)
+        for at, _, _, shared in _runs(table, reach)[1]:
+            counts = np.bincount(shared[shared >= 0], minlength=BITS + 1)
             level = np.flatnonzero(counts)
             rows.append(np.stack([np.full(len(level), reps[at]), level, counts[level]]))
         out = np.concatenate(rows, axis=1) if rows else np.empty((3, 0), np.int64)
         return pa.table({"rep": pa.array(out[0], pa.int64()), "level": pa.array(out[1], pa.int64()), "n": pa.array(out[2], pa.int64())})
 
-    found = _blocks(placed, reach).groupBy("tree", "block").applyInArrow(run, "rep long, level long, n long")
+    found = _blocks(placed, reach, size).groupBy("tree", "block").applyInArrow(run, "rep long, level long, n long")
     levels = found.groupBy("rep", "level").agg(F.sum("n").alias("n"))
     # A query has at most BITS + 1 levels.
     down = Window.partitionBy("rep").orderBy(F.desc("level"))
@@ -145,26 +213,32 @@ def _levels(placed: DataFrame, reach: int, enough: int) -> DataFrame:
     return reached.groupBy("rep").agg(F.coalesce(F.max(F.when(F.col("total") >= enough, F.col("level"))), F.lit(0)).alias("level"))
 
 
-def _nearest(placed: DataFrame, reps: DataFrame, levels: DataFrame, reach: int, k: int) -> DataFrame:
+def _nearest(placed: DataFrame, reps: DataFrame, levels: DataFrame, reach: int, size: int, k: int) -> DataFrame:
     """(query, rep, score): the ``k`` nearest candidates of each query and tree."""
 
     def run(table: pa.Table) -> pa.Table:
         ids, level = table.column("rep").to_numpy(), table.column("level").to_numpy()
         vectors = matrix(table.column("embedding"))
         norms = np.sqrt((vectors * vectors).sum(axis=1))
+        order, asking = _runs(table, reach)
+        ids_, vectors_, norms_ = ids[order], vectors[order], norms[order]
         query, rep, score = [], [], []
-        for at, near, shared in _runs(table, reach):
-            near = near[shared >= level[at]]
-            values = cosines(vectors[near], norms[near], vectors[at], norms[at])
-            best = np.lexsort((ids[near], -values))[:k]
+        for at, low, high, shared in asking:
+            near = low + np.flatnonzero(shared >= max(level[at], 0))
+            if len(near) > 4 * k:
+                # A quick product leaves out what is clearly farther than the k-th.
+                quick = (vectors_[low:high] @ vectors[at])[near - low] / (norms_[near] * norms[at])
+                near = near[quick >= np.partition(quick, -k)[-k] - 1e-9]
+            values = cosines(vectors_[near], norms_[near], vectors[at], norms[at])
+            best = np.lexsort((ids_[near], -values))[:k]
             query.append(np.full(len(best), ids[at]))
-            rep.append(ids[near][best])
+            rep.append(ids_[near][best])
             score.append(values[best])
         join = lambda parts, kind: pa.array(np.concatenate(parts) if parts else np.empty(0), kind)
         return pa.table({"query": join(query, pa.int64()), "rep": join(rep, pa.int64()), "score": join(score, pa.float64())})
 
     rows = placed.join(levels, "rep", "left").withColumn("level", F.coalesce("level", F.lit(BITS)))
-    rows = _blocks(rows.join(reps.select("rep", "embedding"), "rep"), reach)
+    rows = _blocks(rows.join(reps.select("rep", "embedding"), "rep"), reach, size)
     return rows.groupBy("tree", "block").applyInArrow(run, "query long, rep long, score double").distinct()
 
 
@@ -174,6 +248,8 @@ def search(vectors: DataFrame, queries, k: int = 5) -> DataFrame:
     ``queries`` is a condition on vec_id. Nearness is the cosine of the original vectors in double
     precision, ties to the smaller vec_id; a query is no neighbour of itself. Equal vectors are one
     entry of the index with their k + 1 smallest ids, so copies cost nothing and come out exactly.
+    A sample of the queries is also answered exactly: the window is sized by it and doubled until
+    ``RECALL`` of its neighbours are found, if need be until it holds all rows.
     Rows that ``usable`` leaves out neither ask nor answer; fewer candidates give fewer rows.
     Rows that repeat a vec_id with the same vector count once.
     """
@@ -188,11 +264,18 @@ def search(vectors: DataFrame, queries, k: int = 5) -> DataFrame:
     reps = cut_lineage(reps.select("rep", "query", "embedding").dropDuplicates(["rep"]))
     n = reps.count()
     size = len(reps.first()["embedding"]) if n else 1
-    reach = max(k + 1, int(np.ceil(REACH * np.sqrt(n))))
-    positions = with_position(_trees(reps, size), [F.col("tree"), F.col("key"), F.col("rep")], "at")
+    drawn = reps.where("query").orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("rep", "embedding").toArrow()
+    truth = _exact(reps, drawn.column("rep").to_numpy(), matrix(drawn.column("embedding")), k) if drawn.num_rows else {}
+    positions = with_position(_trees(reps, size), [F.col("tree"), F.col("key"), F.col("within"), F.col("rep")], "at")
     placed = cut_lineage(positions.select("tree", "key", "rep", "query", (F.col("at") - F.col("tree") * F.lit(n)).alias("place")))
-    levels = cut_lineage(_levels(placed, reach, int(ENOUGH * 2 * reach * TREES)))
-    near = cut_lineage(_nearest(placed, reps, levels, reach, k))
+    reach = max(k + 1, int(np.ceil(REACH * np.sqrt(n))), _needed(placed, truth))
+    while True:
+        block = max(256, min(4 * reach, BLOCK_NUMBERS // size))
+        levels = cut_lineage(_levels(placed, reach, block, int(ENOUGH * 2 * min(reach, n) * TREES)))
+        near = cut_lineage(_nearest(placed, reps, levels, reach, block, k))
+        if reach >= n or _recall(near, truth, k) >= RECALL:
+            break
+        reach *= 2
     best = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
     top = near.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k).drop("nth")
     # The cosine of equal vectors by the formula of all others, which can differ from 1 in the last bit.
