@@ -452,6 +452,19 @@ def test_contamination(spark):
     assert contamination.find(frame.where("false"), bench).count() == 0 and contamination.find(frame, bench.where("false")).count() == 0
 
 
+def found_pairs(spark, items, rows):
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    return {(r["doc_id"], r["item_id"]): r["kind"] for r in contamination.find(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+
+
+def test_one_contradiction_costs_its_windows_only(spark):
+    year = "The old mill by the river was built in 1990 by two brothers from the next village and it burned down later in 1990 after a long and very dry summer"
+    haus = "wir sahen das Haus am Fluss und gingen danach lange durch den Wald bis wir wieder vor dem Haus standen und leise die schwere Tür öffneten"
+    sums = "a boy has 3 apples in his bag and a girl has 5 apples in her bag so how many apples do they have in all"
+    rows = [(1, year.replace("later in 1990", "later in 1991")), (2, haus.replace("vor dem Haus", "vor dem Zelt")), (3, sums.replace("3", "4").replace("5", "4"))]
+    assert set(found_pairs(spark, [(1, year), (2, haus), (3, sums)], rows)) == {(1, 1), (2, 2), (3, 3)}
+
+
 def test_planted_passages(spark, docs):
     found = queries.QUERIES["op8_decontamination"](spark, SF).toPandas()
     squeeze = lambda t: " ".join(re.findall(r"\w+", (t or "").lower()))

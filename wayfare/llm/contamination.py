@@ -2,21 +2,24 @@
 
 Numbers, units and names of a text become typed placeholders. Windows of the resulting templates
 are joined by hash with those of the benchmark. Matches are counted along one alignment of a
-document and an item, and only if the values in the slots map one to one, which also catches a
-question that was given other numbers and names.
+document and an item, and only where a slot's value is what stands for the item's value in most
+places, which also catches a question that was given other numbers and names. Each text is read
+three ways (``WAYS``); the one that covers most of an item counts.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.llm.bytewords import LOWER, buffer_of, hashes, in_bytes, rolled, spans
-from wayfare.llm.tables import columns
+from wayfare.llm.tables import columns, in_slices, text_keys
 from wayfare.session import cut_lineage
 
 #: Template tokens in a window; shorter items are one window of their own length, and items of
@@ -27,6 +30,10 @@ LEAST_TOKENS = 5
 LEAST_COVERED = 0.5
 #: A window says something only with so many literal words in it.
 LEAST_LITERAL = 3
+#: How a text is read: sentence openers are words; every capitalised word is a name, wherever it
+#: stands; every token is a literal in lower case. Each way has windows of its own.
+OPENERS_ARE_WORDS, ALL_ARE_NAMES, LITERAL = (0, 1, 2)
+WAYS = (OPENERS_ARE_WORDS,)
 #: Bits of the filter on benchmark windows, at most (4 MB); it prunes windows of documents before
 #: the join and decides nothing, so a benchmark of any size may fill it.
 FILTER_BITS = 1 << 25
@@ -59,11 +66,12 @@ class Templates:
     A token is a run of ASCII letters and digits and of other characters' UTF-8 bytes, save general
     punctuation; points and commas between digits belong to the number. Units count as such after a
     number only. A capitalised word (ASCII or Latin-1) is a name unless it begins a sentence; names
-    in a row are one slot. ``first[t]`` to ``first[t + 1]`` are the tokens of text ``t``.
+    in a row are one slot. ``first[t]`` to ``first[t + 1]`` are the tokens of text ``t``. Other ways
+    of reading are those of ``WAYS``.
     """
 
-    def __init__(self, texts: pa.Array) -> None:
-        raw, offsets = buffer_of(texts)
+    def __init__(self, texts: pa.Array, way: int = OPENERS_ARE_WORDS) -> None:
+        raw, offsets = buffer_of(pc.utf8_lower(texts) if way == LITERAL else texts)
         n = len(raw)
         data = LOWER[raw]
         before, after = np.zeros(n, np.uint8), np.zeros(n, np.uint8)
@@ -83,7 +91,7 @@ class Templates:
         starts, ends, first = spans(inside, offsets)
         kinds = np.zeros(len(starts), np.int8)
         found = hashes(data, starts, ends)
-        if len(starts):
+        if len(starts) and way != LITERAL:
             other = np.concatenate([[0], np.cumsum(~(_DIGIT[raw] | _POINT[raw]))])
             kinds[other[ends] == other[starts]] = NUMBER
             capital = (raw >= 65) & (raw <= 90)
@@ -94,7 +102,7 @@ class Templates:
             opens[1:] = stops[starts[1:]] > stops[ends[:-1]]
             opens[first[:-1][first[:-1] < len(starts)]] = True
             letters = ends - starts > 1
-            kinds[capital[starts] & (many[ends] - many[starts] == 1) & letters & ~opens] = NAME
+            kinds[capital[starts] & (many[ends] - many[starts] == 1) & letters & (~opens | (way == ALL_ARE_NAMES))] = NAME
             follows = np.zeros(len(starts), bool)
             follows[1:] = kinds[:-1] == NUMBER
             follows[first[:-1][first[:-1] < len(starts)]] = False
@@ -110,11 +118,12 @@ class Templates:
             kinds, found = kinds[keep], found[keep]
         self.raw, self.starts, self.ends, self.first, self.kinds = raw, starts, ends, first, kinds
         self.hashes = np.where(kinds == WORD, found, kinds.astype(np.uint64))
+        self.way = np.uint64(way * 0x2545F4914F6CDD1D & 0xFFFFFFFFFFFFFFFF)
         self.literal = np.concatenate([[0], np.cumsum(kinds == WORD)])
 
     def windows(self, length: int) -> tuple[np.ndarray, np.ndarray]:
         """(hash, text) of the windows of ``length`` tokens that lie in one text, text -1 elsewhere."""
-        found = rolled(self.hashes, length)
+        found = rolled(self.hashes, length) ^ self.way
         text = np.searchsorted(self.first, np.arange(len(found)), "right") - 1
         text[self.first[text + 1] - np.arange(len(found)) < length] = -1
         return found, text
@@ -128,11 +137,17 @@ class Templates:
         ]
 
 
+    def places(self, at: int, length: int) -> list[int]:
+        """Places in its text of the slots of a window, in order."""
+        text = np.searchsorted(self.first, at, "right") - 1
+        return [int(i - self.first[text]) for i in range(at, at + length) if self.kinds[i] != WORD]
+
+
 _UNIT_HASHES = _hash_words(list(UNITS))
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """(hash, item_id, item_at, length, n_windows, item_slots) of every window of the benchmark.
+    """(hash, item_id, way, item_at, length, n_windows, item_slots, item_places) of every window of the benchmark.
 
     Items of fewer than ``LEAST_TOKENS`` tokens have no window. Windows with fewer than ``LEAST_LITERAL`` literal words do
     not count, unless an item has no other.
@@ -141,27 +156,29 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_bytes(batches):
             rows: list[tuple] = []
-            all_ = Templates(batch.column("text"))
-            sizes = np.diff(all_.first)
-            for length in np.unique(np.minimum(sizes, WINDOW)):
-                if length < LEAST_TOKENS:
-                    continue
-                found, text = all_.windows(int(length))
-                good = all_.literal[length:] - all_.literal[:-length] >= min(LEAST_LITERAL, length)
-                for t in np.flatnonzero(np.minimum(sizes, WINDOW) == length):
-                    own = np.flatnonzero(text[all_.first[t] : all_.first[t + 1]] == t) + all_.first[t]
-                    own = own[good[own]] if good[own].any() else own
-                    item = batch.column("item_id")[int(t)].as_py()
-                    rows += (
-                        (int(found[at].astype(np.int64)), item, int(at - all_.first[t]), int(length), len(own), all_.slots(at, length)) for at in own
-                    )
-            kinds_ = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string()))
+            for way in WAYS:
+                all_ = Templates(batch.column("text"), way)
+                sizes = np.diff(all_.first)
+                for length in np.unique(np.minimum(sizes, WINDOW)):
+                    if length < LEAST_TOKENS:
+                        continue
+                    found, text = all_.windows(int(length))
+                    good = all_.literal[length:] - all_.literal[:-length] >= min(LEAST_LITERAL, length)
+                    for t in np.flatnonzero(np.minimum(sizes, WINDOW) == length):
+                        own = np.flatnonzero(text[all_.first[t] : all_.first[t + 1]] == t) + all_.first[t]
+                        own = own[good[own]] if good[own].any() else own
+                        item = batch.column("item_id")[int(t)].as_py()
+                        rows += (
+                            (int(found[at].astype(np.int64)), item, way, int(at - all_.first[t]), int(length), len(own), all_.slots(at, length), all_.places(at, length))
+                            for at in own
+                        )
+            kinds_ = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()))
             values = list(map(list, zip(*rows))) if rows else [[] for _ in kinds_]
-            names = ["hash", "item_id", "item_at", "length", "n_windows", "item_slots"]
+            names = ["hash", "item_id", "way", "item_at", "length", "n_windows", "item_slots", "item_places"]
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds_)], names)
 
     rows = columns(benchmark, "item_id", "text").withColumn("item_id", F.col("item_id").cast("long"))
-    schema = "hash long, item_id long, item_at int, length int, n_windows int, item_slots array<string>"
+    schema = "hash long, item_id long, way int, item_at int, length int, n_windows int, item_slots array<string>, item_places array<int>"
     return rows.where("item_id IS NOT NULL AND text IS NOT NULL").mapInArrow(run, schema)
 
 
@@ -191,13 +208,55 @@ def filter_of(items: DataFrame, count: int) -> np.ndarray:
     return out
 
 
-def find(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_COVERED) -> DataFrame:
-    """(doc_id, item_id, covered, n_windows, kind) of documents that hold an item.
+def consistent(windows: list[dict]) -> list[tuple[int, bool]]:
+    """(item_at, whether all slots are equal) of the windows of an alignment that agree with the others.
 
-    ``covered`` is the share of the item's windows found in the document, counted once each along
-    alignments whose slots map one to one; ``kind`` is ``verbatim`` where all slots are equal, else
-    ``changed``. Texts are read whole. Null or empty texts hold nothing; rows without doc_id are not
-    reported; repeated rows of one doc_id count once. Either table may be empty.
+    An item's value stands for the document's value that it meets in most places, on a tie for
+    itself if it is among them and else for nothing. Windows with another value in a slot are left
+    out, save those whose slots are all equal. Two values may stand for one.
+    """
+    met: dict[str, dict[int, str]] = {}
+    for window in windows:
+        for place, item, doc in zip(window["item_places"], window["item_slots"], window["slots"]):
+            met.setdefault(item, {})[place] = doc
+    stands: dict[str, str | None] = {}
+    for item, places in met.items():
+        counts = Counter(places.values())
+        most = max(counts.values())
+        top = [doc for doc, n in counts.items() if n == most]
+        stands[item] = top[0] if len(top) == 1 else item if item in top else None
+    out = []
+    for window in windows:
+        same = window["item_slots"] == window["slots"]
+        if same or all(stands[item] == doc for item, doc in zip(window["item_slots"], window["slots"])):
+            out.append((window["item_at"], same))
+    return out
+
+
+def _kept_windows(aligned: DataFrame) -> DataFrame:
+    """(doc_id, key, key2, item_id, way, n_windows, item_at, same) of the consistent windows of each alignment."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches, 1024):
+            rows, at, same = [], [], []
+            for i, windows in enumerate(batch.column("windows")):
+                for item_at, equal in consistent(windows.as_py()):
+                    rows.append(i)
+                    at.append(item_at)
+                    same.append(equal)
+            named = batch.select(names).take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*named.columns, pa.array(at, pa.int32()), pa.array(same, pa.bool_())], [*names, "item_at", "same"])
+
+    names = ["doc_id", "key", "key2", "item_id", "way", "n_windows"]
+    schema = "doc_id long, key long, key2 long, item_id long, way int, n_windows int, item_at int, same boolean"
+    return aligned.select(*names, "windows").mapInArrow(run, schema)
+
+
+def find_in_texts(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_COVERED) -> DataFrame:
+    """(doc_id, key, key2, item_id, covered, n_windows, kind) of texts that hold an item.
+
+    ``key`` and ``key2`` are ``text_keys``. As ``find``, but each text of a doc_id is judged by
+    itself, and rows without doc_id are reported too.
     """
     items = cut_lineage(item_windows(benchmark))
     lengths = [row[0] for row in items.select("length").distinct().collect()]  # at most WINDOW
@@ -207,39 +266,53 @@ def find(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_COVERED) ->
         size = len(bits) << 6
         for batch in in_bytes(batches):
             rows: list[tuple] = []
-            all_ = Templates(batch.column("text"))
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            for length in lengths:
-                found, text = all_.windows(length)
-                one, two = (bits[place >> np.uint64(6)] >> (place & np.uint64(63)) for place in _places(found, size))
-                for at in np.flatnonzero((one & two & np.uint64(1)).astype(bool) & (text >= 0)):
-                    t = text[at]
-                    rows.append((int(found[at].astype(np.int64)), int(ids[t]), int(at - all_.first[t]), all_.slots(at, length)))
-            values = list(map(list, zip(*rows))) if rows else [[], [], [], []]
+            for way in WAYS:
+                all_ = Templates(batch.column("text"), way)
+                for length in lengths:
+                    found, text = all_.windows(length)
+                    one, two = (bits[place >> np.uint64(6)] >> (place & np.uint64(63)) for place in _places(found, size))
+                    for at in np.flatnonzero((one & two & np.uint64(1)).astype(bool) & (text >= 0)):
+                        t = text[at]
+                        rows.append((int(t), int(found[at].astype(np.int64)), int(at - all_.first[t]), all_.slots(at, length)))
             kinds_ = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds_)], ["hash", "doc_id", "at", "slots"])
+            row, *values = map(list, zip(*rows)) if rows else [[] for _ in kinds_]
+            named = batch.select(["doc_id", "key", "key2"]).take(pa.array(row, pa.int64()))
+            found_ = [pa.array(v, k) for v, k in zip(values, kinds_[1:])]
+            yield pa.RecordBatch.from_arrays([*named.columns, *found_], ["doc_id", "key", "key2", "hash", "at", "slots"])
 
-    texts = columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    hits = texts.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(run, "hash long, doc_id long, at int, slots array<string>")
+    texts = columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).where("text IS NOT NULL")
+    hits = texts.select("*", *text_keys()).mapInArrow(run, "doc_id long, key long, key2 long, hash long, at int, slots array<string>")
     joined = hits.join(items, "hash").where("size(slots) = size(item_slots)")
-    pairs = F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))
     aligned = (
-        joined.withColumn("pairs", pairs)
-        .groupBy("doc_id", "item_id", "n_windows", (F.col("at") - F.col("item_at")).alias("shift"))
-        # Both are bounded by the item: its windows and its slots.
-        .agg(F.collect_set("item_at").alias("found"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-        .withColumn("items_side", F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"]))))
-        .withColumn("docs_side", F.size(F.array_distinct(F.transform("pairs", lambda p: p["doc"]))))
-        .where("items_side = size(pairs) AND docs_side = size(pairs)")
-        .withColumn("same", F.forall("pairs", lambda p: p["item"] == p["doc"]))
+        joined.groupBy("doc_id", "key", "key2", "item_id", "way", "n_windows", (F.col("at") - F.col("item_at")).alias("shift"))
+        # Bounded by the item: a window of it stands at one place of the text.
+        .agg(F.collect_set(F.struct("item_at", "item_places", "item_slots", "slots")).alias("windows"))
     )
-    return (
-        aligned.select("doc_id", "item_id", "n_windows", "same", F.explode("found").alias("item_at"))
-        .groupBy("doc_id", "item_id", "n_windows", "item_at")
+    of = ["doc_id", "key", "key2", "item_id"]
+    best = (
+        _kept_windows(aligned)
+        .groupBy(*of, "way", "n_windows", "item_at")
         .agg(F.max("same").alias("same"))
-        .groupBy("doc_id", "item_id", "n_windows")
+        .groupBy(*of, "way", "n_windows")
         .agg(F.count(F.lit(1)).alias("found"), F.min("same").alias("same"))
         .withColumn("covered", F.col("found") / F.col("n_windows"))
-        .where(F.col("covered") >= least)
-        .select("doc_id", "item_id", "covered", F.col("n_windows").cast("long").alias("n_windows"), F.when(F.col("same"), "verbatim").otherwise("changed").alias("kind"))
+        .groupBy(*of)
+        .agg(F.max(F.struct("covered", (-F.col("way")).alias("way"), "n_windows", "same")).alias("best"))
+        .select(*of, "best.covered", F.col("best.n_windows").cast("long").alias("n_windows"), "best.same")
     )
+    kind = F.when(F.col("same"), "verbatim").otherwise("changed").alias("kind")
+    return best.where(F.col("covered") >= least).select(*of, "covered", "n_windows", kind)
+
+
+def find(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_COVERED) -> DataFrame:
+    """(doc_id, item_id, covered, n_windows, kind) of documents that hold an item.
+
+    ``covered`` is the share of the item's windows found in the document, counted once each along
+    alignments, without those that contradict the others (see ``consistent``), in the way of reading
+    that covers most; ``kind`` is ``verbatim`` where all slots counted are equal, else ``changed``. Texts
+    are read whole. Null or empty texts hold nothing; rows without doc_id are not reported; repeated
+    rows of one doc_id count once, by the text that covers most. Either table may be empty.
+    """
+    found = find_in_texts(docs.where("doc_id IS NOT NULL"), benchmark, least)
+    best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct("covered", "kind", "n_windows")).alias("best"))
+    return best.select("doc_id", "item_id", "best.covered", "best.n_windows", "best.kind")
