@@ -465,6 +465,15 @@ def test_one_contradiction_costs_its_windows_only(spark):
     assert set(found_pairs(spark, [(1, year), (2, haus), (3, sums)], rows)) == {(1, 1), (2, 2), (3, 3)}
 
 
+def test_names_at_sentence_starts_and_in_lower_case(spark):
+    names = "Anna has 3 apples. Ben has 5 apples. Carl has 7 apples. How many apples do they have?"
+    other = "Nora has 2 apples. Tom has 6 apples. Emil has 9 apples. How many apples do they have?"
+    france = "What is the capital of France"
+    haus = "Das Haus steht am Fluss und der Wald liegt hinter dem Berg bei Ulm an der Donau"
+    rows = [(1, other), (2, f"Then the old teacher asks {france} and waits"), (3, haus.lower()), (4, "Ein Hund steht im Garten.")]
+    assert found_pairs(spark, [(1, names), (2, france), (3, haus)], rows) == {(1, 1): "changed", (2, 2): "verbatim", (3, 3): "verbatim"}
+
+
 def test_planted_passages(spark, docs):
     found = queries.QUERIES["op8_decontamination"](spark, SF).toPandas()
     squeeze = lambda t: " ".join(re.findall(r"\w+", (t or "").lower()))

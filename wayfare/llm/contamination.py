@@ -32,8 +32,7 @@ LEAST_COVERED = 0.5
 LEAST_LITERAL = 3
 #: How a text is read: sentence openers are words; every capitalised word is a name, wherever it
 #: stands; every token is a literal in lower case. Each way has windows of its own.
-OPENERS_ARE_WORDS, ALL_ARE_NAMES, LITERAL = (0, 1, 2)
-WAYS = (OPENERS_ARE_WORDS,)
+OPENERS_ARE_WORDS, ALL_ARE_NAMES, LITERAL = WAYS = (0, 1, 2)
 #: Bits of the filter on benchmark windows, at most (4 MB); it prunes windows of documents before
 #: the join and decides nothing, so a benchmark of any size may fill it.
 FILTER_BITS = 1 << 25
