@@ -412,6 +412,19 @@ def test_language_held_out(spark, docs):
     assert (known.lang == known.lang_pred).mean() > 0.95 and found.score.between(0, 1).all()
 
 
+def test_gibberish_has_no_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = language.fit(docs.where(tables.fold(F.col("doc_id"), 3) != 1))
+    draw = random.Random(5)
+    word = lambda letters: "".join(draw.choice(letters) for _ in range(draw.randint(2, 9)))
+    alphabets = ["abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшщыэюя"]
+    rows = [(i, " ".join(word(alphabets[i % 2]) for _ in range((60, 600, 6000)[i % 3]))) for i in range(90)]
+    found = language.identify(spark.createDataFrame(rows, "doc_id long, text string"), model)
+    assert found.where("rejected").count() >= 85
+    clean = docs.where(tables.fold(F.col("doc_id"), 3) == 1).where("lang IS NOT NULL AND text RLIKE '\\\\p{L}'")
+    assert language.identify(clean, model).where("NOT rejected").count() >= 0.99 * clean.count()
+
+
 def test_language_edges(spark, docs):
     model = language.fit(docs)
     found = language.identify(odd(spark), model).toPandas()

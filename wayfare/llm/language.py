@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,8 +29,15 @@ DICTIONARY_BYTES = 48 * 1024
 PRIMER_BYTES = 1024
 #: Longer texts are encoded in blocks of this size, each against the whole dictionary.
 BLOCK_BYTES = 16 * 1024
-#: Relative gap between the two smallest encodings at or below which a choice is rejected.
+#: Relative gap between the two smallest encodings at or below which a choice is rejected, at least.
 MARGIN = 0.0005
+#: Every so many-th sampled text is kept out of the dictionaries. Clean texts of these lengths are cut
+#: from them, so many a length; ``SLACK`` times the gap that all but a share of ``LOW`` of them exceed
+#: is the least gap of a text of that length. Lengths with fewer than ``LEAST_PIECES`` have none.
+HELD_OUT = 4
+LENGTHS = (16, 64, 256, 1024, 4096, 16384)
+PIECES, LEAST_PIECES = 400, 40
+LOW, SLACK = 0.01, 0.5
 
 RESULT = "doc_id long, lang_pred string, score double, margin double, rejected boolean"
 
@@ -39,19 +47,22 @@ class Languages:
     """Primer and dictionary by language: ``LANGUAGES x 49 KB``, the bound of what is broadcast."""
 
     samples: dict[str, bytes]
+    #: Least gap by length, of ``LENGTHS``.
+    margins: tuple[float, ...] = ()
 
 
 def fit(labelled: DataFrame) -> Languages:
     """Dictionaries from rows (doc_id, text, lang); rows without text or language are passed over.
 
-    The sample of a language is its ``SAMPLE_TEXTS`` rows with the smallest hash of their id (modulo 2**30). Rows
+    Every ``HELD_OUT``-th row of a sample gives no dictionary but the least margins.
+    The sample of a language is its ``2 * SAMPLE_TEXTS`` rows with the smallest hash of their id (modulo 2**30). Rows
     are first drawn by that hash with a share that leaves some four times as many, so a language
     that holds most rows gathers no more of them than any other.
     """
     rows = (
         columns(labelled, "doc_id", "text", "lang")
         .where("lang IS NOT NULL AND text IS NOT NULL AND text RLIKE '\\\\p{L}'")
-        .select("lang", F.xxhash64("doc_id").alias("at"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+        .select("lang", F.xxhash64("doc_id").alias("at"), F.substring("text", 1, LENGTHS[-1]).alias("text"))
     )
     # One row a language.
     totals = rows.groupBy("lang").count().collect()
@@ -60,12 +71,36 @@ def fit(labelled: DataFrame) -> Languages:
         most = int((1 << 30) * min(1.0, 4 * SAMPLE_TEXTS / row["count"]))
         share = F.when(F.col("lang") == row["lang"], F.lit(most)).otherwise(share)
     order = Window.partitionBy("lang").orderBy(drawn, "at", "text")
-    sample = rows.where(drawn < share).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= SAMPLE_TEXTS)
+    sample = rows.where(drawn < share).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= 2 * SAMPLE_TEXTS)
     found: dict[str, list[str]] = {}
-    for row in sample.orderBy("lang", "nth").select("lang", "text").collect():
-        found.setdefault(row["lang"], []).append(row["text"])
+    held: dict[str, list[str]] = {}
+    for row in sample.orderBy("lang", "nth").select("lang", "nth", "text").collect():
+        if row["nth"] % HELD_OUT == 0:
+            held.setdefault(row["lang"], []).append(row["text"])
+        elif len(found.setdefault(row["lang"], [])) < SAMPLE_TEXTS:
+            found[row["lang"]].append(row["text"][:SAMPLE_CHARS])
     joined = {lang: "\n".join(texts).lower().encode() for lang, texts in found.items()}
-    return Languages({lang: text[: DICTIONARY_BYTES + PRIMER_BYTES] for lang, text in joined.items()})
+    samples = {lang: text[: DICTIONARY_BYTES + PRIMER_BYTES] for lang, text in joined.items()}
+    return Languages(samples, least_margins(Encoder(Languages(samples)), held) if len(samples) > 1 else ())
+
+
+def least_margins(encoder: Encoder, held: dict[str, list[str]]) -> tuple[float, ...]:
+    """The gap at or below which a text is rejected, for each of ``LENGTHS``, from texts held out."""
+    out = []
+    for length in LENGTHS:
+        gaps = []
+        for texts in held.values():
+            whole = "\n".join(texts)
+            starts = range(0, len(whole) - length + 1, length)
+            step = max(1, -(-len(starts) * len(held) // PIECES))
+            for start in starts[::step]:
+                piece = whole[start : start + length]
+                if any(map(str.isalpha, piece)):
+                    best, second = sorted(encoder.sizes(piece))[:2]
+                    gaps.append((second - best) / max(second, 1))
+        gaps.sort()
+        out.append(max(MARGIN, SLACK * gaps[int(LOW * len(gaps))]) if len(gaps) >= LEAST_PIECES else MARGIN)
+    return tuple(out)
 
 
 class Encoder:
@@ -74,7 +109,7 @@ class Encoder:
     def __init__(self, languages: Languages) -> None:
         import zstandard as zstd
 
-        self.names = sorted(languages.samples)
+        self.names, self.margins = sorted(languages.samples), languages.margins
         params = zstd.ZstdCompressionParameters(
             strategy=zstd.STRATEGY_GREEDY,
             window_log=17,
@@ -104,6 +139,11 @@ class Encoder:
         blocks = [data[at : at + BLOCK_BYTES] for at in range(0, len(data), BLOCK_BYTES)]
         return [sum(len(encode(primer + block)) - base for block in blocks) for encode, primer, base in self.coders]
 
+    def least(self, text: str) -> float:
+        """The gap at or below which ``text`` is rejected; between two lengths, by their logarithms."""
+        at = np.log(max(1, len(text)))
+        return float(np.interp(at, np.log(LENGTHS), self.margins)) if self.margins else MARGIN
+
     def choose(self, text: str | None) -> tuple[str, float, float, bool]:
         """Language, score, margin, rejected."""
         if text is None or not any(map(str.isalpha, text)) or not self.names:
@@ -114,7 +154,7 @@ class Encoder:
             return self.names[ranked[0]], 1.0, 1.0, False
         best, second = sizes[ranked[0]], sizes[ranked[1]]
         margin = (second - best) / max(second, 1)
-        return self.names[ranked[0]], margin / (margin + 0.02), margin, margin <= MARGIN
+        return self.names[ranked[0]], margin / (margin + 0.02), margin, margin <= self.least(text)
 
 
 def identify(docs: DataFrame, languages: Languages) -> DataFrame:
@@ -122,7 +162,8 @@ def identify(docs: DataFrame, languages: Languages) -> DataFrame:
 
     Whole texts are encoded. Null texts and texts without a letter are ``und``, score 0, rejected.
     Equal sizes go to the first name in order and have margin 0, which is rejected: a text that no
-    dictionary shortens more than another says nothing about its language. ``score`` is
+    dictionary shortens more than another says nothing about its language. A text is also rejected
+    where its margin is far below those of clean texts of its length. ``score`` is
     ``margin / (margin + 0.02)``. A null doc_id stays null; repeated rows give repeated results.
     """
 
