@@ -1,8 +1,8 @@
 """The corpus pipeline: from documents to packed training sequences.
 
 Each stage takes the documents that the one before kept, written as Parquet and read again. All
-but the last return the columns of documents, extra ones included. Documents are dropped by doc_id;
-rows without one are kept by every filtering stage, save where their own text is rejected.
+but the last return the columns of documents, extra ones included. Rows are dropped by doc_id and
+text together, so each row's own text decides, with or without a doc_id and whatever shares it.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.llm import contamination, language, near_duplicates, packing, toxicity
+from wayfare.llm.tables import text_keys
+from wayfare.operators.positions import with_position
 from wayfare.session import cut_lineage, scratch_path
 
 #: Probability of a toxic label from which a document is rejected.
@@ -19,9 +21,11 @@ SEQUENCE = 1024
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose doc_id is in ``dropped`` (doc_id)."""
-    ids = cut_lineage(dropped.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("__id")).distinct())
-    return docs.join(ids, docs["doc_id"] == ids["__id"], "left_anti")
+    """``docs`` without the rows whose doc_id and text are in ``dropped`` (doc_id, key, key2)."""
+    found = cut_lineage(dropped.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), F.col("key2").alias("__key2")).distinct())
+    key, key2 = text_keys(docs["text"])
+    same = docs["doc_id"].eqNullSafe(found["__id"]) & (key == found["__key"]) & (key2 == found["__key2"])
+    return docs.join(found, same, "left_anti")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,32 +33,44 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Dictionaries come from the labelled languages of ``docs`` itself.
     """
-    found = language.identify(docs, language.fit(docs))
+    found = language.identify(docs, language.fit(docs), keyed=True)
     return _without(docs, found.where("rejected"))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents at or above ``TOXIC``; learns from the labelled ones among ``docs``."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _without(docs, toxicity.score(docs, model).where(F.col("score") >= TOXIC))
+    return _without(docs, toxicity.score(docs, model, keyed=True).where(F.col("score") >= TOXIC))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest doc_id of each group: five-word shingles, 0.8 or more.
 
-    Of rows that repeat a doc_id one stays: the first by text.
+    Rows without doc_id stay. Different texts under one doc_id are documents of their own, ordered by
+    their keys. Of the rows of one doc_id that are left one stays: the first by text, then by its
+    columns in order.
     """
-    found = cut_lineage(near_duplicates.cluster(docs))
-    single = _without(docs, found.where("NOT kept"))
-    repeated = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 AND doc_id IS NOT NULL")
-    ids = cut_lineage(repeated.select(F.col("doc_id").alias("__id")))
-    again = single.join(ids, single["doc_id"] == ids["__id"], "left_semi").dropDuplicates(["doc_id"])
+    id_ = F.col("doc_id").cast("long").alias("doc_id")
+    named = docs.where("doc_id IS NOT NULL")
+    counts = cut_lineage(named.select(id_, *text_keys()).groupBy("doc_id", "key", "key2").agg(F.count(F.lit(1)).alias("n")))
+    if counts.groupBy("doc_id").count().where("count > 1").isEmpty():
+        lost = cut_lineage(near_duplicates.cluster(named)).where("NOT kept").select("doc_id").distinct().join(counts, "doc_id")
+    else:
+        numbers = cut_lineage(with_position(counts, [F.col("doc_id"), F.col("key"), F.col("key2")], "number"))
+        texts = named.select(id_, "text", *text_keys()).join(numbers, ["doc_id", "key", "key2"])
+        found = cut_lineage(near_duplicates.cluster(texts.select(F.col("number").alias("doc_id"), "text")))
+        lost = found.where("NOT kept").select(F.col("doc_id").alias("number")).distinct().join(numbers, "number")
+    single = _without(docs, lost)
+    ids = counts.groupBy("doc_id").agg(F.sum("n").alias("n")).where("n > 1")
+    ids = cut_lineage(ids.select(F.col("doc_id").alias("__id")))
+    again = single.join(ids, single["doc_id"] == ids["__id"], "left_semi")
+    again = again.groupBy("doc_id").agg(F.min(F.struct(again["text"].alias("__text"), F.struct(*(again[name] for name in docs.columns)).alias("row"))).alias("least")).select("least.row.*")
     return single.join(ids, single["doc_id"] == ids["__id"], "left_anti").unionByName(again)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item, verbatim or with other numbers and names."""
-    return _without(docs, contamination.find(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+    return _without(docs, contamination.find_in_texts(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -67,6 +67,20 @@ def test_decontamination_stage(spark):
     assert kept == {r["doc_id"] for r in docs.collect()}
 
 
+def test_rows_are_dropped_for_their_own_text(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    docs = documents(spark).where("doc_id < 40")
+    odd = [(None, "12345 !!! 999"), (1, "98765 !!! 111"), (None, f"The garden was quiet. {item} The winter was green.")]
+    add = spark.createDataFrame(odd, "doc_id long, text string").withColumn("lang", F.lit("en"))
+    both = docs.unionByName(add, allowMissingColumns=True)
+    left = {(r["doc_id"], r["text"]) for r in STAGES["language"](spark, both, SF).collect()}
+    assert not {odd[0], odd[1]} & left and (1, docs.where("doc_id = 1").first()["text"]) in left
+    assert odd[2] not in {(r["doc_id"], r["text"]) for r in STAGES["decontamination"](spark, both, SF).collect()}
+    other = docs.where("doc_id = 2").withColumn("doc_id", F.lit(1).cast("long")).withColumn("text", F.lit("a different clean text that shares its id with another one"))
+    kept = [(r["doc_id"], r["text"]) for r in STAGES["near_duplicates"](spark, docs.unionByName(other).unionByName(other), SF).collect()]
+    assert len(kept) == len(set(kept)) == 39 and (1, "a different clean text that shares its id with another one") in kept
+
+
 def test_packing_stage(spark):
     found = STAGES["packing"](spark, documents(spark), SF).toPandas()
     assert sorted(found.sequence_id) == list(range(len(found))) and found.doc_id.nunique() == 45

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayfare.llm.tables import columns, in_slices
+from wayfare.llm.tables import columns, in_slices, text_keys
 
 UNKNOWN = "und"
 
@@ -157,15 +157,17 @@ class Encoder:
         return self.names[ranked[0]], margin / (margin + 0.02), margin, margin <= self.least(text)
 
 
-def identify(docs: DataFrame, languages: Languages) -> DataFrame:
+def identify(docs: DataFrame, languages: Languages, keyed: bool = False) -> DataFrame:
     """(doc_id, lang_pred, score, margin, rejected) of every row of ``docs`` (doc_id, text).
 
     Whole texts are encoded. Null texts and texts without a letter are ``und``, score 0, rejected.
     Equal sizes go to the first name in order and have margin 0, which is rejected: a text that no
     dictionary shortens more than another says nothing about its language. A text is also rejected
     where its margin is far below those of clean texts of its length. ``score`` is
-    ``margin / (margin + 0.02)``. A null doc_id stays null; repeated rows give repeated results.
+    ``margin / (margin + 0.02)``. A null doc_id stays null; repeated rows give repeated results. ``keyed`` adds the
+    ``text_keys``.
     """
+    keys = ["key", "key2"] if keyed else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(languages)
@@ -179,9 +181,11 @@ def identify(docs: DataFrame, languages: Languages) -> DataFrame:
                     pa.array(score, pa.float64()),
                     pa.array(margin, pa.float64()),
                     pa.array(rejected, pa.bool_()),
+                    *(batch.column(name) for name in keys),
                 ],
-                ["doc_id", "lang_pred", "score", "margin", "rejected"],
+                ["doc_id", "lang_pred", "score", "margin", "rejected", *keys],
             )
 
     rows = columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    return rows.mapInArrow(run, RESULT)
+    rows = rows.select("*", *text_keys()) if keyed else rows
+    return rows.mapInArrow(run, RESULT + "".join(f", {name} long" for name in keys))

@@ -24,7 +24,7 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def text_keys(name: str = "text") -> list[Column]:
+def text_keys(name: str | Column = "text") -> list[Column]:
     """key and key2, two hashes that tell texts apart; those of null differ from all others."""
     return [F.xxhash64(name).alias("key"), F.xxhash64(F.lit(1), name).alias("key2")]
 

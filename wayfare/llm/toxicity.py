@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.tables import columns, in_slices
+from wayfare.llm.tables import columns, in_slices, text_keys
 from wayfare.session import cut_lineage
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -313,15 +313,16 @@ def _scored(labelled: DataFrame, model: Model, best: bool) -> DataFrame:
     return labelled.mapInArrow(run, "toxic int, n_words long, best double")
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
+def score(docs: DataFrame, model: Model, keyed: bool = False) -> DataFrame:
     """Every row of ``docs`` (doc_id, text) with its toxicity.
 
     ``score`` is the probability of a toxic label; ``evidence`` the extreme-value evidence over all
     maximal segments; ``n_segments`` counts those significant by themselves; first_word,
     last_word and passage are the strongest of them, null if there is none. Null and empty texts
     have no words, evidence 0 and the score that goes with it. Whole texts are scanned. Repeated
-    rows give repeated results; a null doc_id stays null.
+    rows give repeated results; a null doc_id stays null. ``keyed`` adds the ``text_keys``.
     """
+    keys = ["key", "key2"] if keyed else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(Lookup(model.scores), model.scale, model.log_k, model.slope, model.intercept)
@@ -340,9 +341,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             kinds = (pa.float64(), pa.float64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string())
             values = list(map(list, zip(*rows))) if rows else [[] for _ in kinds]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(v, kind) for v, kind in zip(values, kinds))],
-                ["doc_id", "score", "evidence", "n_words", "n_segments", "first_word", "last_word", "passage"],
+                [batch.column("doc_id"), *(pa.array(v, kind) for v, kind in zip(values, kinds)), *(batch.column(name) for name in keys)],
+                ["doc_id", "score", "evidence", "n_words", "n_segments", "first_word", "last_word", "passage", *keys],
             )
 
     rows = columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    return rows.mapInArrow(run, RESULT)
+    rows = rows.select("*", *text_keys()) if keyed else rows
+    return rows.mapInArrow(run, RESULT + "".join(f", {name} long" for name in keys))
