@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import chat, contamination, language, licences, near_duplicates, neighbours, packing, sharding, toxicity, urls
+from wayfare.llm import chat, contamination, language, licences, near_duplicates, neighbours, packing, prefix_trie, sharding, toxicity, urls
 from wayfare.llm.tables import fold, read
 
 SHARDS = 8
@@ -68,6 +68,10 @@ def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), *packing.vocabulary(), most=SEQUENCE, digest=True)
 
 
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.share(read(spark, sf_dir, "conversations"))
+
+
 #: Rules (verdict, host, path).
 RULES = [
     ("allow", "com", "/"),
@@ -90,6 +94,7 @@ QUERIES = {
     "op8_decontamination": contaminated,
     "op9_urls": page_verdicts,
     "op10_packing": packed,
+    "op12_prefix_trie": conversation_trie,
 }
 
 _HOST = "translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -142,4 +147,52 @@ WITH rows AS (
 )
 SELECT page_id, host, path, found.rule AS rule, coalesce(found.verdict, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict, canonical_url, listed
 FROM judged""",
+    # CRC-32 by its definition: the bytes of the decimal id, eight shifts each.
+    "op12_prefix_trie": """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, count(*) AS n FROM turns GROUP BY conv_id
+), hashed AS (
+  SELECT conv_id, n, conv_id - conv_id % 100 AS base,
+    xor(list_reduce(
+      list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda crc, byte: list_reduce(
+        list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda rest, step: xor(rest >> 1, CASE WHEN rest & 1 = 1 THEN 3988292384 ELSE 0 END))
+    ), 4294967295::BIGINT) % 6 AS h
+  FROM own
+), sized AS (
+  SELECT c.conv_id, c.base, c.h, least(c.h, coalesce(b.n, 0)) AS taken FROM hashed c LEFT JOIN own b ON b.conv_id = c.base
+), rebuilt AS (
+  SELECT s.conv_id, pos + 1 AS depth, role, text FROM sized s JOIN turns t ON t.conv_id = s.base AND pos < taken
+  UNION ALL
+  SELECT s.conv_id, taken + pos - h + 1, role, text FROM sized s JOIN turns t ON t.conv_id = s.conv_id AND pos >= h
+), whole AS (
+  SELECT s.conv_id, coalesce(list({'r': role, 't': text} ORDER BY depth) FILTER (WHERE depth IS NOT NULL), []) AS turns
+  FROM sized s LEFT JOIN rebuilt r ON r.conv_id = s.conv_id GROUP BY s.conv_id
+), ways AS (
+  SELECT conv_id, depth, turns[1:depth] AS node, len(turns) = depth AS ends
+  FROM (SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS depth FROM whole)
+), nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM ways GROUP BY node, depth
+), valued AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, CASE WHEN n.depth > 0 THEN (n.n_convs - 1) * length(n.node[n.depth].t) ELSE 0 END AS saved
+  FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.node = n.node[1:n.depth - 1]
+), counted AS (
+  SELECT v.*, coalesce(n_children, 0) AS n_children
+  FROM valued v LEFT JOIN (
+    SELECT depth - 1 AS depth, node[1:depth - 1] AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+  ) c ON c.depth = v.depth AND c.node = v.node
+), totals AS (
+  SELECT w.node, sum((n_children = 0)::BIGINT) AS n_leaves, sum(saved) AS saved_tokens
+  FROM counted u JOIN ways w ON w.conv_id = u.conv_id AND w.depth <= u.depth GROUP BY w.node
+)
+SELECT conv_id, c.depth::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves::BIGINT AS n_leaves,
+  saved_tokens::BIGINT AS saved_tokens, ends_sha256
+FROM counted c JOIN totals t ON t.node = c.node""",
 }
