@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import chat, contamination, language, licences, near_duplicates, neighbours, packing, prefix_trie, sharding, toxicity, urls
+from wayfare.llm import chat, contamination, html_text, language, licences, near_duplicates, neighbours, packing, prefix_trie, sharding, toxicity, urls
 from wayfare.llm.tables import fold, read
 
 SHARDS = 8
@@ -68,6 +68,10 @@ def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), *packing.vocabulary(), most=SEQUENCE, digest=True)
 
 
+def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
 def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.share(read(spark, sf_dir, "conversations"))
 
@@ -94,6 +98,7 @@ QUERIES = {
     "op8_decontamination": contaminated,
     "op9_urls": page_verdicts,
     "op10_packing": packed,
+    "op11_html": main_texts,
     "op12_prefix_trie": conversation_trie,
 }
 
@@ -147,6 +152,23 @@ WITH rows AS (
 )
 SELECT page_id, host, path, found.rule AS rule, coalesce(found.verdict, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict, canonical_url, listed
 FROM judged""",
+    # On these pages the region is always the article, so its blocks state the result.
+    "op11_html": r"""
+WITH articles AS (
+  SELECT page_id, url, coalesce(regexp_extract(html, '<article>(.*?)(</article>|$)', 1, 's'), '') AS article FROM pages
+), blocks AS (
+  SELECT page_id, url, list_transform(
+    regexp_split_to_array(article, '</?(p|h1)>'),
+    lambda block: trim(regexp_replace(regexp_replace(regexp_replace(block, '<br>', ' ', 'g'), '<[^<>]*>', '', 'g'), '\s+', ' ', 'g'))
+  ) AS blocks
+  FROM articles
+), texts AS (
+  SELECT page_id, url, array_to_string(list_filter(list_transform(blocks,
+    lambda block: replace(replace(regexp_replace(replace(replace(block, '&lt;', '<'), '&gt;', '>'), '&quot;?', '"', 'g'),
+      '&amp;', '&'), '&amp', '&')), lambda block: block <> ''), chr(10)) AS text
+  FROM blocks
+)
+SELECT page_id, url, text, length(text) AS n_chars FROM texts""",
     # CRC-32 by its definition: the bytes of the decimal id, eight shifts each.
     "op12_prefix_trie": """
 WITH turns AS (
