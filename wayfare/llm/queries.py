@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import chat, contamination, html_text, language, licences, near_duplicates, neighbours, packing, prefix_trie, sharding, toxicity, urls
+from wayfare.llm import alignment, chat, contamination, html_text, language, licences, near_duplicates, neighbours, packing, prefix_trie, sharding, toxicity, urls
 from wayfare.llm.tables import fold, read
 
 SHARDS = 8
@@ -76,6 +76,10 @@ def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.share(read(spark, sf_dir, "conversations"))
 
 
+def aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read(spark, sf_dir, "documents"), *alignment.vocabularies())
+
+
 #: Rules (verdict, host, path).
 RULES = [
     ("allow", "com", "/"),
@@ -100,6 +104,7 @@ QUERIES = {
     "op10_packing": packed,
     "op11_html": main_texts,
     "op12_prefix_trie": conversation_trie,
+    "op13_alignment": aligned,
 }
 
 _HOST = "translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
