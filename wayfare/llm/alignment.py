@@ -29,9 +29,9 @@ from wayfare.llm.tables import columns
 from wayfare.session import cut_lineage
 
 #: UTF-8 bytes of the texts of one chunk; a longer text is a chunk of its own.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: A worker forgets the units it has aligned beyond so many, or so many bytes of them.
-REMEMBERED, REMEMBERED_BYTES = 400_000, 16 << 20
+REMEMBERED, REMEMBERED_BYTES = 300_000, 16 << 20
 #: New units are aligned so many at a time, or so many bytes of them.
 AT_ONCE, BYTES_AT_ONCE = 1 << 16, 1 << 20
 #: A unit: spaces after white space do not begin another.
@@ -165,16 +165,9 @@ class Units:
             self._add(batch)
 
     def _add(self, units: list[str]) -> None:
-        tables = self.tokenizers.first_bytes, self.tokenizers.second_bytes
         ids = self.tokenizers.encode(units)
-        same = np.ones(len(units), bool)
-        for at, unit in enumerate(units):
-            own = unit.encode()
-            self.numbers[unit] = len(self.numbers)
-            self.size += len(own)
-            if any(b"".join(map(table.__getitem__, side[at])) != own for table, side in zip(tables, ids)):
-                same[at] = False
-                ids[0][at] = ids[1][at] = []
+        same = self._given_back(units, ids)
+        self.numbers.update(zip(units, range(len(self.numbers), len(self.numbers) + len(units))))
         a_sizes, a_ids = _csr(ids[0])
         b_sizes, b_ids = _csr(ids[1])
         a_common, b_common, overlaps = common_ends(
@@ -202,6 +195,23 @@ class Units:
         self.sizes = np.concatenate([self.sizes, np.bincount(pairs >> UNIT_SHIFT, minlength=len(units))])
         self.codes, self.times = np.concatenate([self.codes, pairs & ((1 << UNIT_SHIFT) - 1)]), np.concatenate([self.times, times])
 
+    def _given_back(self, units: list[str], ids: tuple[list[list[int]], list[list[int]]]) -> np.ndarray:
+        """Whether both sides' bytes are those of the unit; ids of other units are taken away."""
+        own = list(map(str.encode, units))
+        sizes = np.array(list(map(len, own)))
+        self.size += int(sizes.sum())
+        same, whole = np.ones(len(units), bool), b"".join(own)
+        for table, lengths, side in zip(
+            (self.tokenizers.first_bytes, self.tokenizers.second_bytes), (self.tokenizers.first_sizes, self.tokenizers.second_sizes), ids
+        ):
+            n, flat = _csr(side)
+            if (_summed(n, lengths[flat]) == sizes).all() and b"".join(map(table.__getitem__, flat.tolist())) == whole:
+                continue
+            same &= np.array([b"".join(map(table.__getitem__, each)) == data for each, data in zip(side, own)], bool)
+        for at in np.flatnonzero(~same):
+            ids[0][at] = ids[1][at] = []
+        return same
+
     def _texts(self, a_ids, a_group, a_to, b_ids, b_group, b_to, sizes) -> list[str]:
         """Each unit's groups as a text: ids of a side behind commas, sides parted by a bar, groups by a semicolon."""
         marked = np.empty(len(a_ids) + len(b_ids), np.int64)
@@ -267,7 +277,8 @@ def _chunk_row(units: Units, ids: list[int | None], texts: list[str | None]) ->
     doc, doc_units = np.divmod(keys, max(1, len(held)))
     spread = unit_sizes[doc_units]
     in_doc = unit_pairs[_spread((np.cumsum(unit_sizes) - unit_sizes)[doc_units], spread)]
-    pairs = np.unique(np.repeat(doc, spread) * max(1, len(codes)) + in_doc) % max(1, len(codes))
+    pairs = np.sort(np.repeat(doc, spread) * max(1, len(codes)) + in_doc)
+    pairs = pairs[np.diff(pairs, prepend=-1) > 0] % max(1, len(codes))
     row = {
         "doc_id": ids,
         "groups_sha256": hashes,
