@@ -554,3 +554,61 @@ def test_packing_edges(spark):
     assert packing.pack(odd(spark).where("false"), *packing.vocabulary()).count() == 0
     with pytest.raises(ValueError):
         packing.pack(odd(spark), *packing.vocabulary(), most=1000)
+
+
+# 6: near duplicates in hard groups
+
+
+def components_by_hand(rows, limit=80):
+    """(doc_id, component_id) of each row by comparing all pairs of one-word shingle sets."""
+    sets = [set(text.split()) for _, text in rows]
+    own = list(range(len(rows)))
+
+    def find(at):
+        while own[at] != at:
+            at = own[at]
+        return at
+
+    for a in range(len(rows)):
+        for b in range(a):
+            shared = len(sets[a] & sets[b])
+            if 100 * shared >= limit * (len(sets[a]) + len(sets[b]) - shared):
+                own[find(a)] = find(b)
+    least = {}
+    for at, (doc_id, _) in enumerate(rows):
+        least[find(at)] = min(least.get(find(at), doc_id), doc_id)
+    return sorted((doc_id, least[find(at)]) for at, (doc_id, _) in enumerate(rows))
+
+
+def test_hard_groups_beside_brute_force(spark, monkeypatch):
+    draw = random.Random(5)
+    fresh = lambda n: [f"u{draw.randrange(10**12)}" for _ in range(n)]
+    rows = []
+    core = fresh(70)  # a common core below the limit: no links, and few comparisons
+    rows += [(len(rows) + i, " ".join(core + fresh(30))) for i in range(150)]
+    core = fresh(100)  # edited copies around the limit, without and with their original
+    for shown in (core, fresh(100)):
+        rows += [(len(rows) + i, " ".join([w if draw.random() > 0.09 else fresh(1)[0] for w in shown] + fresh(draw.randrange(8)))) for i in range(80)]
+    rows += [(len(rows), " ".join(shown))]
+    few = fresh(12)  # edits that many copies have in common
+    rows += [(len(rows) + i, " ".join(sorted({w if draw.random() > 0.15 else draw.choice(few) for w in core}))) for i in range(60)]
+    compared = []
+    verified = near_duplicates._verified
+
+    def counting(pairs, *others):
+        compared.append(pairs.count())
+        return verified(pairs, *others)
+
+    monkeypatch.setattr(near_duplicates, "_verified", counting)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_duplicates.cluster(frame, words=1).select("doc_id", "component_id").collect()
+    assert sorted(map(tuple, found)) == components_by_hand(rows)
+    assert sum(compared) < 0.25 * len(rows) * (len(rows) - 1) / 2
+
+
+def test_two_texts_of_one_id_are_two_documents(spark):
+    one, other = (" ".join(f"{p}{i}" for i in range(50)) for p in "ab")
+    rows = [(1, one), (1, other), (2, one + " z"), (3, other + " z"), (4, "c d e")]
+    found = {(r["doc_id"], r["n_shingles"]): r for r in near_duplicates.cluster(spark.createDataFrame(rows, "doc_id long, text string"), words=1, keyed=True).collect()}
+    assert [found[key]["component_id"] for key in ((1, 50), (2, 51), (3, 51), (4, 3))] == [1, 1, 1, 4]
+    assert found[(1, 50)]["kept"] and not found[(2, 51)]["kept"] and not found[(3, 51)]["leads"] and found[(4, 3)]["leads"]

@@ -189,3 +189,14 @@ def identify(docs: DataFrame, languages: Languages, keyed: bool = False) -> Data
     rows = columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     rows = rows.select("*", *text_keys()) if keyed else rows
     return rows.mapInArrow(run, RESULT + "".join(f", {name} long" for name in keys))
+
+
+def drop(docs: DataFrame, languages: Languages) -> DataFrame:
+    """The rows of ``docs`` that ``identify`` does not reject, whole; each is judged by its own text in the pass that reads it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(languages)
+        for batch in in_slices(batches, 512):
+            yield batch.filter(pa.array([not encoder.choose(text.as_py())[3] for text in batch.column("text")], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -5,25 +5,28 @@ which merge by maximum and collide with a chance near the Jaccard similarity. Re
 into bands; documents that agree in a band are candidates. The likelihood of all registers and both
 set sizes drops hopeless candidates, and the full sets confirm the rest.
 
-Candidates are compared along pivots. In every bucket one member is compared with the others and
-components are joined; only members that are still apart go on to the next pivots, four times as many. A bucket of
-copies ends after one round, and no bucket is cut short: rounds end when each pair of a bucket has
-been compared or lies in one component.
+In every bucket one member is compared with the others and components are joined; most buckets are one
+component then. In the others, members outside the bucket's largest component are compared with the
+rest, but only where their sizes and the shingles that many members of the cluster have leave room
+for a link (see ``_held``); shingles that few members have lead from one to the others directly. The
+edits of a copy are such shingles, so a copy that is no link of the original is mostly done with by
+counts, and no bucket is compared pair by pair.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from wayfare.llm.bytewords import LOWER, buffer_of, hashes, in_bytes, rolled, spans
-from wayfare.llm.tables import buckets_of, columns, with_rank
+from wayfare.llm.tables import columns, text_keys
+from wayfare.operators.positions import with_position
 from wayfare.session import cut_lineage
 
 SHINGLE_WORDS = 5
@@ -35,6 +38,8 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, LIMIT = 1.001, 20.0, 65535
 #: A pair is dropped unseen only where its registers are e**20 times likelier below the limit.
 DOUBT = 20.0
+#: A shingle of at most so many members of a cluster leads to them directly.
+RARE = 8
 
 
 def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
@@ -105,43 +110,74 @@ def possible(first: np.ndarray, second: np.ndarray, n_first, n_second, limit: fl
     return (most >= limit - 1e-9) & (above >= values.max(axis=1) - DOUBT)
 
 
+def set_keys(found: np.ndarray) -> tuple[int, int]:
+    """Two hashes of a set of shingles."""
+    data = found.tobytes()
+    return xxhash.xxh64_intdigest(data) - (1 << 63), xxhash.xxh64_intdigest(data, 1) - (1 << 63)
+
+
 def _sketched(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n, key, key2, bands) of every row; key and key2 tell sets apart."""
+    """(doc_id, text_key, text_key2, n, key, key2, bands) of every row; key and key2 tell sets apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_bytes(batches):
             n, key, key2, bands = [], [], [], []
             for found in shingle_sets(batch.column("text"), size):
                 n.append(len(found))
-                key.append(xxhash.xxh64_intdigest(found.tobytes()) - (1 << 63))
-                key2.append(xxhash.xxh64_intdigest(found.tobytes(), 1) - (1 << 63))
+                one, two = set_keys(found)
+                key.append(one)
+                key2.append(two)
                 bands.append(band_keys(sketch(found)) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(key, pa.int64()), pa.array(key2, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-                ["doc_id", "n", "key", "key2", "bands"],
+                [
+                    *(batch.column(name) for name in ("doc_id", "text_key", "text_key2")),
+                    *(pa.array(each, pa.int64()) for each in (n, key, key2)),
+                    pa.array(bands, pa.list_(pa.int64())),
+                ],
+                ["doc_id", "text_key", "text_key2", "n", "key", "key2", "bands"],
             )
 
-    rows = columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    return rows.mapInArrow(run, "doc_id long, n long, key long, key2 long, bands array<long>")
+    keys = [key.alias(name) for key, name in zip(text_keys(), ("text_key", "text_key2"))]
+    rows = columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text", *keys)
+    return rows.mapInArrow(run, "doc_id long, text_key long, text_key2 long, n long, key long, key2 long, bands array<long>")
 
 
 def _full(texts: DataFrame, size: int) -> DataFrame:
-    """(rep, n, registers, shingles) of documents (rep, text)."""
+    """(rep, n, registers, shingles) of texts (rep, key, key2, text) whose set is that of the keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_bytes(batches):
             sets = shingle_sets(batch.column("text"), size)
+            keys = zip(batch.column("key").to_pylist(), batch.column("key2").to_pylist())
+            own = [at for at, (found, key) in enumerate(zip(sets, keys)) if set_keys(found) == key]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("rep"),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([sketch(s).tobytes() for s in sets], pa.binary()),
-                    pa.array([s.astype(np.int64) for s in sets], pa.list_(pa.int64())),
+                    batch.column("rep").take(pa.array(own, pa.int64())),
+                    pa.array([len(sets[at]) for at in own], pa.int64()),
+                    pa.array([sketch(sets[at]).tobytes() for at in own], pa.binary()),
+                    pa.array([sets[at].astype("<u8").tobytes() for at in own], pa.binary()),
                 ],
                 ["rep", "n", "registers", "shingles"],
             )
 
-    return texts.select("rep", "text").mapInArrow(run, "rep long, n long, registers binary, shingles array<long>")
+    found = texts.select("rep", "key", "key2", "text").mapInArrow(run, "rep long, n long, registers binary, shingles binary")
+    return found.dropDuplicates(["rep"])
+
+
+def _beside(pairs: DataFrame, full: DataFrame, *names: str) -> DataFrame:
+    """``pairs`` (a, b) with the columns ``names`` of both, as a_name and b_name."""
+    for side in ("a", "b"):
+        pairs = pairs.join(full.select(F.col("rep").alias(side), *(F.col(name).alias(f"{side}_{name}") for name in names)), side)
+    return pairs
+
+
+def _sets(data: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(value.as_buffer(), "<u8") for value in data]
+
+
+def _room(n: str, other: str, common: Column, limit: int) -> Column:
+    """Whether sets of two sizes with so many shingles in common reach ``limit`` hundredths."""
+    return common * 100 >= (F.col(n) + F.col(other) - common) * limit
 
 
 def _verified(pairs: DataFrame, full: DataFrame, limit: int) -> DataFrame:
@@ -158,21 +194,46 @@ def _verified(pairs: DataFrame, full: DataFrame, limit: int) -> DataFrame:
             return pd.Series([], dtype=bool)
         return pd.Series(possible(stack(ra), stack(rb), na.to_numpy(float), nb.to_numpy(float), limit / 100))
 
-    sketches = full.select("rep", "n", "registers")
-    left = sketches.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("registers").alias("ra"))
-    right = sketches.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("registers").alias("rb"))
-    hopeful = cut_lineage(pairs.join(left, "a").join(right, "b").where(room("ra", "rb", "na", "nb")).select("a", "b"))
-    sets = full.select("rep", "shingles")
-    both = hopeful.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a").join(
-        sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b"
-    )
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return (
-        both.withColumn("shared", shared)
-        .where(F.col("shared") * 100 >= (F.size("sa") + F.size("sb") - F.col("shared")) * limit)
-        .select("a", "b")
-        .distinct()
-    )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for at, (left, right) in enumerate(zip(_sets(batch.column("a_shingles")), _sets(batch.column("b_shingles")))):
+                shared = len(np.intersect1d(left, right, assume_unique=True))
+                if shared * 100 >= (len(left) + len(right) - shared) * limit:
+                    keep.append(at)
+            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+
+    # The sizes alone rule many pairs out.
+    near = _beside(pairs, full, "n").where(_room("a_n", "b_n", F.least("a_n", "b_n"), limit))
+    hopeful = _beside(near, full, "registers").where(room("a_registers", "b_registers", "a_n", "b_n")).select("a", "b")
+    return _beside(cut_lineage(hopeful), full, "shingles").mapInArrow(run, "a long, b long")
+
+
+def _held(reps: DataFrame, full: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rep, n, shared, common) of ``reps`` (rep, cluster), and (key, rep) of their rare shingles.
+
+    ``shared`` counts the shingles that another member of the cluster has too, ``common`` those that
+    more than ``RARE`` members have. The others of the shared ones are rare. Two sets have at most the
+    smaller of their ``shared`` in common, and at most the smaller of ``common`` besides rare shingles.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = _sets(batch.column("shingles"))
+            salts = [xxhash.xxh64_intdigest(cluster.to_bytes(8, "little", signed=True)) for cluster in batch.column("cluster").to_pylist()]
+            keys = [(found ^ np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15) for found, salt in zip(sets, salts)]
+            own = np.repeat(batch.column("rep").to_numpy(), list(map(len, keys)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys or [np.empty(0, np.uint64)]).astype(np.int64)), pa.array(own)], ["key", "rep"])
+
+    of = full.select("rep", "n", "shingles").join(reps, "rep")
+    keys = cut_lineage(of.select("rep", "cluster", "shingles").mapInArrow(run, "key long, rep long"))
+    counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1")
+    found = cut_lineage(keys.join(counts, "key"))
+    per = found.groupBy("rep").agg(F.count(F.lit(1)).alias("shared"), F.count_if(F.col("docs") > RARE).alias("common"))
+    none = F.lit(0).cast("long")
+    sized = of.select("rep", "n").join(per, "rep", "left")
+    sized = sized.select("rep", "n", F.coalesce("shared", none).alias("shared"), F.coalesce("common", none).alias("common"))
+    return cut_lineage(sized), found.where(F.col("docs") <= RARE).select("key", "rep")
 
 
 def _are_stars(links: DataFrame) -> bool:
@@ -204,88 +265,111 @@ def components(links: DataFrame) -> DataFrame:
     return cut_lineage(links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(centres))
 
 
-def _joined(buckets: DataFrame, full: DataFrame, limit: int) -> DataFrame:
-    """(node, component) from buckets (bucket, rep, first, place, size), by confirmed links."""
-    pairs = buckets.where("place > 0").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
-    named = components(cut_lineage(_verified(pairs, full, limit)))
-    open_ = cut_lineage(buckets.where("size > 2").select("bucket", "rep", "place"))
-    done, step = 1, 4
-    while True:
-        # Members of a bucket that are in one component need no more comparing with each other.
-        # Those before place ``done`` have been compared with all others.
-        of = open_.where(F.col("place") >= done).join(named.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "bucket", "rep", "place", F.coalesce("component", "rep").alias("component")
-        )
-        apart = (
-            of.groupBy("bucket")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            .where(F.col("low") != F.col("high"))
-            .select("bucket")
-        )
-        of = cut_lineage(of.join(cut_lineage(apart), "bucket", "left_semi"))
-        if of.isEmpty():
-            return named
-        step *= 4
-        pivots = of.where(F.col("place") < done + step).select(
-            "bucket", F.col("rep").alias("a"), F.col("place").alias("at"), F.col("component").alias("own")
-        )
-        pairs = (
-            of.where(F.col("place") > done)
-            .join(pivots, "bucket")
-            .where("place > at AND component <> own")
-            .select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
-            .distinct()
-        )
-        found = cut_lineage(_verified(pairs, full, limit))
-        if not found.isEmpty():
-            # The stars so far stand for all links found before.
-            stars = named.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            named = components(stars.unionByName(found))
-        done += step
-        open_ = of.select("bucket", "rep", "place")
-
-
-def cluster(docs: DataFrame, words: int = SHINGLE_WORDS, limit: int = SIMILARITY) -> DataFrame:
+def _joined(members: DataFrame, load: Callable[[DataFrame], DataFrame], limit: int) -> DataFrame:
+    """(node, component) from members (bucket, rep) of buckets, by confirmed links.
+
+    ``load`` gives the full sets of a table of reps.
+    """
+    pivots = members.groupBy("bucket").agg(F.min("rep").alias("a"), F.max("rep").alias("high")).where("a < high")
+    members = cut_lineage(members.join(pivots.select("bucket", "a"), "bucket"))
+    stars = cut_lineage(members.where("rep > a").select("a", F.col("rep").alias("b")).distinct())
+    ends = stars.select(F.col("a").alias("rep")).unionByName(stars.select(F.col("b").alias("rep"))).distinct()
+    full = cut_lineage(load(cut_lineage(ends)))
+    links = components(cut_lineage(_verified(stars, full, limit)))
+    going = _open(members, links)
+    if going.isEmpty():
+        return links
+    tied = components(going.select(F.col("a").alias("a"), F.col("rep").alias("b")))
+    sized, rare = _held(tied.select(F.col("node").alias("rep"), F.col("component").alias("cluster")), full)
+    # The member with the largest part in common with others, the original of edited copies, is the better pivot.
+    central = going.join(sized, "rep").groupBy("bucket").agg(F.max(F.struct(F.col("common") / F.col("n"), "rep")).alias("most"))
+    again = going.join(central.select("bucket", F.col("most.rep").alias("pivot")), "bucket").where("rep <> pivot")
+    again = again.select(F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b")).distinct()
+    again = cut_lineage(again.join(stars, ["a", "b"], "left_anti"))
+    links = _with(links, cut_lineage(_verified(again, full, limit)))
+    going = _open(going.select("bucket", "a", "rep"), links)
+    pairs = cut_lineage(_by_bucket(going, sized, limit).unionByName(_by_rare(going, sized, rare, limit)).distinct())
+    known = stars.unionByName(again)
+    return _with(links, cut_lineage(_verified(cut_lineage(pairs.join(known, ["a", "b"], "left_anti")), full, limit)))
+
+
+def _by_bucket(going: DataFrame, sized: DataFrame, limit: int) -> DataFrame:
+    """(a, b): members outside a bucket's largest component and any others of it that ``common`` leaves room for.
+
+    Two members meet in the first of the buckets they share only.
+    """
+    of = going.groupBy("rep").agg(F.collect_list("bucket").alias("buckets"))  # at most BANDS
+    going = going.join(of, "rep").withColumn("before", F.filter("buckets", lambda bucket: bucket < F.col("bucket"))).drop("buckets")
+    going = cut_lineage(going.join(sized.drop("shared"), "rep").where(_room("n", "common", F.col("common"), limit)))
+    least = going.groupBy("bucket").agg(F.min("n").alias("least"))
+    apart = going.where("component <> largest").join(least, "bucket")
+    # The most similar partner the bucket could hold has just the common shingles.
+    apart = apart.withColumn("partner", F.greatest("least", "common")).where(_room("n", "partner", F.col("common"), limit))
+    apart = cut_lineage(apart.select("bucket", F.col("rep").alias("x"), F.col("component").alias("own"), F.col("n").alias("nx"), F.col("common").alias("cx"), F.col("before").alias("had")))
+    both = F.least("cx", "common")
+    met = going.join(apart, "bucket").where((F.col("component") != F.col("own")) & _room("nx", "n", both, limit) & ~F.arrays_overlap("before", "had"))
+    return met.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b"))
+
+
+def _by_rare(going: DataFrame, sized: DataFrame, rare: DataFrame, limit: int) -> DataFrame:
+    """(a, b): members of different components that share rare shingles, where those and ``common`` leave room."""
+    reps = sized.where(_room("n", "shared", F.col("shared"), limit)).join(going.select("rep", "component").distinct(), "rep")
+    rows = cut_lineage(rare.join(reps.select("rep", "component"), "rep"))
+    other = rows.select("key", F.col("rep").alias("b"), F.col("component").alias("other"))
+    met = rows.withColumnRenamed("rep", "a").join(other, "key").where("a < b AND component <> other")
+    met = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("rare"))
+    for side in ("a", "b"):
+        met = met.join(sized.select(F.col("rep").alias(side), F.col("n").alias(f"n{side}"), F.col("common").alias(f"c{side}")), side)
+    return met.where(_room("na", "nb", F.least("ca", "cb") + F.col("rare"), limit)).select("a", "b")
+
+
+def _with(links: DataFrame, found: DataFrame) -> DataFrame:
+    """(node, component) of the components ``links`` joined by the pairs ``found`` (a, b)."""
+    return components(found.unionByName(links.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+
+
+def _open(members: DataFrame, links: DataFrame) -> DataFrame:
+    """(bucket, a, rep, component, largest) of the buckets that are several components, with the largest of those."""
+    known = members.join(links.withColumnRenamed("node", "rep"), "rep", "left")
+    known = cut_lineage(known.select("bucket", "a", "rep", F.coalesce("component", "rep").alias("component")))
+    parts = known.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size"))
+    parts = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.sum("size").alias("size"), F.max(F.struct("size", "component")).alias("most"))
+    open_ = parts.where("parts > 1 AND size > 2").select("bucket", F.col("most.component").alias("largest"))
+    return cut_lineage(known.join(cut_lineage(open_), "bucket"))
+
+
+def cluster(docs: DataFrame, words: int = SHINGLE_WORDS, limit: int = SIMILARITY, keyed: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text).
 
-    Documents with equal sets are one class, compared once under its smallest doc_id, so copies are
-    never paired with each other. Links are sets of at least ``limit`` hundredths Jaccard similarity.
+    Documents with equal sets are one class, compared once, so copies are never paired with each other. Links are sets of at least ``limit`` hundredths Jaccard similarity.
     ``component_id`` is the smallest doc_id reachable over links; ``kept`` marks the row that has it.
     A text without words, or null, has no shingles and its own doc_id. Repeated rows get the same
-    result each; doc_ids are expected to name one text. A row without doc_id takes no part: its
-    component_id is null, kept false. An empty table gives no rows.
+    result each; texts that share a doc_id are documents of their own. A row without doc_id takes no
+    part: its component_id is null, kept false. An empty table gives no rows. ``keyed`` adds the
+    ``text_keys`` as text_key and text_key2, and ``leads``: of the sets of a component that stand under
+    its smallest doc_id, the smallest has it.
     """
     rows = cut_lineage(_sketched(docs, words))
     named = rows.where("n > 0 AND doc_id IS NOT NULL")
-    classes = cut_lineage(named.groupBy("key", "key2").agg(F.min("doc_id").alias("rep")))
+    classes = cut_lineage(named.groupBy("key", "key2").agg(F.min("n").alias("n"), F.min("doc_id").alias("first")))
+    classes = cut_lineage(with_position(classes, [F.col("first"), F.col("key"), F.col("key2")], "rep"))
     # One row stands for its class; its bands are those of all.
-    own = named.select("key", "key2", "doc_id", "bands")
-    reps = own.join(classes.withColumnRenamed("rep", "doc_id"), ["key", "key2", "doc_id"], "left_semi")
-    banded = reps.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("band")).distinct()
-    # Bands agree for the same documents again and again: buckets of the same members become one.
-    shape = banded.groupBy("band").agg(
-        F.count(F.lit(1)).alias("size"),
-        F.min("rep").alias("first"),
-        F.max("rep").alias("last"),
-        F.bit_xor(F.xxhash64("rep")).alias("members"),
-        F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("members2"),
-    )
-    alike = shape.where("size > 1").groupBy("size", "first", "last", "members", "members2").agg(F.min("band").alias("bucket"))
-    alike = cut_lineage(alike.select("bucket", "size", "first", "last"))
-    pairs = alike.where("size = 2").select("bucket", F.col("last").alias("rep"), "first", F.lit(1).cast("long").alias("place"), "size")
-    more = cut_lineage(banded.withColumnRenamed("band", "bucket").join(alike.where("size > 2").drop("last"), "bucket"))
-    others = with_rank(more.where("rep <> first"), "bucket", ["rep"], buckets_of(more), "at")
-    others = others.select("bucket", "rep", "first", (F.col("at") + 1).alias("place"), "size")
-    firsts = more.where("rep = first").select("bucket", "rep", "first", F.lit(0).cast("long").alias("place"), "size")
-    buckets = cut_lineage(pairs.unionByName(others).unionByName(firsts))
-    involved = buckets.select("rep").unionByName(buckets.select(F.col("first").alias("rep"))).distinct()
-    texts = columns(docs, "doc_id", "text").withColumn("rep", F.col("doc_id").cast("long")).join(cut_lineage(involved), "rep", "left_semi")
-    full = cut_lineage(_full(texts, words).dropDuplicates(["rep"]))
-    found = _joined(buckets, full, limit)
-    linked = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    linked = cut_lineage(linked.select("key", "key2", F.coalesce("component", "rep").alias("component")))
-    joined = rows.select("doc_id", "n", "key", "key2").join(linked, ["key", "key2"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return joined.select(
-        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept")
-    )
+    own = F.col("doc_id") == F.col("first")
+    members = named.select("key", "key2", "doc_id", "bands").join(classes, ["key", "key2"]).where(own)
+    members = members.select("rep", F.explode("bands").alias("bucket"))
+
+    def load(reps: DataFrame) -> DataFrame:
+        wanted = cut_lineage(classes.join(reps, "rep", "left_semi").select("rep", "key", "key2", F.col("first").alias("doc_id")))
+        texts = columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+        return _full(texts.join(wanted, "doc_id"), words)
+
+    found = _joined(members, load, limit)
+    linked = cut_lineage(classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep")))
+    groups = linked.groupBy("component").agg(F.min(F.struct("first", "rep")).alias("least"))
+    linked = linked.join(groups, "component")
+    linked = cut_lineage(linked.select("key", "key2", F.col("least.first").alias("component_id"), (F.col("least.rep") == F.col("rep")).alias("leads")))
+    joined = rows.drop("bands").join(linked, ["key", "key2"], "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    kept = F.coalesce(F.col("doc_id") == component, F.lit(False))
+    first = [F.col("text_key"), F.col("text_key2"), (kept & F.coalesce("leads", F.lit(True))).alias("leads")] if keyed else []
+    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"), *first)

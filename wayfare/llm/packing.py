@@ -9,18 +9,20 @@ from __future__ import annotations
 
 import array
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayfare.llm.tables import buckets_of, columns, in_slices, with_rank
+from wayfare.llm.tables import columns, in_slices
 from wayfare.session import cut_lineage
 
 END = 0
-#: Entries of a worker's table of texts it has already split, about 120 MB.
-REMEMBERED = 500_000
+#: Entries of a worker's table of pieces of text it has already split, about 120 MB, and their characters.
+REMEMBERED, LONGEST_REMEMBERED = 500_000, 64
 
 #: White space as the tokenizer's pattern sees it.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -31,7 +33,7 @@ PIECES = re.compile(
     f"| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
 
-PIECE = "doc_id long, start long, length long, doc_tokens long, ids binary"
+PIECE = "doc_id long, start long, length long, doc_tokens long, ids binary, task int, nth long"
 
 
 def vocabulary() -> tuple[str, str, str]:
@@ -77,7 +79,7 @@ class Tokens:
         ids = self.known.get(piece)
         if ids is None:
             ids = array.array("I", self.encode(piece)).tobytes()
-            if len(self.known) < REMEMBERED:
+            if len(self.known) < REMEMBERED and len(piece) <= LONGEST_REMEMBERED:
                 self.known[piece] = ids
         return ids
 
@@ -92,26 +94,29 @@ def cuts(tokens: int, most: int) -> Iterator[tuple[int, int]]:
 
 
 def decompose(docs: DataFrame, tokenizer_path: str, ranks_path: str, pattern: str, most: int = 1024) -> DataFrame:
-    """Pieces (doc_id, start, length, doc_tokens, ids) of every row of ``docs`` (doc_id, text).
+    """Pieces (doc_id, start, length, doc_tokens, ids, task, nth) of every row of ``docs`` (doc_id, text).
 
     ``ids`` holds the piece's tokens as little-endian unsigned 32-bit numbers; the document's last
-    token is ``END``. Null and empty texts are documents of that one token. ``most`` is a power of
+    token is ``END``. ``nth`` numbers the pieces of one length in one task, from 0. Null and empty texts are documents of that one token. ``most`` is a power of
     two. Repeated rows are documents of their own; a null doc_id stays null. The vocabulary files
     are opened by path in the workers and belong to the installation, not to the data.
     """
     if most < 1 or most & (most - 1):
         raise ValueError("the longest piece must be a power of two")
     end = array.array("I", [END]).tobytes()
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.binary())])
+    kinds = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.binary())]
+    schema = pa.schema([*kinds, ("task", pa.int32()), ("nth", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(tokenizer_path, ranks_path, pattern)
+        tokens, task, made = Tokens(tokenizer_path, ranks_path, pattern), TaskContext.get().partitionId(), Counter()
         for batch in in_slices(batches, 256):
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
                 ids = tokens.ids(text.as_py() or "") + end
                 n = len(ids) // 4
-                rows += ((doc_id.as_py(), at, size, n, ids[4 * at : 4 * (at + size)]) for at, size in cuts(n, most))
+                for at, size in cuts(n, most):
+                    rows.append((doc_id.as_py(), at, size, n, ids[4 * at : 4 * (at + size)], task, made[size]))
+                    made[size] += 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array(values, field.type) for values, field in zip(map(list, zip(*rows)), schema)]
                 if rows
@@ -123,23 +128,24 @@ def decompose(docs: DataFrame, tokenizer_path: str, ranks_path: str, pattern: st
     return rows.mapInArrow(run, PIECE)
 
 
-def sequences(pieces: DataFrame, most: int = 1024) -> DataFrame:
-    """``pieces`` with (sequence_id, offset), gapless from 0 by bucket of equal length, longest first.
+def sequences(pieces: DataFrame) -> DataFrame:
+    """``pieces`` with (sequence_id, offset) for (task, nth), gapless from 0 by bucket of equal length, longest first.
 
-    Every piece is a sequence of its own power-of-two length. Ids of a bucket follow those of the
-    longer buckets. ``pieces`` is read twice, so it should be written before.
+    Every piece is a sequence of its own power-of-two length. Tasks have numbered their pieces, so only
+    the numbers of pieces of each task and length are added up; the ids stay where they were written.
+    ``pieces`` is read twice, so it should be written before.
     """
-    counts = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n"))
-    # At most 1 + log2(most) rows.
-    first, start = {}, 0
-    for row in sorted(counts.collect(), key=lambda row: -row["length"]):
-        first[row["length"]], start = start, start + row["n"]
-    base = F.lit(0).cast("long")
-    for length, at in first.items():
-        base = F.when(F.col("length") == length, F.lit(at).cast("long")).otherwise(base)
-    order = [name for name in pieces.columns if name != "length"]
-    ranked = with_rank(pieces, "length", order, buckets_of(pieces))
-    return ranked.select(*pieces.columns, (base + F.col("__rank")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    # At most tasks x (1 + log2(most)) rows, in one window for each length.
+    counts = pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    within = counts.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("within"))
+    longer = Window.orderBy(F.col("length").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    lengths = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n"))
+    first = lengths.select("length", F.coalesce(F.sum("n").over(longer), F.lit(0)).alias("first"))
+    base = within.join(first, "length").select("length", "task", (F.col("first") + F.col("within")).alias("base"))
+    names = [name for name in pieces.columns if name not in ("task", "nth")]
+    numbered = pieces.join(base, ["length", "task"])
+    return numbered.select(*names, (F.col("base") + F.col("nth")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
 
 
 def pack(docs: DataFrame, tokenizer_path: str, ranks_path: str, pattern: str, most: int = 1024, digest: bool = False) -> DataFrame:
@@ -149,5 +155,5 @@ def pack(docs: DataFrame, tokenizer_path: str, ranks_path: str, pattern: str, mo
     """
     pieces = decompose(docs, tokenizer_path, ranks_path, pattern, most)
     if digest:
-        pieces = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
-    return sequences(cut_lineage(pieces), most)
+        pieces = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "task", "nth")
+    return sequences(cut_lineage(pieces))

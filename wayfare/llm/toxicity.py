@@ -348,3 +348,15 @@ def score(docs: DataFrame, model: Model, keyed: bool = False) -> DataFrame:
     rows = columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     rows = rows.select("*", *text_keys()) if keyed else rows
     return rows.mapInArrow(run, RESULT + "".join(f", {name} long" for name in keys))
+
+
+def drop(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """The rows of ``docs`` whose score is below ``least``, whole; each is judged by its own text in the pass that reads it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Model(Lookup(model.scores), model.scale, model.log_k, model.slope, model.intercept)
+        for batch in in_slices(batches, 512):
+            found = (own.evidence(own.passages(words(text.as_py() or ""))) for text in batch.column("text"))
+            yield batch.filter(pa.array([own.probability(evidence) < least for evidence in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
