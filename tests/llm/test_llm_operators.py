@@ -556,6 +556,14 @@ def test_packing_edges(spark):
         packing.pack(odd(spark), *packing.vocabulary(), most=1000)
 
 
+def test_filter_of_fixed_size(spark):
+    wanted = spark.range(0, 3000, 3).select(F.xxhash64("id").alias("hashed"))
+    marked = tables.maybe_among(spark.range(3000), F.xxhash64("id"), wanted, "maybe")
+    found = {r["id"] for r in marked.where("maybe").collect()}
+    assert set(range(0, 3000, 3)) <= found and len(found) < 1100 and marked.columns == ["id", "maybe"]
+    assert tables.maybe_among(spark.range(9), F.xxhash64("id"), wanted.where("false"), "maybe").where("maybe").isEmpty()
+
+
 # 6: near duplicates in hard groups
 
 

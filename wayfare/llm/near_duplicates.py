@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from wayfare.llm.bytewords import LOWER, buffer_of, hashes, in_bytes, rolled, spans
-from wayfare.llm.tables import columns, text_keys
+from wayfare.llm.tables import columns, maybe_among, text_keys
 from wayfare.operators.positions import with_position
 from wayfare.session import cut_lineage
 
@@ -204,8 +204,8 @@ def _verified(pairs: DataFrame, full: DataFrame, limit: int) -> DataFrame:
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
     # The sizes alone rule many pairs out.
-    near = _beside(pairs, full, "n").where(_room("a_n", "b_n", F.least("a_n", "b_n"), limit))
-    hopeful = _beside(near, full, "registers").where(room("a_registers", "b_registers", "a_n", "b_n")).select("a", "b")
+    near = _beside(pairs, full, "n", "registers").where(_room("a_n", "b_n", F.least("a_n", "b_n"), limit))
+    hopeful = near.where(room("a_registers", "b_registers", "a_n", "b_n")).select("a", "b")
     return _beside(cut_lineage(hopeful), full, "shingles").mapInArrow(run, "a long, b long")
 
 
@@ -361,7 +361,8 @@ def cluster(docs: DataFrame, words: int = SHINGLE_WORDS, limit: int = SIMILARITY
     def load(reps: DataFrame) -> DataFrame:
         wanted = cut_lineage(classes.join(reps, "rep", "left_semi").select("rep", "key", "key2", F.col("first").alias("doc_id")))
         texts = columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-        return _full(texts.join(wanted, "doc_id"), words)
+        texts = maybe_among(texts, F.xxhash64("doc_id"), wanted.select(F.xxhash64("doc_id").alias("hashed")), "wanted")
+        return _full(texts.where("wanted").join(wanted, "doc_id"), words)
 
     found = _joined(members, load, limit)
     linked = cut_lineage(classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep")))

@@ -43,6 +43,24 @@ def buckets_of(df: DataFrame, least: int = 16) -> int:
     return max(least, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+#: 64-bit words of the filter that ``maybe_among`` sends to every task: 4 MB with their numbers, whatever it holds.
+FILTER_WORDS = 1 << 18
+
+
+def maybe_among(df: DataFrame, hashed: Column, wanted: DataFrame, name: str) -> DataFrame:
+    """``df`` with the flag ``name``: false only where ``hashed`` is not among the hashes of ``wanted`` (hashed).
+
+    A filter of fixed size, so that rows which a join would not meet need no shuffle.
+    """
+    place = F.pmod(F.col("hashed"), F.lit(FILTER_WORDS * 64))
+    bits = wanted.select(place.alias("place")).groupBy(F.expr("place div 64").alias("__word"))
+    bits = bits.agg(F.bit_or(F.expr("shiftleft(1L, cast(place % 64 AS int))")).alias("__bits"))
+    at = F.pmod(hashed, F.lit(FILTER_WORDS * 64))
+    marked = df.withColumn("__place", at).withColumn("__word", F.expr("__place div 64")).join(F.broadcast(bits), "__word", "left")
+    held = F.expr("coalesce(shiftright(__bits, cast(__place % 64 AS int)) & 1L, 0L) = 1L")
+    return marked.withColumn(name, held).drop("__word", "__place", "__bits")
+
+
 def with_rank(df: DataFrame, group: str, order: list[str], salts: int, name: str = RANK) -> DataFrame:
     """Gapless positions from 0 within ``group``, without gathering a group in one task.
 
