@@ -1,8 +1,9 @@
 """The corpus pipeline: from documents to packed training sequences.
 
 Each stage takes the documents that the one before kept, written as Parquet and read again. All
-but the last return the columns of documents, extra ones included. Rows are dropped by doc_id and
-text together, so each row's own text decides, with or without a doc_id and whatever shares it.
+but the last return the columns of documents, extra ones included. Each row's own text decides, with
+or without a doc_id and whatever shares it: rows go in the pass that reads their text, or by doc_id
+and text together.
 """
 
 from __future__ import annotations
@@ -11,8 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.llm import contamination, language, near_duplicates, packing, toxicity
-from wayfare.llm.tables import text_keys
-from wayfare.operators.positions import with_position
+from wayfare.llm.tables import maybe_among, text_keys
 from wayfare.session import cut_lineage, scratch_path
 
 #: Probability of a toxic label from which a document is rejected.
@@ -22,10 +22,15 @@ SEQUENCE = 1024
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """``docs`` without the rows whose doc_id and text are in ``dropped`` (doc_id, key, key2)."""
-    found = cut_lineage(dropped.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), F.col("key2").alias("__key2")).distinct())
-    key, key2 = text_keys(docs["text"])
-    same = docs["doc_id"].eqNullSafe(found["__id"]) & (key == found["__key"]) & (key2 == found["__key2"])
-    return docs.join(found, same, "left_anti")
+    found = cut_lineage(dropped.select(F.col("doc_id").cast("long").alias("__id"), F.col("key").alias("__key"), F.col("key2").alias("__key2")).distinct())
+    key, key2 = text_keys("text")
+    known = docs.select("*", F.col("doc_id").cast("long").alias("__own"), key.alias("__one"), key2.alias("__two"))
+    # Most rows are told to stay by a filter of fixed size and are not shuffled.
+    marked = maybe_among(known, F.xxhash64("__own", "__one", "__two"), found.select(F.xxhash64("__id", "__key", "__key2").alias("hashed")), "__maybe")
+    met = marked.where("__maybe")
+    same = met["__own"].eqNullSafe(found["__id"]) & (met["__one"] == found["__key"]) & (met["__two"] == found["__key2"])
+    left = met.join(found, same, "left_anti")
+    return marked.where("NOT __maybe").unionByName(left).select(*(F.col(f"`{name}`") for name in docs.columns))
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,39 +38,32 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Dictionaries come from the labelled languages of ``docs`` itself.
     """
-    found = language.identify(docs, language.fit(docs), keyed=True)
-    return _without(docs, found.where("rejected"))
+    return language.drop(docs, language.fit(docs))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents at or above ``TOXIC``; learns from the labelled ones among ``docs``."""
-    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _without(docs, toxicity.score(docs, model, keyed=True).where(F.col("score") >= TOXIC))
+    return toxicity.drop(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), TOXIC)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest doc_id of each group: five-word shingles, 0.8 or more.
 
-    Rows without doc_id stay. Different texts under one doc_id are documents of their own, ordered by
-    their keys. Of the rows of one doc_id that are left one stays: the first by text, then by its
-    columns in order.
+    Rows without doc_id stay. Different texts under one doc_id are documents of their own; of those in
+    one group, the one with the smallest set keys stays. Of rows equal in doc_id and text one stays.
     """
-    id_ = F.col("doc_id").cast("long").alias("doc_id")
-    named = docs.where("doc_id IS NOT NULL")
-    counts = cut_lineage(named.select(id_, *text_keys()).groupBy("doc_id", "key", "key2").agg(F.count(F.lit(1)).alias("n")))
-    if counts.groupBy("doc_id").count().where("count > 1").isEmpty():
-        lost = cut_lineage(near_duplicates.cluster(named)).where("NOT kept").select("doc_id").distinct().join(counts, "doc_id")
-    else:
-        numbers = cut_lineage(with_position(counts, [F.col("doc_id"), F.col("key"), F.col("key2")], "number"))
-        texts = named.select(id_, "text", *text_keys()).join(numbers, ["doc_id", "key", "key2"])
-        found = cut_lineage(near_duplicates.cluster(texts.select(F.col("number").alias("doc_id"), "text")))
-        lost = found.where("NOT kept").select(F.col("doc_id").alias("number")).distinct().join(numbers, "number")
-    single = _without(docs, lost)
-    ids = counts.groupBy("doc_id").agg(F.sum("n").alias("n")).where("n > 1")
-    ids = cut_lineage(ids.select(F.col("doc_id").alias("__id")))
-    again = single.join(ids, single["doc_id"] == ids["__id"], "left_semi")
-    again = again.groupBy("doc_id").agg(F.min(F.struct(again["text"].alias("__text"), F.struct(*(again[name] for name in docs.columns)).alias("row"))).alias("least")).select("least.row.*")
-    return single.join(ids, single["doc_id"] == ids["__id"], "left_anti").unionByName(again)
+    found = cut_lineage(near_duplicates.cluster(docs.where("doc_id IS NOT NULL"), keyed=True))
+    keys = [F.col("text_key").alias("key"), F.col("text_key2").alias("key2")]
+    single = _without(docs, found.where("NOT leads").select("doc_id", *keys))
+    again = found.where("leads").groupBy("doc_id", *keys).count().where("count > 1").select("doc_id", "key", "key2")
+    again = cut_lineage(again)
+    if again.isEmpty():
+        return single
+    key, key2 = text_keys(docs["text"])
+    named = single.where("doc_id IS NOT NULL").withColumn("__key", key).withColumn("__key2", key2).withColumn("__doc", F.col("doc_id").cast("long"))
+    same = (named["__doc"] == again["doc_id"]) & (named["__key"] == again["key"]) & (named["__key2"] == again["key2"])
+    repeated = named.join(again, same, "left_semi").dropDuplicates(["__doc", "__key", "__key2"])
+    return _without(single, again).unionByName(repeated.select(*docs.columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
