@@ -153,7 +153,22 @@ register(
     RATES_SQL + PAIR_SQL,
     "SELECT xa AS x_a, na AS n_a, xb AS x_b, nb AS n_b, round((pa - pb) / sqrt(p * (1 - p) * (1 / na + 1 / nb)), 8) AS z FROM pooled",
 )
-register("a12_z_test", lambda s, d: A.with_p_value(A.z_test(no_nav_rates(s, d))))
+# Twice the normal density from |z| on, by Simpson's rule over 14 units.
+TAIL_SQL = """
+tail AS (
+  SELECT round(2 * sum(exp(-(z + k * 0.0035) * (z + k * 0.0035) / 2) * CASE WHEN k IN (0, 4000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END)
+    * 0.0035 / 3 / sqrt(2 * pi()), 9) AS p_value
+  FROM (SELECT abs(CAST(z AS DOUBLE)) AS z, CAST(unnest(range(4001)) AS DOUBLE) AS k FROM scores)
+),
+"""
+register(
+    "a12_z_test",
+    lambda s, d: A.with_p_value(A.z_test(no_nav_rates(s, d))).withColumns(
+        {"z": F.round("z", 8), "p_value": F.round("p_value", 9)}
+    ),
+    NO_NAV_SQL + PAIR_SQL + "scores AS (SELECT (pa - pb) / sqrt(p * (1 - p) * (1 / na + 1 / nb)) AS z FROM pooled),\n" + TAIL_SQL,
+    "SELECT xa AS x_a, na AS n_a, xb AS x_b, nb AS n_b, round(z, 8) AS z, p_value FROM pooled, scores, tail",
+)
 Z = normal_quantile(1 - 0.01 / 2)
 SE = "sqrt(pa * (1 - pa) / na + pb * (1 - pb) / nb)"
 register(

@@ -9,7 +9,8 @@ from catalog.registry import register
 from wayfare.operators import network, pagetypes, report, taxonomy
 from wayfare.operators import sessions as S
 from wayfare.plans import stages
-from wayfare.session import scratch_path
+from wayfare.schemas import RAW_JOURNEY
+from wayfare.session import cut_lineage, scratch_path
 from wayfare.sources import journeys as J
 from wayfare.sources import sessions as N
 
@@ -110,16 +111,32 @@ def written_extracts(spark, sf):
     return path
 
 
+def stubbed_extracts(spark, sf):
+    """A folder with two writers' extracts, and the part of the names that only those of even days have."""
+    rows = spark.read.option("sep", "\t").option("header", True).schema(RAW_JOURNEY).csv(written_extracts(spark, sf))
+    rows = cut_lineage(rows.where("Sequence IS NOT NULL"))
+    folder = scratch_path(spark, "stubs")
+    even = F.dayofmonth(F.to_date(F.substring("Dates", 1, 10))) % 2 == 0
+    J.write_extract(rows.where(even), f"{folder}/even")
+    J.write_extract(rows.where(~even), f"{folder}/odd")
+    return folder, I.file_stub(spark, f"{folder}/even")
+
+
+def io5(spark, sf):
+    folder, stub = stubbed_extracts(spark, sf)
+    return J.read_extracts(spark, folder, stub=stub)
+
+
 register(
     "io5_read_by_stub",
-    lambda s, d: J.read_extracts(s, written_extracts(s, d), stub="part-")
+    lambda s, d: io5(s, d)
     .groupBy("Dates")
     .agg(F.sum("Occurrences").alias("n"))
     .select(F.substring("Dates", 1, 10).alias("day"), "n")
     .groupBy("day")
     .agg(F.sum("n").alias("n")),
     I.SESSIONS_SQL,
-    f"SELECT {DAY_SQL}, count(*) AS n FROM sessions WHERE Sequence IS NOT NULL GROUP BY ALL",
+    f"SELECT {DAY_SQL}, count(*) AS n FROM sessions WHERE Sequence IS NOT NULL AND day(date) % 2 = 0 GROUP BY ALL",
 )
 register(
     "io6_read_gzip_extract",
@@ -290,6 +307,14 @@ register(
 )
 
 
+def io15_lengths(spark, sf):
+    """The description of lengths as a delimited file, written and read back."""
+    path = scratch_path(spark, "lengths")
+    found = report.describe_lengths(report.prepare(I.event_journeys(spark, sf, I.MULTISETS)))
+    J.write_extract(found, path, sep=",")
+    return spark.read.option("header", True).schema(found.schema).csv(path)
+
+
 def io15(spark, sf):
     path = scratch_path(spark, "report")
     prepared = report.prepare(I.event_journeys(spark, sf, I.MULTISETS))
@@ -378,12 +403,30 @@ register(
     I.SESSIONS_SQL,
     "SELECT sessionId, Sequence, PageSequence, Actions_Length, PageSeq_Length, EventYes FROM sessions",
 )
+for style in ("event", "no_type", "legacy"):
+    register(
+        f"x10_{style}_from_nested",
+        lambda s, d, style=style: S.sessions_of(S.nested_visits(I.nested_sessions(s, d), style)).select("sessionId", "Sequence"),
+        I.sessions_sql(style),
+        "SELECT sessionId, Sequence FROM sessions",
+    )
+
+
+def x10_giants(spark, sf):
+    """Orders of at least five lines take the way of visits with too many hits for one task."""
+    hits = cut_lineage(I.order_hits(spark, sf))
+    giants = hits.groupBy("fullVisitorId", "visitId").count().where("count >= 5")
+    return S.sessions_of(S.visits(hits, giants=giants)).select("visitId", "PageSequence", "PageSeq_Length")
+
+
+ORDER_SEQUENCES_SQL = """SELECT visitId, string_agg(pagePath, '>>' ORDER BY l_linenumber, l_partkey, l_suppkey) AS PageSequence,
+       count(*) AS PageSeq_Length FROM hits GROUP BY ALL"""
+register("x10_giant_visits", x10_giants, I.ORDER_HITS_SQL, ORDER_SEQUENCES_SQL)
 register(
     "x10_order_sequences",
     lambda s, d: S.build_sessions(I.order_hits(s, d)).select("visitId", "PageSequence", "PageSeq_Length"),
     I.ORDER_HITS_SQL,
-    """SELECT visitId, string_agg(pagePath, '>>' ORDER BY l_linenumber, l_partkey, l_suppkey) AS PageSequence,
-       count(*) AS PageSeq_Length FROM hits GROUP BY ALL""",
+    ORDER_SEQUENCES_SQL,
 )
 for name, column in (
     ("x11_page_sequence", "PageSequence"),

@@ -164,12 +164,6 @@ def all_links(spark, sf):
     return cut_lineage(I.link_edges(spark, sf))
 
 
-register(
-    "g15_many_components",
-    lambda s, d: P.connected_components(all_links(s, d)),
-    REACH,
-    "SELECT node, component FROM components",
-)
 register(
     "g15_component_sizes",
     lambda s, d: P.component_sizes(P.connected_components(all_links(s, d))),
@@ -240,6 +234,8 @@ tr AS (SELECT CAST(sum(k * (k - 1) // 2) AS BIGINT) AS n FROM deg),
 )
 
 
+register("g16_item_diameter", lambda s, d: P.diameter(cut_lineage(item_edges(s, d))))
+
 PAIR_COUNTS = """
 walk AS (
   SELECT node AS s, node AS t, 0 AS level, CAST(1 AS DOUBLE) AS c FROM (SELECT DISTINCT src AS node FROM bi)
@@ -292,6 +288,35 @@ register(
 register(
     "g19_load_centrality",
     lambda s, d: P.load_centrality(all_links(s, d)).withColumn("load", F.round("load", 6)),
+    B
+    + """
+walk AS (
+  SELECT node AS s, node AS t, 0 AS level FROM (SELECT DISTINCT src AS node FROM bi)
+  UNION ALL
+  SELECT DISTINCT s, dst AS t, level + 1 AS level FROM walk JOIN bi ON src = t WHERE level < 20
+),
+sp AS (SELECT s, t, min(level) AS d FROM walk GROUP BY ALL),
+steps AS (SELECT x.s, x.t AS u, y.t AS v FROM sp x JOIN bi ON bi.src = x.t JOIN sp y ON y.s = x.s AND y.t = bi.dst WHERE y.d = x.d + 1),
+ways AS (SELECT s, v, CAST(count(*) AS DOUBLE) AS k FROM steps GROUP BY ALL),
+back AS (SELECT s, u, v, 1 / k AS share FROM steps JOIN ways USING (s, v) WHERE u <> s),
+loads AS (
+  SELECT 0 AS turn, s, t AS node, CAST(1 AS DOUBLE) AS x FROM sp WHERE s <> t
+  UNION ALL
+  SELECT turn + 1 AS turn, b.s, b.u AS node, sum(x * share) AS x FROM loads l JOIN back b ON b.s = l.s AND b.v = l.node GROUP BY turn, b.s, b.u
+),
+passed AS (SELECT node, sum(x) AS x FROM loads WHERE turn > 0 GROUP BY ALL),
+n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM (SELECT DISTINCT src FROM bi)),
+""",
+    """SELECT node, round(coalesce(x, 0) / ((n - 1) * (n - 2)), 6) AS load
+       FROM (SELECT DISTINCT src AS node FROM bi) LEFT JOIN passed USING (node), n""",
+)
+register(
+    "g18_item_betweenness",
+    lambda s, d: P.betweenness(cut_lineage(item_edges(s, d))).withColumn("betweenness", F.round("betweenness", 6)),
+)
+register(
+    "g19_item_load",
+    lambda s, d: P.load_centrality(cut_lineage(item_edges(s, d))).withColumn("load", F.round("load", 6)),
 )
 register(
     "g20_eigenvector_centrality",

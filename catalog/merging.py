@@ -102,13 +102,7 @@ def stage_inputs(spark, sf):
     J.write_extract(texts, f"{folder}/extract")
     J.write_extract(texts.withColumn("Occurrences", F.lit(10**9)), f"{folder}/other")
     # Both writers name their files alike, so the stub is a part of the real ones' names.
-    return folder, file_stub(spark, f"{folder}/extract")
-
-
-def file_stub(spark, folder):
-    """The writing job's id, which all files of ``folder`` and no others have in their names."""
-    name = spark.read.text(folder).select(F.col("_metadata.file_name").alias("f")).first()["f"]
-    return "-".join(name.split("-")[2:7]).split("-c000")[0]
+    return folder, I.file_stub(spark, f"{folder}/extract")
 
 
 def merged_stage(spark, sf, **options):

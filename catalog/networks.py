@@ -9,7 +9,8 @@ from catalog.extract import NODE_TAXONS_SQL, NODES_SQL, _network
 from catalog.registry import register
 from wayfare.operators import network as N
 from wayfare.operators import taxonomy as T
-from wayfare.session import cut_lineage
+from wayfare.session import cut_lineage, scratch_path
+from wayfare.sources import journeys as J
 
 
 def n1(spark, sf):
@@ -210,6 +211,24 @@ register(
          SELECT unnest(string_split(taxons, ',')) AS content_id, unnest(range(len(string_split(taxons, ',')))) AS i)
          JOIN taxonomy USING (content_id)), '') AS paths FROM node_taxons""",
 )
+def io14_nodes(spark, sf):
+    """The node table with the paths of its taxons, written and read back."""
+    nodes = cut_lineage(N.node_taxons(I.parsed(spark, sf)))
+    path = scratch_path(spark, "augmented_nodes")
+    J.write_table(T.translate_nodes(nodes, I.taxonomy(spark, sf)), path)
+    return spark.read.parquet(path).select(
+        "Node", F.array_join("Node_Taxon", ",").alias("taxons"), F.array_join("Node_Taxon_basepath", ";").alias("paths")
+    )
+
+
+register(
+    "io14_write_augmented_nodes",
+    io14_nodes,
+    I.TAXONOMY_SQL + I.PARSED_SQL + NODE_TAXONS_SQL,
+    """SELECT node AS Node, taxons, coalesce((SELECT string_agg(base_path, ';' ORDER BY i) FROM (
+         SELECT unnest(string_split(taxons, ',')) AS content_id, unnest(range(len(string_split(taxons, ',')))) AS i)
+         JOIN taxonomy USING (content_id)), '') AS paths FROM node_taxons""",
+)
 register(
     "n17_journeys_with_taxon",
     lambda s, d: T.journeys_with_taxon(I.parsed(s, d), "t6").select("Sequence", "Occurrences"),
@@ -297,12 +316,13 @@ register(
 )
 register(
     "n23_adjacency_lists",
-    lambda s, d: N.adjacency_lists(N.frequent_edges(cut_lineage(I.journey_edges(s, d)), 20)).select(
-        "src", F.col("part").cast("bigint").alias("part"), F.array_join("pages", "|").alias("pages")
+    lambda s, d: N.adjacency_lists(N.frequent_edges(cut_lineage(I.journey_edges(s, d)), 20), longest=3).select(
+        "src", "part", F.array_join("pages", "|").alias("pages")
     ),
     I.JOURNEY_EDGES_SQL,
-    """SELECT src, 0 AS part, string_agg(dst, '|' ORDER BY dst) AS pages FROM edges
-       WHERE weight >= 20 AND src <> dst GROUP BY ALL""",
+    """SELECT src, part, string_agg(dst, '|' ORDER BY dst) AS pages FROM (
+         SELECT src, dst, (row_number() OVER (PARTITION BY src ORDER BY dst) - 1) // 3 AS part FROM edges WHERE weight >= 20 AND src <> dst)
+       GROUP BY ALL""",
 )
 ADJ_NODES_SQL = I.ADJACENCY_SQL + """
 adj_nodes AS (

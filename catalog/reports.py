@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import inputs as I
-from catalog.extract import io15
+from catalog.extract import io15, io15_lengths
 from catalog.registry import register
 from wayfare.functions import features
 from wayfare.operators import report as R
@@ -110,20 +110,44 @@ corrected AS (SELECT o + least(0.5, abs(e - o)) * sign(e - o) AS o, e FROM cells
 """
 TEST_SQL = """SELECT mr AS mobile_related, m - mr AS mobile_not_related, dr AS desktop_related, d - dr AS desktop_not_related,
        round((SELECT {} FROM corrected), 6) AS statistic, 1 AS degrees_of_freedom FROM vol"""
+# Twice the normal density from the root of the statistic on, by Simpson's rule over 14 units.
+TAIL_SQL = """
+tail AS (
+  SELECT round(2 * sum(exp(-(z + k * 0.0035) * (z + k * 0.0035) / 2) * CASE WHEN k IN (0, 4000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END)
+    * 0.0035 / 3 / sqrt(2 * pi()), 9) AS p_value
+  FROM (SELECT CAST(z AS DOUBLE) AS z, CAST(unnest(range(4001)) AS DOUBLE) AS k FROM scores)
+),
+"""
+P_VALUE_SQL = """SELECT mr AS mobile_related, m - mr AS mobile_not_related, dr AS desktop_related, d - dr AS desktop_not_related,
+       round(z * z, 6) AS statistic, 1 AS degrees_of_freedom, p_value FROM vol, scores, tail"""
 row(
     "d10_chi2_statistic",
     TEST_SQL.format("sum((o - e) * (o - e) / e)"),
     lambda s, d: R.chi2_test(prepared(s, d)).withColumn("statistic", F.round("statistic", 6)),
     BASE_SQL + CELLS_SQL,
 )
-register("d10_chi2_test", lambda s, d: R.with_p_value(R.chi2_test(prepared(s, d))))
+row(
+    "d10_chi2_test",
+    P_VALUE_SQL,
+    lambda s, d: R.with_p_value(R.chi2_test(prepared(s, d))).withColumns(
+        {"statistic": F.round("statistic", 6), "p_value": F.round("p_value", 9)}
+    ),
+    BASE_SQL + CELLS_SQL + "scores AS (SELECT sqrt(sum((o - e) * (o - e) / e)) AS z FROM corrected),\n" + TAIL_SQL,
+)
 row(
     "d11_g_statistic",
     TEST_SQL.format("2 * sum(CASE WHEN o = 0 THEN 0 ELSE o * ln(o / e) END)"),
     lambda s, d: R.g_test(prepared(s, d)).withColumn("statistic", F.round("statistic", 6)),
     BASE_SQL + CELLS_SQL,
 )
-register("d11_g_test", lambda s, d: R.with_p_value(R.g_test(prepared(s, d))))
+row(
+    "d11_g_test",
+    P_VALUE_SQL,
+    lambda s, d: R.with_p_value(R.g_test(prepared(s, d))).withColumns(
+        {"statistic": F.round("statistic", 6), "p_value": F.round("p_value", 9)}
+    ),
+    BASE_SQL + CELLS_SQL + "scores AS (SELECT sqrt(2 * sum(CASE WHEN o = 0 THEN 0 ELSE o * ln(o / e) END)) AS z FROM corrected),\n" + TAIL_SQL,
+)
 row(
     "d12_length_distribution",
     "SELECT PageSeq_Length, CAST(sum(occ) AS BIGINT) AS n FROM rep GROUP BY ALL",
@@ -155,6 +179,12 @@ row(
     lambda s, d: R.describe_lengths(prepared(s, d)),
     describe_sql(SEGMENTS_SQL),
 )
+row(
+    "io15_write_lengths",
+    f"SELECT segment, {DESCRIBE_COLUMNS} FROM expanded GROUP BY segment",
+    io15_lengths,
+    describe_sql(SEGMENTS_SQL),
+)
 LONGER_SQL = BASE_SQL.replace("FROM journeys j JOIN devices USING (Sequence)", "FROM journeys j JOIN devices USING (Sequence) WHERE PageSeq_Length > 1")
 row(
     "d14_report_without_length_one",

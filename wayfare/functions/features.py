@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,34 +44,56 @@ def count_event(events: Column, category: str, action: str) -> Column:
     ).cast("bigint")
 
 
-def _count_equal(items: Column, item: Column) -> Column:
-    return F.size(F.filter(items, lambda other: other.eqNullSafe(item))).cast("bigint")
+def _runs(sorted_items: Column, item: Callable[[Column], Column], entry: Callable[[Column, Column, Column], Column]) -> Column:
+    """``entry(items, first, last)`` of each run of equal items of a sorted list; places count from 1."""
+
+    def ends_of(items: Column) -> Column:
+        return F.filter(
+            F.sequence(F.lit(1), F.greatest(F.size(items), F.lit(1))),
+            lambda i: (i == F.size(items)) | ~item(F.element_at(items, i)).eqNullSafe(item(F.get(items, i))),
+        )
+
+    def runs(items: Column) -> Column:
+        return bound(
+            ends_of(items),
+            lambda ends: F.transform(ends, lambda at, k: entry(items, F.coalesce(F.get(ends, k - 1), F.lit(0)) + 1, at)),
+        )
+
+    return bound(sorted_items, lambda items: F.when(F.size(items) > 0, runs(items)))
+
+
+def _counts(items: Column) -> Column:
+    """``array<struct<first,item,n>>`` of equal items in order of first appearance; null for an empty list.
+
+    Items are sorted once with their places; the ends of the runs of equal items give the counts.
+    """
+    placed = F.array_sort(F.transform(items, lambda item, i: F.struct(item.alias("item"), i.alias("first"))))
+
+    def entry(sorted_items: Column, first: Column, last: Column) -> Column:
+        start = F.element_at(sorted_items, first)
+        return F.struct(start["first"].alias("first"), start["item"].alias("item"), (last - first + 1).cast("bigint").alias("n"))
+
+    return F.array_sort(_runs(placed, lambda x: x["item"], entry))
+
+
+def _or_empty(found: Column, items: Column, kind: str) -> Column:
+    """An empty list for an empty list, null for null."""
+    return F.when(items.isNotNull(), F.coalesce(found, F.array().cast(kind)))
 
 
 def category_frequencies(events: Column) -> Column:
     """``array<struct<category,n>>`` in order of first appearance."""
-    return bound(
-        event_categories(events),
-        lambda categories: F.transform(
-            F.array_distinct(categories),
-            lambda c: F.struct(c.alias("category"), _count_equal(categories, c).alias("n")),
-        ),
-    )
+    named = F.transform(_counts(event_categories(events)), lambda c: F.struct(c["item"].alias("category"), c["n"].alias("n")))
+    return _or_empty(named, events, "array<struct<category:string,n:bigint>>")
 
 
 def event_frequencies(events: Column) -> Column:
     """``array<struct<category,action,n>>`` in order of first appearance."""
-    return bound(
-        _known(events),
-        lambda known: F.transform(
-            F.array_distinct(known),
-            lambda e: F.struct(
-                e["category"].alias("category"),
-                e["action"].alias("action"),
-                _count_equal(known, e).alias("n"),
-            ),
-        ),
+    named = F.transform(
+        _counts(_known(events)),
+        lambda c: F.struct(c["item"]["category"].alias("category"), c["item"]["action"].alias("action"), c["n"].alias("n")),
     )
+    return _or_empty(named, events, "array<struct<category:string,action:string,n:bigint>>")
 
 
 def list_to_multiset(items: Column) -> Column:
@@ -103,20 +127,24 @@ def text_to_multiset(text: Column) -> Column:
 
 
 def sum_entries(entries: Column) -> Column:
-    """``map<string,bigint>`` from ``array<struct<key,n>>`` with repeated keys summed."""
+    """``map<string,bigint>`` from ``array<struct<key,n>>`` with repeated keys summed.
 
-    def totals(all_entries: Column) -> Column:
-        def total(key: Column) -> Column:
-            return F.aggregate(
-                F.filter(all_entries, lambda e: e["key"] == key),
-                F.lit(0).cast("bigint"),
-                lambda acc, e: acc + e["n"],
-            )
+    Entries are sorted once; each run of equal keys is added up.
+    """
+    placed = F.array_sort(
+        F.transform(entries, lambda e, i: F.struct(e["key"].alias("key"), i.alias("first"), e["n"].alias("n")))
+    )
 
-        keys = F.array_distinct(F.transform(all_entries, lambda e: e["key"]))
-        return F.transform(keys, lambda key: F.struct(key.alias("key"), total(key).alias("n")))
+    def entry(items: Column, first: Column, last: Column) -> Column:
+        start = F.element_at(items, first)
+        total = F.aggregate(
+            F.slice(items, first, last - first + 1), F.lit(0).cast("bigint"), lambda acc, e: acc + e["n"]
+        )
+        return F.struct(start["first"].alias("first"), start["key"].alias("key"), total.alias("n"))
 
-    return F.map_from_entries(bound(entries, totals))
+    summed = F.array_sort(_runs(placed, lambda x: x["key"], entry))
+    named = F.transform(summed, lambda e: F.struct(e["key"].alias("key"), e["n"].alias("n")))
+    return F.map_from_entries(_or_empty(named, entries, "array<struct<key:string,n:bigint>>"))
 
 
 def multiset_entries(multiset: Column) -> Column:
@@ -139,14 +167,8 @@ def zip_multiset(columns: dict[str, Column]) -> Column:
     zipped = F.arrays_zip(
         *[split_text(text, C.LIST_DELIMITER).alias(name) for name, text in columns.items()]
     )
-    return bound(
-        zipped,
-        lambda rows: F.transform(
-            F.array_distinct(rows),
-            lambda row: F.struct(
-                *[row[name].alias(name) for name in names], _count_equal(rows, row).alias("n")
-            ),
-        ),
+    return F.transform(
+        _counts(zipped), lambda c: F.struct(*[c["item"][name].alias(name) for name in names], c["n"].alias("n"))
     )
 
 

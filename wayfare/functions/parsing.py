@@ -164,32 +164,37 @@ def reindex_hits(page_events: Column) -> Column:
     that of the last hit kept.
     """
     kept_type = "array<struct<position:int,page:string,event:string>>"
-    start = F.struct(
-        F.lit(None).cast("string").alias("previous"), F.array().cast(kept_type).alias("kept")
-    )
 
-    def step(state: Column, hit: Column) -> Column:
-        kept = state["kept"]
-        last = last_item(kept)
-        moved = ~hit["page"].eqNullSafe(state["previous"])
-
-        def put(position: Column) -> Column:
-            entry = F.struct(
-                position.cast("int").alias("position"),
-                hit["page"].alias("page"),
-                hit["event"].alias("event"),
-            )
-            return F.concat(kept, F.array(entry).cast(kept_type))
-
-        grown = (
-            F.when(F.size(kept) == 0, put(F.lit(0)))
-            .when(moved, put(last["position"] + 1))
-            .when(hit["event"] != last["event"], put(last["position"]))
-            .otherwise(kept)
+    def starts_of(hits: Column) -> Column:
+        return F.filter(
+            F.sequence(F.lit(1), F.greatest(F.size(hits), F.lit(1))),
+            lambda i: (i == 1) | ~F.element_at(hits, i)["page"].eqNullSafe(F.get(hits, i - 2)["page"]),
+        )
+
+    def kept_of(run: Column, position: Column) -> Column:
+        # A missing event differs from none: it is left out, and after it as the first nothing is kept.
+        known = F.when(
+            F.element_at(run, 1)["event"].isNotNull(), F.filter(run, lambda hit: hit["event"].isNotNull())
+        ).otherwise(F.slice(run, 1, 1))
+
+        def changes(hits: Column) -> Column:
+            return F.filter(hits, lambda hit, i: (i == 0) | (hit["event"] != F.get(hits, i - 1)["event"]))
+
+        return F.transform(
+            bound(known, changes),
+            lambda hit: F.struct(
+                position.cast("int").alias("position"), hit["page"].alias("page"), hit["event"].alias("event")
+            ),
         )
-        return F.struct(hit["page"].alias("previous"), grown.alias("kept"))
 
-    return F.aggregate(page_events, start, step, lambda state: state["kept"])
+    def kept(hits: Column) -> Column:
+        def runs(starts: Column) -> Column:
+            following = lambda k: F.coalesce(F.get(starts, k + 1), F.size(hits) + 1)
+            return F.transform(starts, lambda at, k: kept_of(F.slice(hits, at, following(k) - at), k))
+
+        return F.when(F.size(hits) > 0, F.flatten(bound(starts_of(hits), runs))).otherwise(F.array().cast(kept_type))
+
+    return F.when(page_events.isNotNull(), bound(page_events, kept))
 
 
 def delimiter_length(sequence: Column) -> Column:

@@ -5,10 +5,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wayfare.operators.components import by_number
 from wayfare.operators.positions import with_position
+from wayfare.session import cut_lineage
 
 
 def directed(edges: DataFrame) -> DataFrame:
@@ -133,31 +135,18 @@ def nodes_with_prefix(nodes: DataFrame, prefix: str, limit: int) -> DataFrame:
 def transitivity(edges: DataFrame) -> DataFrame:
     """One row: triangles, connected triples and three times their ratio.
 
-    Every edge points from the end with fewer neighbours to the other. A node then has
-    at most ``sqrt(2 * edges)`` followers, hubs included; a triangle is a follower that
-    both ends of an edge share.
+    Nodes are numbered by falling rank of their degree, and every edge points from the end with fewer
+    neighbours to the other. A node then has at most ``sqrt(2 * edges)`` edges, hubs included. Two of
+    them are a wedge; a triangle is a wedge whose ends are an edge.
     """
-    simple = (
-        undirected(edges).where(F.col("src") != F.col("dst")).select("src", "dst")
-    )
-    degree = degrees(simple.withColumn("weight", F.lit(1))).select("node", "degree")
-    ends = simple.join(
-        degree.select(F.col("node").alias("src"), F.col("degree").alias("src_degree")), "src"
-    ).join(degree.select(F.col("node").alias("dst"), F.col("degree").alias("dst_degree")), "dst")
-    src_first = F.struct("src_degree", "src") < F.struct("dst_degree", "dst")
-    low: Column = F.when(src_first, F.col("src")).otherwise(F.col("dst"))
-    high: Column = F.when(src_first, F.col("dst")).otherwise(F.col("src"))
-    oriented = ends.select(low.alias("a"), high.alias("b"))
-    followers = oriented.groupBy("a").agg(F.collect_set("b").alias("followers"))
-    triangles = (
-        oriented.join(followers, "a")
-        .join(followers.select(F.col("a").alias("b"), F.col("followers").alias("others")), "b")
-        .agg(
-            F.coalesce(
-                F.sum(F.size(F.array_intersect("followers", "others"))), F.lit(0)
-            ).alias("triangles")
-        )
-    )
+    simple = undirected(edges).where(F.col("src") != F.col("dst")).select("src", "dst")
+    degree = cut_lineage(degrees(simple.withColumn("weight", F.lit(1))).select("node", "degree"))
+    ids = cut_lineage(with_position(degree, [F.col("degree"), F.col("node")], "id").select("node", "id"))
+    known = by_number(simple, ids)
+    oriented = cut_lineage(known.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")))
+    wedges = oriented.join(oriented.select("a", F.col("b").alias("c")), "a").where("b < c").select("b", "c")
+    closing = oriented.select(F.col("a").alias("b"), F.col("b").alias("c"))
+    triangles = wedges.join(closing, ["b", "c"]).agg(F.count(F.lit(1)).alias("triangles"))
     triples = degree.agg(
         F.coalesce(
             F.sum(F.expr("degree * (degree - 1) DIV 2")), F.lit(0)

@@ -12,10 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.operators import graph
+from wayfare.operators.centrality import dependencies
+from wayfare.operators.components import by_number, numbered, star_components
 from wayfare.session import cut_lineage
 
 # Rows of the (source, node) tables that one batch of sources may reach.
 ROWS_PER_BATCH = 200_000_000
+# Searches for the diameter that run side by side.
+MOST_SOURCES = 1024
+# Links, counted both ways, that every task may hold: 16 to 24 bytes each.
+MOST_LINKS = 4_000_000
 
 
 def shortest_path(edges: DataFrame, source: str, target: str) -> DataFrame:
@@ -51,34 +57,13 @@ def shortest_path(edges: DataFrame, source: str, target: str) -> DataFrame:
 def connected_components(edges: DataFrame) -> DataFrame:
     """``node, component``, the component named by its smallest node.
 
-    Each round a node looks at the names around it, tells the node that gave it its
-    present name about the smallest, and takes over what that one has learnt.
+    Nodes are numbered in the order of their names, so the smallest number stands for the smallest name.
     """
-    links = cut_lineage(graph.both_ways(graph.undirected(edges)).select("src", "dst"))
-    labels = cut_lineage(
-        links.select(F.col("src").alias("node")).distinct().withColumn("label", F.col("node"))
-    )
-    while True:
-        around = (
-            links.join(labels, links["src"] == labels["node"])
-            .groupBy("dst")
-            .agg(F.min("label").alias("near"))
-        )
-        seen = cut_lineage(
-            labels.join(around, labels["node"] == around["dst"], "left").select(
-                "node", "label", F.least("label", "near").alias("near")
-            )
-        )
-        hooks = cut_lineage(seen.groupBy("label").agg(F.min("near").alias("best")))
-        if hooks.where("best <> label").isEmpty():
-            return labels.withColumnRenamed("label", "component")
-        further = hooks.select(F.col("label").alias("best"), F.col("best").alias("next"))
-        jumped = hooks.join(further, "best", "left").select(
-            "label", F.coalesce("next", "best").alias("best")
-        )
-        labels = cut_lineage(
-            seen.join(jumped, "label").select("node", F.least("near", "best").alias("label"))
-        )
+    ids = numbered(graph.nodes_of(edges))
+    found = star_components(by_number(edges.select("src", "dst"), ids).select(F.col("src").alias("a"), F.col("dst").alias("b")))
+    of = ids.join(found.withColumnRenamed("node", "id"), "id", "left").select("node", F.coalesce("component", "id").alias("top"))
+    names = ids.select(F.col("id").alias("top"), F.col("node").alias("component"))
+    return cut_lineage(of.join(names, "top").select("node", "component"))
 
 
 def component_sizes(components: DataFrame) -> DataFrame:
@@ -130,23 +115,96 @@ def _distances(links: DataFrame, sources: DataFrame) -> DataFrame:
             return known
 
 
+def _spread(links: DataFrame, nodes: DataFrame, sources: list[int]) -> tuple[DataFrame, list[int]]:
+    """``node, level, w0, w1, ..`` and the eccentricity of each source.
+
+    A search from all sources side by side: bit i of the words is source i. A row says which sources
+    meet the node at that level; a round takes the bits of the last level along the links and leaves
+    out those the node has had.
+    """
+    words = [f"w{at}" for at in range(-(-len(sources) // 64))]
+    marks = {node: [0] * len(words) for node in sources}
+    for at, node in enumerate(sources):
+        bit = 1 << (at % 64)
+        marks[node][at // 64] += bit if bit < 1 << 63 else -bit
+    schema = ", ".join(["node long", *(f"{word} long" for word in words)])
+    seen = cut_lineage(nodes.sparkSession.createDataFrame([(node, *own) for node, own in marks.items()], schema))
+    front, levels, level = seen, seen.withColumn("level", F.lit(0)), 0
+    far = [0] * len(sources)
+    while True:
+        met = front.join(links, front["node"] == links["src"]).groupBy("dst").agg(*(F.bit_or(word).alias(word) for word in words))
+        had = seen.select(F.col("node").alias("dst"), *(F.col(word).alias(f"had_{word}") for word in words))
+        joined = met.join(had, "dst", "left")
+        new = [F.col(word).bitwiseAND(F.bitwise_not(F.coalesce(f"had_{word}", F.lit(0).cast("long")))).alias(word) for word in words]
+        any_ = " OR ".join(f"{word} <> 0" for word in words)
+        front = cut_lineage(joined.select(F.col("dst").alias("node"), *new).where(any_))
+        level += 1
+        bits = front.agg(*(F.bit_or(word) for word in words)).first()
+        if bits[0] is None:
+            return levels, far
+        for at in range(len(sources)):
+            if bits[at // 64] >> (at % 64) & 1:
+                far[at] = level
+        levels = levels.unionByName(front.withColumn("level", F.lit(level)))
+        seen = cut_lineage(seen.unionByName(front).groupBy("node").agg(*(F.bit_or(word).alias(word) for word in words)))
+
+
+def _narrowed(bounds: DataFrame, levels: DataFrame, sources: list[int], far: list[int]) -> DataFrame:
+    """``node, degree, low, high`` after the searches of ``_spread``.
+
+    A source of eccentricity e at distance d bounds the eccentricity of a node by e - d or d from
+    below and by e + d from above; sources of the same e are taken together.
+    """
+    words = [f"w{at}" for at in range(-(-len(sources) // 64))]
+    low, high = F.lit(0), F.lit(None).cast("int")
+    for e in sorted(set(far)):
+        masks = [0] * len(words)
+        for at, own in enumerate(far):
+            if own == e:
+                bit = 1 << (at % 64)
+                masks[at // 64] += bit if bit < 1 << 63 else -bit
+        here = F.lit(False)
+        for word, mask in zip(words, masks):
+            if mask:
+                here = here | (F.col(word).bitwiseAND(F.lit(mask).cast("long")) != 0)
+        low = F.greatest(low, F.when(here, F.greatest(F.lit(e) - F.col("level"), F.col("level"))))
+        high = F.least(high, F.when(here, F.lit(e) + F.col("level")))
+    found = levels.select("node", low.alias("new_low"), high.alias("new_high"))
+    found = found.groupBy("node").agg(F.max("new_low").alias("new_low"), F.min("new_high").alias("new_high"))
+    return bounds.join(found, "node", "left").select(
+        "node", "degree", F.greatest("low", "new_low").alias("low"), F.least("high", "new_high").alias("high")
+    )
+
+
 def diameter(edges: DataFrame, rows_per_batch: int = ROWS_PER_BATCH) -> DataFrame:
     """One row: the diameter of the largest component, edges taken both ways.
 
-    Sources are taken in batches, as many as it needs to keep each within bounds.
+    Searches from a few nodes bound the eccentricity of all. The next searches start where the upper
+    bound is highest and where the lower bound is lowest, until no upper bound exceeds the longest
+    distance seen. Searches run side by side, a bit each and at most ``rows_per_batch`` bits, so a
+    table has one row for a node and level, never one for a pair of nodes.
     """
-    simple = graph.undirected(edges)
-    members = cut_lineage(largest_component(connected_components(edges)).select("node"))
-    links = cut_lineage(
-        graph.both_ways(graph.induced_subgraph(simple, members)).select(
-            "src", "dst", F.lit(1).cast("bigint").alias("cost")
-        )
-    )
-    longest = None
-    for batch in _source_batches(members, None, rows_per_batch):
-        found = cut_lineage(_distances(links, batch).agg(F.max("distance").alias("diameter")))
-        longest = found if longest is None else longest.union(found)
-    return longest.agg(F.max("diameter").alias("diameter"))
+    parts = connected_components(edges)
+    members = numbered(largest_component(parts))
+    links = by_number(graph.both_ways(graph.undirected(edges)).where("src <> dst").select("src", "dst"), members)
+    links = cut_lineage(links.select("src", "dst"))
+    degree = links.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("degree"))
+    nodes = members.select(F.col("id").alias("node"))
+    unknown = F.lit(None).cast("int").alias("high")
+    bounds = cut_lineage(nodes.join(degree, "node", "left").select("node", F.coalesce("degree", F.lit(0)).alias("degree"), F.lit(0).alias("low"), unknown))
+    most_sources = min(MOST_SOURCES, max(2, rows_per_batch // max(1, nodes.count())))
+    longest, n_sources = 0, min(64, most_sources)
+    while True:
+        open_ = bounds.where(F.col("high").isNull() | (F.col("high") > longest))
+        by_high = open_.orderBy(F.col("high").desc_nulls_first(), F.col("degree").desc(), "node").limit(max(1, n_sources // 2))
+        by_low = open_.orderBy("low", F.col("degree").desc(), "node").limit(max(1, n_sources // 2))
+        sources = [row["node"] for row in by_high.select("node").union(by_low.select("node")).distinct().collect()]
+        if not sources:
+            return bounds.sparkSession.range(1).select(F.lit(longest).cast("long").alias("diameter"))
+        levels, far = _spread(links, nodes, sources)
+        longest = max(longest, *far)
+        bounds = cut_lineage(_narrowed(bounds, levels, sources, far))
+        n_sources = min(most_sources, 4 * n_sources)
 
 
 def _tight_steps(links: DataFrame, distances: DataFrame) -> DataFrame:
@@ -215,17 +273,8 @@ def _backwards(shares: DataFrame, distances: DataFrame, rounds: int) -> DataFram
     return value
 
 
-def _centrality(
-    edges: DataFrame,
-    is_directed: bool,
-    weighted: bool,
-    sources: DataFrame | None,
-    rows_per_batch: int,
-    by_paths: bool,
-    name: str,
-) -> DataFrame:
-    links = _costed_links(edges, is_directed, weighted)
-    nodes = cut_lineage(graph.nodes_of(edges))
+def _by_joins(links: DataFrame, nodes: DataFrame, sources: DataFrame | None, rows_per_batch: int, by_paths: bool) -> DataFrame:
+    """``node, value`` by joins over (source, node) rows, in as many batches of sources as bounds ask for."""
     parts = None
     for batch in _source_batches(nodes, sources, rows_per_batch):
         distances = cut_lineage(_distances(links, cut_lineage(batch)))
@@ -249,7 +298,28 @@ def _centrality(
             .agg(F.sum("value").alias("value"))
         )
         parts = part if parts is None else parts.union(part)
-    total = parts.groupBy("node").agg(F.sum("value").alias("value"))
+    return parts.groupBy("node").agg(F.sum("value").alias("value"))
+
+
+def _centrality(
+    edges: DataFrame,
+    is_directed: bool,
+    weighted: bool,
+    sources: DataFrame | None,
+    rows_per_batch: int,
+    most_links: int,
+    by_paths: bool,
+    name: str,
+) -> DataFrame:
+    links = _costed_links(edges, is_directed, weighted)
+    nodes = cut_lineage(graph.nodes_of(edges))
+    if links.count() <= most_links:
+        ids = numbered(nodes)
+        starts = None if sources is None else ids.join(sources.select("node").distinct(), "node", "left_semi")
+        found = dependencies(cut_lineage(by_number(links, ids)), ids, starts, weighted, not is_directed, by_paths)
+        total = found.join(ids, "id").select("node", "value")
+    else:
+        total = _by_joins(links, nodes, sources, rows_per_batch, by_paths)
     n = float(nodes.count())
     scale = (n - 1) * (n - 2) if n > 2 else 1.0
     scaled = F.coalesce("value", F.lit(0.0)) / scale
@@ -262,14 +332,16 @@ def betweenness(
     weighted: bool = False,
     sources: DataFrame | None = None,
     rows_per_batch: int = ROWS_PER_BATCH,
+    most_links: int = MOST_LINKS,
 ) -> DataFrame:
     """``node, betweenness``: share of shortest paths that pass a node, normalised.
 
-    Brandes' accumulation: paths are counted outwards from each source, then
-    dependencies are added up backwards along the same steps.
+    Brandes' accumulation: paths are counted outwards from each source, then dependencies are added
+    up backwards along the same steps. Sources are dealt over tasks. Up to ``most_links`` links a task
+    holds the links themselves; beyond, the steps of batches of sources are joined.
     """
     return _centrality(
-        edges, is_directed, weighted, sources, rows_per_batch, True, "betweenness"
+        edges, is_directed, weighted, sources, rows_per_batch, most_links, True, "betweenness"
     )
 
 
@@ -279,9 +351,12 @@ def load_centrality(
     weighted: bool = False,
     sources: DataFrame | None = None,
     rows_per_batch: int = ROWS_PER_BATCH,
+    most_links: int = MOST_LINKS,
 ) -> DataFrame:
     """``node, load``: as betweenness, each node splitting its load evenly backwards."""
-    return _centrality(edges, is_directed, weighted, sources, rows_per_batch, False, "load")
+    return _centrality(
+        edges, is_directed, weighted, sources, rows_per_batch, most_links, False, "load"
+    )
 
 
 def eigenvector_centrality(

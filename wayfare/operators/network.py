@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions import features, parsing
@@ -126,14 +126,19 @@ def frequent_edges(edges: DataFrame, threshold: int = 1000) -> DataFrame:
     return edges.where((F.col("weight") >= threshold) & (F.col("src") != F.col("dst")))
 
 
-def adjacency_lists(edges: DataFrame, parts: int = 1) -> DataFrame:
-    """``src, part, pages``: every page's neighbours, dealt by a hash over ``parts`` lists.
+def adjacency_lists(edges: DataFrame, longest: int = 10_000) -> DataFrame:
+    """``src, part, pages``: every page's neighbours in order, in lists of ``longest``.
 
-    The number of lists is the caller's choice and does not depend on the data.
+    A neighbour's rank comes from its place among all links sorted by page, so the links of a hub are
+    sorted by many tasks, and no task gathers more than a list.
     """
-    part: Column = F.pmod(F.xxhash64("dst"), F.lit(parts))
+    pairs = edges.select("src", "dst").distinct()
+    placed = with_position(pairs, [F.col("src"), F.col("dst")], "place")
+    first = placed.groupBy("src").agg(F.min("place").alias("first"))
+    part = F.expr(f"(place - first) div {longest}").alias("part")
     return (
-        edges.withColumn("part", part)
+        placed.join(first, "src")
+        .select("src", part, "dst")
         .groupBy("src", "part")
-        .agg(F.sort_array(F.collect_set("dst")).alias("pages"))
+        .agg(F.sort_array(F.collect_list("dst")).alias("pages"))
     )

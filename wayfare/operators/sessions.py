@@ -38,14 +38,17 @@ def hit_token(style: str = "taxon") -> Column:
     ``event``: page and typed event. ``no_type``: page, category and action.
     ``legacy``: page, category and action with the older delimiters.
     """
-    page = F.col("pagePath")
-    kind = F.col("type")
     category = F.coalesce("eventCategory", F.lit(C.NULL_TEXT))
     action = F.coalesce("eventAction", F.lit(C.NULL_TEXT))
+    return tokens_of(F.col("pagePath"), F.col("type"), category, action, F.col("taxons"))[style]
+
+
+def tokens_of(page: Column, kind: Column, category: Column, action: Column, taxons: Column) -> dict[str, Column]:
+    """The text of a hit in every style."""
     field, part = F.lit(C.FIELD_DELIMITER), F.lit(C.EVENT_DELIMITER)
     event = F.concat(page, field, kind, part, category, part, action)
-    tokens = {
-        "taxon": F.concat(event, field, F.col("taxons")),
+    return {
+        "taxon": F.concat(event, field, taxons),
         "event": event,
         "no_type": F.concat(page, field, category, part, action),
         "legacy": F.concat(
@@ -56,7 +59,6 @@ def hit_token(style: str = "taxon") -> Column:
             action,
         ),
     }
-    return tokens[style]
 
 
 def _joined(column: str, order: str, alias: str) -> Column:
@@ -65,38 +67,48 @@ def _joined(column: str, order: str, alias: str) -> Column:
     ).alias(alias)
 
 
-def visits(
-    hits: DataFrame, style: str = "taxon", head: Sequence[str] = SESSION_HEAD
-) -> DataFrame:
-    """One row per visit with its texts, counts and the distinct session heads.
-
-    The hits are joined within chunks first and the chunks per visit second, so a
-    visit with very many hits is spread over tasks until only its texts are left. Hits
-    are shuffled before they are joined: texts do not shrink by combining earlier.
-    """
+def _pieces(hits: DataFrame, keys: Sequence[str], head: Sequence[str]) -> DataFrame:
+    """Texts, counts and heads of each group of hits, shuffled once."""
     is_page = F.col("type") == "PAGE"
-    pieces = (
-        hits.withColumn("token", hit_token(style))
-        .withColumn("pageToken", F.when(is_page, F.col("pagePath")))
-        .repartition("fullVisitorId", "visitId", "hitChunk")
-        .groupBy("fullVisitorId", "visitId", "hitChunk")
+    return (
+        hits.repartition(*keys)
+        .groupBy(*keys)
         .agg(
             _joined("token", "hitOrder", "Sequence"),
             _joined("pageToken", "hitOrder", "PageSequence"),
-            F.count("*").alias("actions"),
-            F.count_if(is_page).alias("pages"),
-            F.count_if(F.col("eventAction") == C.FEEDBACK_YES).alias("yes"),
+            F.count("*").alias("Actions_Length"),
+            F.count_if(is_page).alias("PageSeq_Length"),
+            F.count_if(F.col("eventAction") == C.FEEDBACK_YES).alias("EventYes"),
             F.collect_set(F.struct(*head)).alias("heads"),
         )
     )
-    return pieces.groupBy("fullVisitorId", "visitId").agg(
+
+
+def visits(
+    hits: DataFrame, style: str = "taxon", head: Sequence[str] = SESSION_HEAD, giants: DataFrame | None = None
+) -> DataFrame:
+    """One row per visit with its texts, counts and the distinct session heads.
+
+    Hits are shuffled once, by visit, and joined in order there: texts do not shrink by combining
+    earlier. ``giants`` (fullVisitorId, visitId), if given, are visits with too many hits for one task;
+    theirs are joined within chunks first and the chunks per visit second, so that they are spread
+    over tasks until only the texts are left.
+    """
+    tokens = hits.withColumn("token", hit_token(style)).withColumn(
+        "pageToken", F.when(F.col("type") == "PAGE", F.col("pagePath"))
+    )
+    visit = ["fullVisitorId", "visitId"]
+    if giants is None:
+        return _pieces(tokens, visit, head)
+    named = giants.select(*visit).distinct()
+    chunks = _pieces(tokens.join(named, visit, "left_semi"), [*visit, "hitChunk"], head)
+    large = chunks.groupBy(*visit).agg(
         _joined("Sequence", "hitChunk", "Sequence"),
         _joined("PageSequence", "hitChunk", "PageSequence"),
-        F.sum("actions").alias("Actions_Length"),
-        F.sum("pages").alias("PageSeq_Length"),
-        F.sum("yes").alias("EventYes"),
+        *(F.sum(name).alias(name) for name in ("Actions_Length", "PageSeq_Length", "EventYes")),
         F.array_distinct(F.flatten(F.collect_list("heads"))).alias("heads"),
     )
+    return _pieces(tokens.join(named, visit, "left_anti"), visit, head).unionByName(large)
 
 
 def nested_visits(
@@ -116,12 +128,9 @@ def nested_visits(
         page = hit["page"]["pagePath"]
         category = F.coalesce(hit["eventInfo"]["eventCategory"], F.lit(C.NULL_TEXT))
         action = F.coalesce(hit["eventInfo"]["eventAction"], F.lit(C.NULL_TEXT))
-        field, part = F.lit(C.FIELD_DELIMITER), F.lit(C.EVENT_DELIMITER)
-        token = F.concat(page, field, hit["type"], part, category, part, action)
-        if style == "taxon":
-            token = F.concat(
-                token, field, dimension(hit["customDimensions"], C.DIMENSION_TAXONS)
-            )
+        token = tokens_of(
+            page, hit["type"], category, action, dimension(hit["customDimensions"], C.DIMENSION_TAXONS)
+        )[style]
         return F.struct(
             hit["hitNumber"].alias("order"),
             token.alias("token"),
@@ -130,8 +139,6 @@ def nested_visits(
             (hit["eventInfo"]["eventAction"] == C.FEEDBACK_YES).alias("yes"),
         )
 
-    if style not in ("taxon", "event"):
-        raise ValueError("nested sessions take the styles taxon and event")
     rows = sessions.where(F.size("hits") > 0).select(
         "fullVisitorId",
         "visitId",
