@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from wayfare.llm.bytewords import LOWER, buffer_of, hashes, in_bytes, rolled, spans
-from wayfare.llm.tables import columns, maybe_among, text_keys
+from wayfare.llm.tables import columns, in_slices, maybe_among, text_keys
 from wayfare.operators.positions import with_position
 from wayfare.session import cut_lineage
 
@@ -195,7 +195,7 @@ def _verified(pairs: DataFrame, full: DataFrame, limit: int) -> DataFrame:
         return pd.Series(possible(stack(ra), stack(rb), na.to_numpy(float), nb.to_numpy(float), limit / 100))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches, 256):
             keep = []
             for at, (left, right) in enumerate(zip(_sets(batch.column("a_shingles")), _sets(batch.column("b_shingles")))):
                 shared = len(np.intersect1d(left, right, assume_unique=True))
@@ -218,7 +218,7 @@ def _held(reps: DataFrame, full: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches, 256):
             sets = _sets(batch.column("shingles"))
             salts = [xxhash.xxh64_intdigest(cluster.to_bytes(8, "little", signed=True)) for cluster in batch.column("cluster").to_pylist()]
             keys = [(found ^ np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15) for found, salt in zip(sets, salts)]

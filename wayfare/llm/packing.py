@@ -142,7 +142,8 @@ def sequences(pieces: DataFrame) -> DataFrame:
     longer = Window.orderBy(F.col("length").desc()).rowsBetween(Window.unboundedPreceding, -1)
     lengths = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n"))
     first = lengths.select("length", F.coalesce(F.sum("n").over(longer), F.lit(0)).alias("first"))
-    base = within.join(first, "length").select("length", "task", (F.col("first") + F.col("within")).alias("base"))
+    # Written first, so that the pieces are not shuffled to meet a table that turns out to be small.
+    base = cut_lineage(within.join(first, "length").select("length", "task", (F.col("first") + F.col("within")).alias("base")))
     names = [name for name in pieces.columns if name not in ("task", "nth")]
     numbered = pieces.join(base, ["length", "task"])
     return numbered.select(*names, (F.col("base") + F.col("nth")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
