@@ -316,7 +316,7 @@ register(
 )
 register(
     "n23_adjacency_lists",
-    lambda s, d: N.adjacency_lists(N.frequent_edges(cut_lineage(I.journey_edges(s, d)), 20), longest=3).select(
+    lambda s, d: N.adjacency_blocks(N.frequent_edges(cut_lineage(I.journey_edges(s, d)), 20), longest=3).select(
         "src", "part", F.array_join("pages", "|").alias("pages")
     ),
     I.JOURNEY_EDGES_SQL,

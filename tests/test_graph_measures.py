@@ -107,11 +107,11 @@ def test_transitivity_beside_brute_force(spark):
     assert row.triangles == triangles and row.triples == sum(len(m) * (len(m) - 1) // 2 for m in near.values())
 
 
-def test_adjacency_lists_of_a_hub(spark):
+def test_adjacency_blocks_of_a_hub(spark):
     edges = spark.range(1000).select(F.lit("hub").alias("src"), F.format_string("p%04d", "id").alias("dst")).unionByName(
         spark.createDataFrame([("p0001", "p0002"), ("p0001", "p0002")], "src string, dst string")
     )
-    found = {(r["src"], r["part"]): r["pages"] for r in network.adjacency_lists(edges, longest=300).collect()}
+    found = {(r["src"], r["part"]): r["pages"] for r in network.adjacency_blocks(edges, longest=300).collect()}
     assert {key: len(pages) for key, pages in found.items()} == {("hub", 0): 300, ("hub", 1): 300, ("hub", 2): 300, ("hub", 3): 100, ("p0001", 0): 1}
     assert sum((found[("hub", i)] for i in range(4)), []) == [f"p{i:04d}" for i in range(1000)]
 

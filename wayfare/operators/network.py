@@ -126,7 +126,20 @@ def frequent_edges(edges: DataFrame, threshold: int = 1000) -> DataFrame:
     return edges.where((F.col("weight") >= threshold) & (F.col("src") != F.col("dst")))
 
 
-def adjacency_lists(edges: DataFrame, longest: int = 10_000) -> DataFrame:
+def adjacency_lists(edges: DataFrame, parts: int = 1) -> DataFrame:
+    """``src, part, pages``: every page's neighbours, dealt by a hash over ``parts`` lists.
+
+    The number of lists is the caller's choice and does not depend on the data.
+    """
+    part = F.pmod(F.xxhash64("dst"), F.lit(parts))
+    return (
+        edges.withColumn("part", part)
+        .groupBy("src", "part")
+        .agg(F.sort_array(F.collect_set("dst")).alias("pages"))
+    )
+
+
+def adjacency_blocks(edges: DataFrame, longest: int = 10_000) -> DataFrame:
     """``src, part, pages``: every page's neighbours in order, in lists of ``longest``.
 
     A neighbour's rank comes from its place among all links sorted by page, so the links of a hub are
