@@ -564,6 +564,15 @@ def test_filter_of_fixed_size(spark):
     assert tables.maybe_among(spark.range(9), F.xxhash64("id"), wanted.where("false"), "maybe").where("maybe").isEmpty()
 
 
+def test_repeated_notices_are_spans_of_their_own(spark):
+    mit = "Released under the MIT License."
+    between = " Some words of a file stand here between both."
+    rows = [(2, f"{mit} {mit}"), (3, f"{mit}{between} {mit}{between} {mit}"), (40, " ".join([mit] * 40))]
+    found = {r["doc_id"]: r["spans"] for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(s["first_word"], s["last_word"]) for s in found[2]] == [(0, 4), (5, 9)]
+    assert {n: len(spans) for n, spans in found.items()} == {2: 2, 3: 3, 40: 40}
+
+
 # 6: near duplicates in hard groups
 
 

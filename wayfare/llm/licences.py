@@ -8,6 +8,7 @@ template holds. Long runs are chained, in order, into covered spans of a templat
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -212,11 +213,17 @@ def chains(automaton: Automaton, sequence: list[bytes]) -> list[tuple[int, int,
                 if fresh > 0 and end - length + 1 - chain[2] <= MOST_GAP and (best is None or chain[3] + fresh > best[3]):
                     best = [chain[0], at, end, chain[3] + fresh]
             live.append(best if best and best[3] > length else [begin, at, end, length])
-            # Chains that end at one place of the template go on alike: the best of them stays.
+            # Chains that end at one place of the template go on alike: the best of them stays, and one
+            # that stands elsewhere in the file is done.
             top: dict[int, list[int]] = {}
             for chain in live:
-                if chain[2] not in top or (chain[3], chain[1]) > (top[chain[2]][3], top[chain[2]][1]):
-                    top[chain[2]] = chain
+                other = top.setdefault(chain[2], chain)
+                if other is chain:
+                    continue
+                better, worse = (chain, other) if (chain[3], chain[1]) > (other[3], other[1]) else (other, chain)
+                top[chain[2]] = better
+                if worse[1] < better[0] or better[1] < worse[0]:
+                    finish(template, worse)
             open_[template] = list(top.values())
     for template, live in open_.items():
         for chain in live:
@@ -269,11 +276,14 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES) -> DataFrame:
                 places += phrase_places(found, joined, phrase)
         score = 1.0 if base else 0.0
         spans: list[dict] = []
+        taken: list[tuple[int, int]] = []  # first and last words of the spans, in order
         # Templates share sentences: where spans overlap, the one with most covered words stands.
         found_chains = chains(automaton, found)
         for template, first, last, covered in sorted(found_chains, key=lambda c: (-c[3] * automaton.lengths[c[0]], -c[3], c)):
             score = max(score, min(1.0, covered))
-            if covered >= LEAST_COVERED and not any(first <= s["last_word"] and s["first_word"] <= last for s in spans):
+            place = bisect_right(taken, (last, len(found)))
+            if covered >= LEAST_COVERED and not (place and taken[place - 1][1] >= first):
+                taken.insert(place, (first, last))
                 spans.append({"label": labels[template], "template": template, "first_word": first, "last_word": last, "covered": min(1.0, covered)})
         spans.sort(key=lambda s: s["first_word"])
         every = base | {s["label"] for s in spans}

@@ -32,7 +32,7 @@ def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.where(fold(F.col("doc_id"), 4) != 2))
-    held_out = fold(F.col("doc_id"), 4) == 2
+    held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
     predicted = (F.col("score") >= TOXIC).cast("int")
     return toxicity.score(docs, model).select(
         "doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"), "n_segments", "first_word", "last_word"
@@ -50,7 +50,7 @@ def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = language.fit(docs.where(fold(F.col("doc_id"), 3) != 1))
-    held_out = fold(F.col("doc_id"), 3) == 1
+    held_out = F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False))
     return language.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
