@@ -24,11 +24,25 @@ OPEN, CLOSE = "<|", "|>"
 END = "<|end|>\n"
 
 
+def escaped(text: Column) -> Column:
+    """``text`` without the opening of a marker: every ``<|`` has one bar more, which ``unescaped`` takes off."""
+    return F.replace(text, F.lit(OPEN), F.lit(OPEN + "|"))
+
+
+def unescaped(text: Column) -> Column:
+    return F.replace(text, F.lit(OPEN + "|"), F.lit(OPEN))
+
+
+def escaped_name(role: Column) -> Column:
+    """A name without the opening or the close of a marker."""
+    return F.replace(escaped(role), F.lit(CLOSE), F.lit("|" + CLOSE))
+
+
 def _header(role: Column, perspective: Column, narrators: tuple[str, ...]) -> Column:
     return (
         F.when(role.isin(*narrators), F.concat(F.lit(OPEN), role, F.lit(CLOSE + "\n")))
         .when(role == perspective, F.lit(f"{OPEN}assistant{CLOSE}\n"))
-        .otherwise(F.concat(F.lit(f"{OPEN}user name="), role, F.lit(CLOSE + "\n")))
+        .otherwise(F.concat(F.lit(f"{OPEN}user name="), escaped_name(role), F.lit(CLOSE + "\n")))
     )
 
 
@@ -59,7 +73,8 @@ def rotate(conversations: DataFrame, part: int = PART, narrators: tuple[str, ...
     A participant is a role that has a message and is not among ``narrators``; the perspective's own
     messages are those of the assistant, others are users with their role as name, narrators stay.
     ``mask`` lists (start, length) in characters of the part's text: what the assistant says, with
-    its end mark, is trained on and nothing else. Parts in which the perspective is silent have an
+    its end mark, is trained on and nothing else. Markers inside texts and names are ``escaped``, so that
+    no message can speak for another. Parts in which the perspective is silent have an
     empty mask. Conversations of narrators alone, and empty tables, give no rows.
     """
     written = cut_lineage(messages(conversations, part))
@@ -67,7 +82,7 @@ def rotate(conversations: DataFrame, part: int = PART, narrators: tuple[str, ...
     roles = cut_lineage(roles.where(~F.col("perspective").isin(*narrators)))
     both = written.join(roles, "conv_id")
     shown = F.transform(
-        "messages", lambda m: F.struct(_header(m["role"], F.col("perspective"), narrators).alias("head"), F.concat(m["text"], F.lit(END)).alias("body"), (m["role"] == F.col("perspective")).alias("own"))
+        "messages", lambda m: F.struct(_header(m["role"], F.col("perspective"), narrators).alias("head"), F.concat(escaped(m["text"]), F.lit(END)).alias("body"), (m["role"] == F.col("perspective")).alias("own"))
     )
     rendered = both.withColumn("shown", shown)
     sizes = F.transform("shown", lambda m: (F.length(m["head"]) + F.length(m["body"])).cast("long"))

@@ -119,9 +119,9 @@ WITH rows AS (
 ), speakers AS (
   SELECT DISTINCT conv_id, role AS perspective FROM rows WHERE role <> 'system'
 ), shown AS (
-  SELECT n.conv_id, perspective, pos, (pos // 32)::INTEGER AS part, role = perspective AS own, text || '<|end|>' || chr(10) AS body,
+  SELECT n.conv_id, perspective, pos, (pos // 32)::INTEGER AS part, role = perspective AS own, replace(text, '<|', '<||') || '<|end|>' || chr(10) AS body,
     CASE WHEN role = 'system' THEN '<|system|>' WHEN role = perspective THEN '<|assistant|>'
-      ELSE '<|user name=' || role || '|>' END || chr(10) AS head
+      ELSE '<|user name=' || replace(replace(role, '<|', '<||'), '|>', '||>') || '|>' END || chr(10) AS head
   FROM numbered n JOIN speakers s ON n.conv_id = s.conv_id
 ), spans AS (
   SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, perspective, part ORDER BY pos) - length(body) AS start
