@@ -78,6 +78,34 @@ register(
         FROM journeys WHERE PageSequence IS NOT NULL""",
 )
 simple("e7_contains_text", "event_list_contains_start", "page_seq_contains_start", "page_seq_contains_service")
+
+
+def e7_every(spark, sf):
+    """Every flag on and off: parts name the events and pages, their numbers say where the texts stand."""
+    kind = F.col("p_partkey") % 5
+    category = F.when(kind == 1, "startPage").otherwise(F.col("p_type"))
+    action = F.when(kind == 2, "click start").otherwise(F.col("p_name"))
+    plain = F.struct(F.col("p_name").alias("category"), F.col("p_type").alias("action"))
+    events = F.array(plain, F.struct(category.alias("category"), action.alias("action")))
+    tail = F.when(kind == 3, ">>/start").when(kind == 4, f">>/{SERVICE}").otherwise("")
+    sequence = F.concat(F.lit("/"), F.col("p_type"), tail)
+    return I.table(spark, sf, "part").select(
+        "p_partkey",
+        E.events_contain_start(events).alias("in_events"),
+        E.flag(sequence.contains("start")).alias("in_sequence"),
+        E.flag(sequence.contains(SERVICE)).alias("names_service"),
+    )
+
+
+register(
+    "e7_every_flag",
+    e7_every,
+    None,
+    f"""SELECT p_partkey,
+          CAST(p_partkey % 5 IN (1, 2) OR contains(p_name, 'start') OR contains(p_type, 'start') AS INTEGER) AS in_events,
+          CAST(p_partkey % 5 = 3 OR contains(p_type, 'start') AS INTEGER) AS in_sequence,
+          CAST(p_partkey % 5 = 4 OR contains(p_type, '{SERVICE}') AS INTEGER) AS names_service FROM part""",
+)
 register(
     "e8_contains_search",
     lambda s, d: derived(s, d).where("PageSequence IS NOT NULL").select("Sequence", "contains_search_regex", "contains_search_n"),
@@ -129,6 +157,21 @@ register(
     """SELECT page_id, CASE WHEN page_id % 3 <> 0 THEN url END AS link,
        CAST(coalesce(page_id % 3 <> 0 AND contains(url, 'example.org'), false) AS INTEGER) AS exit_to_service FROM pages""",
 )
+
+
+def e11_every(spark, sf):
+    url = F.when(F.col("page_id") % 4 == 1, F.concat(F.lit(f"https://{SERVICE}/"), F.col("page_id"))).otherwise(F.col("url"))
+    kind = F.when(F.col("page_id") % 3 == 0, "breadcrumbClicked").otherwise("External Link Clicked")
+    link = E.final_external_link(F.concat(F.lit("EVENT<:<"), kind, F.lit("<:<"), url))
+    return I.table(spark, sf, "pages").select("page_id", E.flag(link.contains(SERVICE)).alias("exit_to_service"))
+
+
+register(
+    "e11_every_exit",
+    e11_every,
+    None,
+    f"""SELECT page_id, CAST(page_id % 3 <> 0 AND (page_id % 4 = 1 OR contains(url, '{SERVICE}')) AS INTEGER) AS exit_to_service FROM pages""",
+)
 simple("e11_exit_to_service", "exit_to_assessed_service", sql="0 AS exit_to_assessed_service")
 
 
