@@ -130,6 +130,35 @@ WITH rows AS (
 SELECT conv_id, perspective, part, count(*) AS n_messages, string_agg(head || body, '' ORDER BY pos) AS text,
   coalesce(string_agg(start::BIGINT || ':' || length(body), ',' ORDER BY pos) FILTER (WHERE own), '') AS mask
 FROM spans GROUP BY conv_id, perspective, part""",
+    # All pairs that share a shingle, so this is brute force.
+    "op6_near_duplicates": r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents WHERE doc_id IS NOT NULL
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) < 2 THEN [words] ELSE
+    list_transform(range(1, len(words)), lambda i: words[i:i + 1]) END) AS shingle
+  FROM docs WHERE len(words) > 0
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), numbers AS (
+  SELECT shingle, row_number() OVER () AS number FROM (SELECT shingle FROM shingles GROUP BY shingle HAVING count(*) > 1)
+), coded AS (
+  SELECT doc_id, number FROM shingles JOIN numbers USING (shingle)
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM coded a JOIN coded b ON a.number = b.number AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * i >= 80 * (x.n + y.n - i)
+), ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT DISTINCT a AS node, a AS other FROM ways UNION SELECT r.node, b FROM reach r JOIN ways ON a = r.other
+), components AS (
+  SELECT node, min(other) AS component FROM reach GROUP BY node
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component, doc_id) AS component_id, coalesce(component, doc_id) = doc_id AS kept
+FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN components ON node = doc_id""",
     "op9_urls": f"""
 WITH rows AS (
   SELECT page_id, {_HOST} AS host, coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path,
