@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from wayfare.llm.bytewords import LOWER, buffer_of, hashes, in_bytes, rolled, spans
-from wayfare.llm.tables import columns, in_slices, maybe_among, text_keys
+from wayfare.llm.tables import columns, maybe_among, text_keys
 from wayfare.operators.positions import with_position
 from wayfare.session import cut_lineage
 
@@ -155,12 +155,12 @@ def _full(texts: DataFrame, size: int) -> DataFrame:
                     batch.column("rep").take(pa.array(own, pa.int64())),
                     pa.array([len(sets[at]) for at in own], pa.int64()),
                     pa.array([sketch(sets[at]).tobytes() for at in own], pa.binary()),
-                    pa.array([sets[at].astype("<u8").tobytes() for at in own], pa.binary()),
+                    pa.array([sets[at].astype(np.int64) for at in own], pa.list_(pa.int64())),
                 ],
                 ["rep", "n", "registers", "shingles"],
             )
 
-    found = texts.select("rep", "key", "key2", "text").mapInArrow(run, "rep long, n long, registers binary, shingles binary")
+    found = texts.select("rep", "key", "key2", "text").mapInArrow(run, "rep long, n long, registers binary, shingles array<long>")
     return found.dropDuplicates(["rep"])
 
 
@@ -171,10 +171,6 @@ def _beside(pairs: DataFrame, full: DataFrame, *names: str) -> DataFrame:
     return pairs
 
 
-def _sets(data: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(value.as_buffer(), "<u8") for value in data]
-
-
 def _room(n: str, other: str, common: Column, limit: int) -> Column:
     """Whether sets of two sizes with so many shingles in common reach ``limit`` hundredths."""
     return common * 100 >= (F.col(n) + F.col(other) - common) * limit
@@ -194,19 +190,11 @@ def _verified(pairs: DataFrame, full: DataFrame, limit: int) -> DataFrame:
             return pd.Series([], dtype=bool)
         return pd.Series(possible(stack(ra), stack(rb), na.to_numpy(float), nb.to_numpy(float), limit / 100))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_slices(batches, 256):
-            keep = []
-            for at, (left, right) in enumerate(zip(_sets(batch.column("a_shingles")), _sets(batch.column("b_shingles")))):
-                shared = len(np.intersect1d(left, right, assume_unique=True))
-                if shared * 100 >= (len(left) + len(right) - shared) * limit:
-                    keep.append(at)
-            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
-
     # The sizes alone rule many pairs out.
     near = _beside(pairs, full, "n", "registers").where(_room("a_n", "b_n", F.least("a_n", "b_n"), limit))
     hopeful = near.where(room("a_registers", "b_registers", "a_n", "b_n")).select("a", "b")
-    return _beside(cut_lineage(hopeful), full, "shingles").mapInArrow(run, "a long, b long")
+    both = _beside(cut_lineage(hopeful), full, "n", "shingles").withColumn("shared", F.size(F.array_intersect("a_shingles", "b_shingles")))
+    return both.where(_room("a_n", "b_n", F.col("shared"), limit)).select("a", "b")
 
 
 def _held(reps: DataFrame, full: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -217,16 +205,9 @@ def _held(reps: DataFrame, full: DataFrame) -> tuple[DataFrame, DataFrame]:
     smaller of their ``shared`` in common, and at most the smaller of ``common`` besides rare shingles.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_slices(batches, 256):
-            sets = _sets(batch.column("shingles"))
-            salts = [xxhash.xxh64_intdigest(cluster.to_bytes(8, "little", signed=True)) for cluster in batch.column("cluster").to_pylist()]
-            keys = [(found ^ np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15) for found, salt in zip(sets, salts)]
-            own = np.repeat(batch.column("rep").to_numpy(), list(map(len, keys)))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys or [np.empty(0, np.uint64)]).astype(np.int64)), pa.array(own)], ["key", "rep"])
-
     of = full.select("rep", "n", "shingles").join(reps, "rep")
-    keys = cut_lineage(of.select("rep", "cluster", "shingles").mapInArrow(run, "key long, rep long"))
+    keys = of.select("rep", "cluster", F.explode("shingles").alias("shingle"))
+    keys = cut_lineage(keys.select(F.xxhash64("cluster", "shingle").alias("key"), "rep"))
     counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1")
     found = cut_lineage(keys.join(counts, "key"))
     per = found.groupBy("rep").agg(F.count(F.lit(1)).alias("shared"), F.count_if(F.col("docs") > RARE).alias("common"))
