@@ -177,6 +177,13 @@ def test_trie_of_nothing_and_of_turnless_conversations(spark):
     assert found_trie(spark.createDataFrame(rows, schema)) == trie_by_hand(rows)
 
 
+def test_band_without_values_of_its_own(spark):
+    """A lone path longer than a band adds nothing to the band's top; its leaf counts above all the same."""
+    rows = [(600, turn, "user", f"t{turn}") for turn in range(100)] + [(c, turn, "user", f"t{turn}") for c in (607, 608) for turn in range(7)]
+    found = found_trie(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert found == trie_by_hand(rows) and found[(600, 0)][3] == 1
+
+
 def test_runs_of_long_conversations(spark, monkeypatch):
     monkeypatch.setattr(prefix_trie, "RUN", 4)
     monkeypatch.setattr(prefix_trie, "JOINED", 3)

@@ -238,8 +238,10 @@ def roll_up(nodes: DataFrame, ways: DataFrame, names: list[str], height: int = H
     tall = stride * height
     if deepest < tall:
         return inside
+    # A top without values in its own band stays: what lies below it passes through.
     tops = nodes.where(F.col("depth") % tall == 0).select(*NODE, "depth", "conv_id")
-    tops = cut_lineage(tops.join(inside, NODE))
+    zeros = (F.coalesce(name, F.lit(0).cast("long")).alias(name) for name in names)
+    tops = cut_lineage(tops.join(inside, NODE, "left").select(*NODE, "depth", "conv_id", *zeros))
     whole = roll_up(tops, ways, names, height, tall)
     whole = cut_lineage(tops.drop(*names).join(whole, NODE))
     # What lies below a band reaches its nodes through the tops of the next one.
