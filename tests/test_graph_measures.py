@@ -63,6 +63,37 @@ def test_components_and_diameter(spark):
     assert graph_paths.diameter(edges, rows_per_batch=3 * len(largest)).first().diameter == want
 
 
+def test_searches_that_bounds_leave_open_run_in_tasks(spark, monkeypatch):
+    """On short distances the held search gives what rounds of bounds give, whatever is left open."""
+    pairs = drawn(4, 400, 900)
+    edges = edges_of(spark, pairs)
+    want = max(max(far.values()) for far in searched(pairs).values())
+    assert graph_paths.diameter(edges, most_links=0).first().diameter == want
+    searches = []
+    held = graph_paths.farthest
+    monkeypatch.setattr(graph_paths, "farthest", lambda *given: searches.append(held(*given)) or searches[-1])
+    assert graph_paths.diameter(edges, rows_per_batch=1).first().diameter == want
+    assert len(searches) == 1
+
+
+@pytest.mark.parametrize("both_ways", [True, False])
+def test_sources_of_components_side_by_side(monkeypatch, both_ways):
+    """Parts of one graph, sources in batches and hubs in pieces give what single sources give."""
+    draw = np.random.default_rng(6)
+    pairs = np.concatenate([draw.integers(0, 50, (200, 2)), draw.integers(60, 70, (20, 2)), [[80, at] for at in range(81, 300)]])
+    pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+    pairs = np.unique(np.concatenate([pairs, pairs[:, ::-1]]) if both_ways else pairs, axis=0)
+    links = centrality._sorted_links(310, pairs[:, 0], pairs[:, 1], None, draw.integers(1, 4, 310))
+    monkeypatch.setattr(centrality, "TABLE", 50 * 7)
+    monkeypatch.setattr(centrality, "ROWS", 16)
+    for by_paths in (True, False):
+        want = sum(centrality.from_source(links, source, by_paths) for source in range(310))
+        found = np.zeros(310)
+        at, value = centrality.by_component(links).passed(np.arange(310), both_ways, by_paths)
+        found[at] = value
+        assert np.allclose(found, want)
+
+
 def test_long_path_and_giant_star(spark):
     path = spark.range(2_000).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     star = spark.range(2_001, 102_000).select(F.lit(500_000).cast("long").alias("a"), F.col("id").alias("b"))
