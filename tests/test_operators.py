@@ -265,3 +265,14 @@ def test_date_range_prunes_partitions(spark):
     path = I.written_sessions(spark, SF)
     plan = N.read_sessions(spark, path, "2024-01-10", "2024-01-12", ["2024-01-11"])._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(date" in plan
+
+
+def test_taxon_joins_send_nothing_through_the_driver(spark):
+    rows = [("a", "A", None), ("b", "B", "a"), ("c", "C", "b"), ("d", "D", "missing"), ("e", "E", "f"), ("f", "F", "e"), (None, "N", "a")]
+    tree = spark.createDataFrame(rows, "content_id string, title string, parent_content_id string").withColumn("base_path", F.lit("/"))
+    wanted = spark.createDataFrame([("c",), ("e",)], "content_id string")
+    for given in (None, wanted):
+        table = taxonomy.taxon_table(tree, given)
+        assert "Broadcast" not in table._jdf.queryExecution().executedPlan().toString()
+        found = {r["content_id"]: (r["level"], r["level1_parent"]) for r in table.collect()}
+        assert found["c"] == (3, "A") and found["e"] == (2, "F")
