@@ -222,3 +222,18 @@ def test_tails(spark):
         z = points[row["i"]]
         want = None if z is None else pytest.approx(math.erfc(z / math.sqrt(2)), rel=1e-12, abs=1e-300)
         assert row["p"] == want and row["q"] == want
+
+
+def test_eigenvector_of_two_loose_groups(spark):
+    """Groups tied by one link converge slowly: an error, unless the vector after so many steps is asked for."""
+    pairs = [(a, b, 1) for low in (0, 6) for a in range(low, low + 6) for b in range(a + 1, low + 6)] + [(5, 6, 1), (11, 12, 1)]
+    edges = edges_of(spark, pairs)
+    with pytest.raises(RuntimeError):
+        graph_paths.eigenvector_centrality(edges, max_iter=7, tolerance=1e-12)
+    found = values(graph_paths.eigenvector_centrality(edges, max_iter=7, tolerance=1e-12, must_converge=False))
+    near = np.eye(13)
+    for a, b, _ in pairs:
+        near[a, b] = near[b, a] = 1
+    want = np.linalg.matrix_power(near, 7) @ np.ones(13)
+    want /= np.linalg.norm(want)
+    assert found == pytest.approx({f"n{at:04d}": value for at, value in enumerate(want)})
