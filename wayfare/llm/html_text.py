@@ -201,6 +201,11 @@ class Lines(HTMLParser):
         end = COMMENT_END.search(self.rawdata, i + 2) if self.rawdata.startswith("<!--", i) else TAG_END.search(self.rawdata, i)
         return end.end() if end else len(self.rawdata)
 
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        """Some parsers meet comments here first; one they find no end of ends by the rule above."""
+        end = super().parse_comment(i, report)
+        return end if end >= 0 else self.parse_html_declaration(i)
+
     def handle_data(self, data: str) -> None:
         if not self.open[-1].inline:
             self.parts.append(data)
