@@ -634,6 +634,32 @@ def test_hard_groups_beside_brute_force(spark, monkeypatch):
     assert sum(compared) < 0.25 * len(rows) * (len(rows) - 1) / 2
 
 
+def test_copies_just_below_the_limit_meet_by_their_differences(spark, monkeypatch):
+    """Each far copy has room for a link with every other copy by sizes and common shingles."""
+    draw = random.Random(11)
+    fresh = lambda n: [f"u{draw.randrange(10**12)}" for _ in range(n)]
+    core = fresh(147)
+    less = lambda n: [core[at] for at in sorted(draw.sample(range(147), 147 - n))]
+    rows = [(0, " ".join(core))]
+    rows += [(1 + i, " ".join(less(7))) for i in range(80)]
+    rows += [(100 + i, " ".join(less(17) + fresh(16))) for i in range(80)]
+    for i in range(8):  # links of each other and of a copy, not of the original
+        gone = draw.sample(core, 17)
+        texts = [[w for w in core if w not in gone[:k]] for k in (7, 17, 17)]
+        rows += [(200 + 3 * i + j, " ".join(text + fresh(16 if j else 0))) for j, text in enumerate(texts)]
+    compared = []
+    verified = near_duplicates._verified
+
+    def counting(pairs, *others):
+        compared.append(pairs.count())
+        return verified(pairs, *others)
+
+    monkeypatch.setattr(near_duplicates, "_verified", counting)
+    found = near_duplicates.cluster(spark.createDataFrame(rows, "doc_id long, text string"), words=1).select("doc_id", "component_id").collect()
+    assert sorted(map(tuple, found)) == components_by_hand(rows)
+    assert compared[-1] < 0.2 * len(rows) * (len(rows) - 1) / 2
+
+
 def test_two_texts_of_one_id_are_two_documents(spark):
     one, other = (" ".join(f"{p}{i}" for i in range(50)) for p in "ab")
     rows = [(1, one), (1, other), (2, one + " z"), (3, other + " z"), (4, "c d e")]

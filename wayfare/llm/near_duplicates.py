@@ -5,12 +5,12 @@ which merge by maximum and collide with a chance near the Jaccard similarity. Re
 into bands; documents that agree in a band are candidates. The likelihood of all registers and both
 set sizes drops hopeless candidates, and the full sets confirm the rest.
 
-In every bucket one member is compared with the others and components are joined; most buckets are one
-component then. In the others, members outside the bucket's largest component are compared with the
-rest, but only where their sizes and the shingles that many members of the cluster have leave room
-for a link (see ``_held``); shingles that few members have lead from one to the others directly. The
-edits of a copy are such shingles, so a copy that is no link of the original is mostly done with by
-counts, and no bucket is compared pair by pair.
+In every bucket one member, the pivot, is compared with the others and components are joined; most
+buckets are one component then. In the others, the original of edited copies becomes the pivot. What
+is still apart is compared by differences: each member is the set of shingles by which it differs from
+the pivot, and two sets are links just when they have enough of those in common (see ``_by_difference``).
+A member that is no link of the pivot needs many, so that its rarest ones lead to its few possible
+partners, and no bucket is compared pair by pair.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, LIMIT = 1.001, 20.0, 65535
 #: A pair is dropped unseen only where its registers are e**20 times likelier below the limit.
 DOUBT = 20.0
-#: A shingle of at most so many members of a cluster leads to them directly.
+#: A shingle of at most so many members of a cluster is no common one of theirs.
 RARE = 8
 
 
@@ -197,24 +197,22 @@ def _verified(pairs: DataFrame, full: DataFrame, limit: int) -> DataFrame:
     return both.where(_room("a_n", "b_n", F.col("shared"), limit)).select("a", "b")
 
 
-def _held(reps: DataFrame, full: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rep, n, shared, common) of ``reps`` (rep, cluster), and (key, rep) of their rare shingles.
+def _held(reps: DataFrame, full: DataFrame) -> DataFrame:
+    """(rep, n, shared, common) of ``reps`` (rep, cluster).
 
     ``shared`` counts the shingles that another member of the cluster has too, ``common`` those that
-    more than ``RARE`` members have. The others of the shared ones are rare. Two sets have at most the
-    smaller of their ``shared`` in common, and at most the smaller of ``common`` besides rare shingles.
+    more than ``RARE`` members have. Two sets have at most the smaller of their ``shared`` in common.
     """
 
     of = full.select("rep", "n", "shingles").join(reps, "rep")
     keys = of.select("rep", "cluster", F.explode("shingles").alias("shingle"))
     keys = cut_lineage(keys.select(F.xxhash64("cluster", "shingle").alias("key"), "rep"))
     counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1")
-    found = cut_lineage(keys.join(counts, "key"))
+    found = keys.join(counts, "key")
     per = found.groupBy("rep").agg(F.count(F.lit(1)).alias("shared"), F.count_if(F.col("docs") > RARE).alias("common"))
     none = F.lit(0).cast("long")
     sized = of.select("rep", "n").join(per, "rep", "left")
-    sized = sized.select("rep", "n", F.coalesce("shared", none).alias("shared"), F.coalesce("common", none).alias("common"))
-    return cut_lineage(sized), found.where(F.col("docs") <= RARE).select("key", "rep")
+    return cut_lineage(sized.select("rep", "n", F.coalesce("shared", none).alias("shared"), F.coalesce("common", none).alias("common")))
 
 
 def _are_stars(links: DataFrame) -> bool:
@@ -261,47 +259,55 @@ def _joined(members: DataFrame, load: Callable[[DataFrame], DataFrame], limit: i
     if going.isEmpty():
         return links
     tied = components(going.select(F.col("a").alias("a"), F.col("rep").alias("b")))
-    sized, rare = _held(tied.select(F.col("node").alias("rep"), F.col("component").alias("cluster")), full)
+    sized = _held(tied.select(F.col("node").alias("rep"), F.col("component").alias("cluster")), full)
     # The member with the largest part in common with others, the original of edited copies, is the better pivot.
     central = going.join(sized, "rep").groupBy("bucket").agg(F.max(F.struct(F.col("common") / F.col("n"), "rep")).alias("most"))
-    again = going.join(central.select("bucket", F.col("most.rep").alias("pivot")), "bucket").where("rep <> pivot")
+    central = cut_lineage(central.select("bucket", F.col("most.rep").alias("pivot")))
+    again = going.join(central, "bucket").where("rep <> pivot")
     again = again.select(F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b")).distinct()
     again = cut_lineage(again.join(stars, ["a", "b"], "left_anti"))
     links = _with(links, cut_lineage(_verified(again, full, limit)))
     going = _open(going.select("bucket", "a", "rep"), links)
-    pairs = cut_lineage(_by_bucket(going, sized, limit).unionByName(_by_rare(going, sized, rare, limit)).distinct())
+    pairs = cut_lineage(_by_difference(going.join(central, "bucket"), sized, full, limit))
     known = stars.unionByName(again)
     return _with(links, cut_lineage(_verified(cut_lineage(pairs.join(known, ["a", "b"], "left_anti")), full, limit)))
 
 
-def _by_bucket(going: DataFrame, sized: DataFrame, limit: int) -> DataFrame:
-    """(a, b): members outside a bucket's largest component and any others of it that ``common`` leaves room for.
+def _by_difference(going: DataFrame, sized: DataFrame, full: DataFrame, limit: int) -> DataFrame:
+    """(a, b): members of a bucket, of different components, whose differences from its pivot leave room for a link.
 
-    Two members meet in the first of the buckets they share only.
+    The differences D are the shingles that just one of a set and its pivot has. Two sets with one pivot
+    differ by the sizes of both D less twice the number that D have in common, so they are links if and
+    only if ``2 (100 + limit) common >= w + w'``, where ``w = (100 + limit) |D| - (100 - limit) n``. A member
+    that is no link of the pivot, ``far``, asks any partner for some: no set's w is below the pivot's, and
+    its own sum with that is above 0. One of any two components is far. By the least w among its possible
+    partners each member has a number of differences it must share, so it meets all partners within a
+    prefix of them, the rarest first; ``left`` are those from the shared one on. Differences that no other
+    member has are left out.
     """
-    of = going.groupBy("rep").agg(F.collect_list("bucket").alias("buckets"))  # at most BANDS
-    going = going.join(of, "rep").withColumn("before", F.filter("buckets", lambda bucket: bucket < F.col("bucket"))).drop("buckets")
-    going = cut_lineage(going.join(sized.drop("shared"), "rep").where(_room("n", "common", F.col("common"), limit)))
-    least = going.groupBy("bucket").agg(F.min("n").alias("least"))
-    apart = going.where("component <> largest").join(least, "bucket")
-    # The most similar partner the bucket could hold has just the common shingles.
-    apart = apart.withColumn("partner", F.greatest("least", "common")).where(_room("n", "partner", F.col("common"), limit))
-    apart = cut_lineage(apart.select("bucket", F.col("rep").alias("x"), F.col("component").alias("own"), F.col("n").alias("nx"), F.col("common").alias("cx"), F.col("before").alias("had")))
-    both = F.least("cx", "common")
-    met = going.join(apart, "bucket").where((F.col("component") != F.col("own")) & _room("nx", "n", both, limit) & ~F.arrays_overlap("before", "had"))
-    return met.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b"))
-
-
-def _by_rare(going: DataFrame, sized: DataFrame, rare: DataFrame, limit: int) -> DataFrame:
-    """(a, b): members of different components that share rare shingles, where those and ``common`` leave room."""
-    reps = sized.where(_room("n", "shared", F.col("shared"), limit)).join(going.select("rep", "component").distinct(), "rep")
-    rows = cut_lineage(rare.join(reps.select("rep", "component"), "rep"))
-    other = rows.select("key", F.col("rep").alias("b"), F.col("component").alias("other"))
-    met = rows.withColumnRenamed("rep", "a").join(other, "key").where("a < b AND component <> other")
-    met = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("rare"))
-    for side in ("a", "b"):
-        met = met.join(sized.select(F.col("rep").alias(side), F.col("n").alias(f"n{side}"), F.col("common").alias(f"c{side}")), side)
-    return met.where(_room("na", "nb", F.least("ca", "cb") + F.col("rare"), limit)).select("a", "b")
+    unit = 100 + limit
+    own = going.where(F.col("rep") == F.col("pivot")).select("bucket", F.col("component").alias("own"))
+    groups = going.join(own, "bucket").where("rep <> pivot").select("pivot", "rep", "component", (F.col("component") != F.col("own")).alias("far"))
+    groups = cut_lineage(groups.distinct().join(sized.where(_room("n", "shared", F.col("shared"), limit)).select("rep"), "rep"))
+    groups = groups.join(groups.where("far").select("pivot").distinct(), "pivot", "left_semi")
+    both = groups.join(full.select("rep", "n", "shingles"), "rep").join(full.select(F.col("rep").alias("pivot"), F.col("shingles").alias("others")), "pivot")
+    both = both.withColumn("differences", F.concat(F.array_except("shingles", "others"), F.array_except("others", "shingles")))
+    weight = F.size("differences") * unit - F.col("n") * (100 - limit)
+    rows = cut_lineage(both.select("pivot", "rep", "component", "far", weight.alias("w"), F.explode("differences").alias("shingle")))
+    counts = rows.groupBy("pivot", "shingle").agg(F.count(F.lit(1)).alias("docs"), F.count_if("far").alias("apart"))
+    rows = rows.join(counts.where("docs > 1 AND apart > 0").drop("apart"), ["pivot", "shingle"])
+    lists = cut_lineage(rows.groupBy("pivot", "rep", "component", "far", "w").agg(F.sort_array(F.collect_list(F.struct("docs", "shingle"))).alias("held")))
+    least = lists.groupBy("pivot").agg(F.min("w").alias("least"), F.min(F.when(F.col("far"), F.col("w"))).alias("least_far"))
+    asked = F.ceil((F.col("w") + F.when(F.col("far"), F.col("least")).otherwise(F.col("least_far"))) / (2 * unit))
+    lists = lists.join(least, "pivot").withColumn("asked", F.greatest(asked, F.lit(1)).cast("int")).where(F.size("held") >= F.col("asked"))
+    prefix = F.posexplode(F.slice("held", F.lit(1), F.size("held") - F.col("asked") + 1)).alias("place", "of")
+    met = lists.select("pivot", "rep", "component", "far", "w", F.size("held").alias("size"), prefix)
+    met = cut_lineage(met.select("pivot", F.col("of.shingle").alias("shingle"), "rep", "component", "far", "w", (F.col("size") - F.col("place")).alias("left")))
+    other = met.select("pivot", "shingle", *(F.col(name).alias(f"other_{name}") for name in ("rep", "component", "far", "w", "left")))
+    room = F.least("left", "other_left") * (2 * unit) >= F.col("w") + F.col("other_w")
+    once = ~F.col("other_far") | (F.col("rep") < F.col("other_rep"))
+    pairs = met.where("far").join(other, ["pivot", "shingle"]).where(room & once & (F.col("component") != F.col("other_component")))
+    return pairs.select(F.least("rep", "other_rep").alias("a"), F.greatest("rep", "other_rep").alias("b")).distinct()
 
 
 def _with(links: DataFrame, found: DataFrame) -> DataFrame:
