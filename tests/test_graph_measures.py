@@ -237,3 +237,23 @@ def test_eigenvector_of_two_loose_groups(spark):
     want = np.linalg.matrix_power(near, 7) @ np.ones(13)
     want /= np.linalg.norm(want)
     assert found == pytest.approx({f"n{at:04d}": value for at, value in enumerate(want)})
+
+
+def rows_of_joins(plan) -> list[int]:
+    """Output rows of every join of an executed plan."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return rows_of_joins(plan.executedPlan())
+    if "QueryStage" in plan.nodeName():
+        return rows_of_joins(plan.plan())
+    below = [n for at in range(plan.children().size()) for n in rows_of_joins(plan.children().apply(at))]
+    own = [plan.metrics().apply("numOutputRows").value()] if "Join" in plan.nodeName() else []
+    return own + below
+
+
+def test_transitivity_joins_make_no_more_rows_than_edges(spark):
+    pairs = [(a, b, 1) for a, b in itertools.combinations(range(40), 2)]
+    frame = graph.transitivity(edges_of(spark, pairs))
+    row = frame.collect()[0]
+    assert (row.triangles, row.triples, row.transitivity) == (9880, 40 * 39 * 38 // 2, 1.0)
+    made = rows_of_joins(frame._jdf.queryExecution().executedPlan())
+    assert made and max(made) <= len(pairs)
