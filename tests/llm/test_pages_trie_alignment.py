@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import time
+import tracemalloc
 import zlib
 from bisect import bisect_left
 from collections import Counter
@@ -261,6 +262,20 @@ def test_alignment_of_odd_texts(spark, chunk_bytes):
     assert alignment.align(frame.where("false"), *alignment.vocabularies()).count() == 0
 
 
+def test_alignment_of_a_chunk_holds_few_units_at_once():
+    draw = np.random.default_rng(5)
+    texts = [" ".join(f"w{at}" for at in draw.integers(0, 3000, 200)) for _ in range(2000)]
+    units = alignment.Units(*alignment.vocabularies())
+    first = alignment._chunk_row(units, list(range(2000)), texts)
+    tracemalloc.start()
+    again = alignment._chunk_row(units, list(range(2000)), texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [list(again[name]) for name in ("codes", "docs", "n_links")] == [list(first[name]) for name in ("codes", "docs", "n_links")]
+    # 400,000 units: a few numbers for each, never rows of counts or all strings and pairs at once.
+    assert peak < 100 * 400_000
+
+
 def test_gallop_and_overlaps():
     draw = np.random.default_rng(3)
     for _ in range(50):

@@ -31,9 +31,10 @@ from wayfare.session import cut_lineage
 #: UTF-8 bytes of the texts of one chunk; a longer text is a chunk of its own.
 CHUNK_BYTES = 4 << 20
 #: A worker forgets the units it has aligned beyond so many, or so many bytes of them.
-REMEMBERED, REMEMBERED_BYTES = 300_000, 16 << 20
-#: New units are aligned so many at a time, or so many bytes of them.
-AT_ONCE, BYTES_AT_ONCE = 1 << 16, 1 << 20
+REMEMBERED, REMEMBERED_BYTES = 200_000, 16 << 20
+#: Texts are cut into units, and new units aligned, so many bytes at a time or so many units; a chunk's
+#: documents meet their pairs so many units at a time. A longer text goes alone.
+AT_ONCE, BYTES_AT_ONCE = 1 << 15, 1 << 19
 #: A unit: spaces after white space do not begin another.
 UNIT = re.compile(f" [^ ]*(?:(?<=[{SPACE}]) +[^ ]*)*")
 #: A pair of ids as one number, and a unit's pair.
@@ -252,46 +253,77 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 def _summed(sizes: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Sums over ranges of ``values`` that follow each other."""
-    totals = np.concatenate([np.zeros((1, *values.shape[1:]), np.int64), np.cumsum(values, axis=0)])
+    totals = np.concatenate([[0], np.cumsum(values)])
     stops = np.cumsum(sizes)
     return totals[stops] - totals[stops - sizes]
 
 
+def _ranges(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that follow each other, of at most ``most`` in ``sizes``; a larger row comes alone."""
+    start, total = 0, 0
+    for at, size in enumerate(sizes):
+        if at > start and total + size > most:
+            yield start, at
+            start, total = at, 0
+        total += size
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def _numbered(units: Units, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """How many units each text has, and the numbers of all; units not met before are aligned."""
+    parts = []
+    for start, stop in _ranges([len(text or "") for text in texts], BYTES_AT_ONCE):
+        found = [UNIT.findall(" " + text) if text else [] for text in texts[start:stop]]
+        units.learn([unit for unit in dict.fromkeys(chain.from_iterable(found)) if unit not in units.numbers])
+        parts.append(_csr([list(map(units.numbers.__getitem__, each)) for each in found]))
+    sizes, numbers = map(np.concatenate, zip(*parts))
+    return sizes, numbers
+
+
 def _chunk_row(units: Units, ids: list[int | None], texts: list[str | None]) -> dict:
     """What ``CHUNK`` names, of the documents of one chunk."""
-    found = [UNIT.findall(" " + text) if text else [] for text in texts]
-    units.learn([unit for unit in dict.fromkeys(chain.from_iterable(found)) if unit not in units.numbers])
-    sizes, numbers = _csr([list(map(units.numbers.__getitem__, each)) for each in found])
-    bad = _summed(sizes, (~units.known[numbers]).astype(np.int64)) > 0
+    sizes, numbers = _numbered(units, texts)
+    bad = _summed(sizes, ~units.known[numbers]) > 0
     numbers, sizes = numbers[np.repeat(~bad, sizes)], np.where(bad, 0, sizes)
-    counts = _summed(sizes, units.counts[numbers])
-    shown = list(map(units.texts.__getitem__, numbers.tolist()))
-    stops = np.cumsum(sizes).tolist()
-    hashes = [hashlib.sha256(";".join(shown[start:stop]).encode()).hexdigest() if start < stop else "" for start, stop in zip([0, *stops], stops)]
-    held, local = np.unique(numbers, return_inverse=True)
+    stops = np.cumsum(sizes)
+    hashes = []
+    for start, stop in zip((stops - sizes).tolist(), stops.tolist()):
+        shown = ";".join(map(units.texts.__getitem__, numbers[start:stop].tolist()))
+        hashes.append(hashlib.sha256(shown.encode()).hexdigest() if start < stop else "")
+    held = np.flatnonzero(np.bincount(numbers, minlength=len(units.texts)))
     unit_sizes = units.sizes[held]
     at = _spread((np.cumsum(units.sizes) - units.sizes)[held], unit_sizes)
     codes, unit_pairs = np.unique(units.codes[at], return_inverse=True)
-    # Distinct units of each document, then its distinct pairs.
-    keys, doc_times = np.unique(np.repeat(np.arange(len(texts)), sizes) * max(1, len(held)) + local, return_counts=True)
-    doc, doc_units = np.divmod(keys, max(1, len(held)))
-    spread = unit_sizes[doc_units]
-    in_doc = unit_pairs[_spread((np.cumsum(unit_sizes) - unit_sizes)[doc_units], spread)]
-    pairs = np.sort(np.repeat(doc, spread) * max(1, len(codes)) + in_doc)
-    pairs = pairs[np.diff(pairs, prepend=-1) > 0] % max(1, len(codes))
+    unit_starts, place = np.cumsum(unit_sizes) - unit_sizes, np.zeros(len(units.texts), np.int64)
+    place[held] = np.arange(len(held))
+    docs = np.zeros(len(codes), np.int64)
+    of_docs = []
+    for start, stop in _ranges(sizes.tolist(), AT_ONCE):
+        # Distinct units of each document, then its distinct pairs.
+        own = sizes[start:stop]
+        local = place[numbers[stops[start] - own[0] : stops[stop - 1]]]
+        keys, doc_times = np.unique(np.repeat(np.arange(stop - start), own) * max(1, len(held)) + local, return_counts=True)
+        doc, doc_units = np.divmod(keys, max(1, len(held)))
+        spread = unit_sizes[doc_units]
+        in_doc = unit_pairs[_spread(unit_starts[doc_units], spread)]
+        pairs = np.sort(np.repeat(doc, spread) * max(1, len(codes)) + in_doc)
+        docs += np.bincount(pairs[np.diff(pairs, prepend=-1) > 0] % max(1, len(codes)), minlength=len(codes))
+        of_docs.append((np.bincount(doc, minlength=stop - start), doc_units, doc_times))
+    doc_sizes, doc_units, doc_times = map(np.concatenate, zip(*of_docs))
     row = {
         "doc_id": ids,
         "groups_sha256": hashes,
         "codes": codes,
-        "docs": np.bincount(pairs, minlength=len(codes)),
+        "docs": docs,
         "unit_sizes": _packed(unit_sizes),
         "unit_pairs": _packed(unit_pairs),
         "unit_times": _packed(units.times[at]),
-        "doc_sizes": _packed(np.bincount(doc, minlength=len(texts))),
+        "doc_sizes": _packed(doc_sizes),
         "doc_units": _packed(doc_units),
         "doc_times": _packed(doc_times),
     }
-    return row | dict(zip(COUNTS, counts.T))
+    return row | {name: _summed(sizes, units.counts[numbers, column]) for column, name in enumerate(COUNTS)}
 
 
 def chunked(docs: DataFrame, ranks_path: str, pattern: str, piece_path: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
