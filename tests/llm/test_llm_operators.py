@@ -451,6 +451,22 @@ def test_templates():
     assert shown[-3:] == [(1, "5"), (3, "km"), (0, "km")] and (0, "Éva") in shown and found.first.tolist()[-4:] == [len(shown) - 3, len(shown) - 3, len(shown) - 1, len(shown)]
 
 
+def test_ways_of_reading_share_the_search_for_words(monkeypatch):
+    calls = []
+    monkeypatch.setattr(contamination, "hashes", lambda *of, hashes=contamination.hashes: calls.append(1) or hashes(*of))
+    plain = ["Zoë Ünal paid 3.5 km, 1,000 kg. Then Ann × É ate 5 cm…", None, "", "5", "É .5", "ÀB Él él — “Ann Lee” 7", "日本"]
+    for texts, searches in ((plain, 1), ([*plain, "İ ΣΑΣ K"], 2)):
+        calls.clear()
+        found = list(contamination.readings(pa.array(texts)))
+        assert len(calls) == searches
+        for way, all_ in zip(contamination.WAYS, found, strict=True):
+            own = contamination.Templates(pa.array(texts), way)
+            assert all(np.array_equal(getattr(all_, name), getattr(own, name)) for name in ("first", "kinds", "hashes", "literal"))
+            for t, text in enumerate(texts):
+                alone = contamination.Templates(pa.array([text], pa.string()), way)
+                assert np.array_equal(all_.hashes[all_.first[t] : all_.first[t + 1]], alone.hashes)
+
+
 def test_contamination(spark):
     question = "A train leaves the station with 40 people and reaches Rome after 3 hours; how many people did Anna meet in Rome if 5 left?"
     items = [(1, question), (2, "too short"), (6, "Short as it is here"), (3, None), (4, ""), (None, question), (5, "an item that nobody ever wrote down in any of the documents at hand")]

@@ -47,9 +47,8 @@ UNITS = (
 WORD, NUMBER, NAME, UNIT = 0, 1, 2, 3
 _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
-_LETTER = np.zeros(256, bool)
-_LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
-_POINT = np.isin(np.arange(256), [44, 46])
+_INSIDE = _DIGIT.copy()
+_INSIDE[65:91] = _INSIDE[97:123] = _INSIDE[128:] = True
 #: Marks after which a capital letter is no sign of a name.
 _END = np.isin(np.arange(256), list(b".!?:;\n\r\"()[]|"))
 
@@ -59,54 +58,94 @@ def _hash_words(texts: list[str]) -> np.ndarray:
     return hashes(data, offsets[:-1], offsets[1:])
 
 
-class Templates:
-    """Canonical templates of a column of texts, one token array for all of them.
+class Words:
+    """Words of a column of texts and what tells their kinds, which all ways of reading share.
 
-    A token is a run of ASCII letters and digits and of other characters' UTF-8 bytes, save general
-    punctuation; points and commas between digits belong to the number. Units count as such after a
-    number only. A capitalised word (ASCII or Latin-1) is a name unless it begins a sentence; names
-    in a row are one slot. ``first[t]`` to ``first[t + 1]`` are the tokens of text ``t``. Other ways
-    of reading are those of ``WAYS``.
+    A word is a run of ASCII letters and digits and of other characters' UTF-8 bytes, save general
+    punctuation; points and commas between digits belong to the number. ``first[t]`` to
+    ``first[t + 1]`` are the words of text ``t``. Rare bytes are looked up by their places.
     """
 
-    def __init__(self, texts: pa.Array, way: int = OPENERS_ARE_WORDS) -> None:
-        raw, offsets = buffer_of(pc.utf8_lower(texts) if way == LITERAL else texts)
+    def __init__(self, texts: pa.Array) -> None:
+        self.raw, self.offsets = raw, offsets = buffer_of(texts)
         n = len(raw)
-        data = LOWER[raw]
-        before, after = np.zeros(n, np.uint8), np.zeros(n, np.uint8)
-        before[1:], after[: n - 1] = raw[:-1], raw[1:]
+        self.data = LOWER[raw]
         # Latin-1 capitals are C3 80..9E, their small letters 32 further on.
-        latin = (before == 0xC3) & (raw >= 0x80) & (raw <= 0x9E) & (raw != 0x97)
-        data[latin] += 32
-        inside = _DIGIT[raw] | _LETTER[raw]
+        latin = np.flatnonzero(raw[: max(0, n - 1)] == 0xC3)
+        second = raw[latin + 1]
+        latin = latin[(second >= 0x80) & (second <= 0x9E) & (second != 0x97)]
+        self.data[latin + 1] += 32
+        inside = _INSIDE[raw]
         # C2 xx are Latin-1 signs, E2 80 xx is general punctuation: dashes, quotes, ellipsis.
-        sign = (raw == 0xC2) | (before == 0xC2)
-        dash = (raw == 0xE2) & (after == 0x80)
-        sign |= dash
-        sign[1:] |= dash[:-1]
-        sign[2:] |= dash[:-2]
-        inside &= ~sign
-        inside |= _POINT[raw] & _DIGIT[before] & _DIGIT[after]
-        starts, ends, first = spans(inside, offsets)
+        sign = np.flatnonzero(raw == 0xC2)
+        dash = np.flatnonzero(raw[: max(0, n - 1)] == 0xE2)
+        dash = dash[raw[dash + 1] == 0x80]
+        signs = np.concatenate([sign, sign + 1, dash, dash + 1, dash + 2])
+        inside[signs[signs < n]] = False
+        points = np.flatnonzero((raw == 44) | (raw == 46))
+        between = points[(points > 0) & (points < n - 1)]
+        inside[between[_DIGIT[raw[between - 1]] & _DIGIT[raw[between + 1]]]] = True
+        self.starts, self.ends, self.first = starts, ends, first = spans(inside, offsets)
+        self.hashes = hashes(self.data, starts, ends)
+        #: Numbers hold digits and points only; a sentence opener stands first or behind an end mark.
+        digits = np.sort(np.concatenate([np.flatnonzero((raw >= 48) & (raw <= 57)), points]))
+        head = raw[starts]
+        may = np.flatnonzero(_DIGIT[head] | (head == 44) | (head == 46))
+        held = np.searchsorted(digits, ends[may]) - np.searchsorted(digits, starts[may])
+        self.numbers = may[held == ends[may] - starts[may]]
+        self.openers = np.zeros(len(starts), bool)
+        marks = np.flatnonzero(_END[raw])
+        after = np.searchsorted(starts, marks, "right")
+        marks, after = marks[(after > 0) & (after < len(starts))], after[(after > 0) & (after < len(starts))]
+        self.openers[after[marks >= ends[after - 1]]] = True
+        self.heads = first[:-1][first[:-1] < len(starts)]
+        self.openers[self.heads] = True
+        #: Words of two bytes or more with one capital, in front.
+        capital = np.concatenate([np.flatnonzero((raw >= 65) & (raw <= 90)), latin])
+        capital = capital[inside[capital]]
+        of = np.searchsorted(starts, capital, "right") - 1
+        single = np.bincount(of, minlength=len(starts)) == 1
+        front = of[starts[of] == capital]
+        self.capitalised = front[single[front] & (ends[front] - starts[front] > 1)]
+
+
+def readings(texts: pa.Array) -> Iterator[Templates]:
+    """The templates of the texts in each of ``WAYS``, from one search for their words.
+
+    In lower case they are searched again only where case changes more than ``Words`` knows.
+    """
+    words = Words(texts)
+    for way in WAYS:
+        if way == LITERAL:
+            lower = pc.utf8_lower(texts)
+            raw, offsets = buffer_of(lower)
+            if not (np.array_equal(raw, words.data) and np.array_equal(offsets, words.offsets)):
+                words = Words(lower)
+        yield Templates(texts, way, words)
+
+
+class Templates:
+    """Canonical templates of a column of texts, one token array for all of them.
+
+    Units count as such after a number only. A capitalised word (ASCII or Latin-1) is a name unless
+    it begins a sentence; names in a row are one slot. ``first[t]`` to ``first[t + 1]`` are the
+    tokens of text ``t``. Other ways of reading are those of ``WAYS``; a literal one takes words in
+    lower case.
+    """
+
+    def __init__(self, texts: pa.Array, way: int = OPENERS_ARE_WORDS, words: Words | None = None) -> None:
+        words = words or Words(pc.utf8_lower(texts) if way == LITERAL else texts)
+        raw, starts, ends, first, found = words.raw, words.starts, words.ends, words.first, words.hashes
         kinds = np.zeros(len(starts), np.int8)
-        found = hashes(data, starts, ends)
         if len(starts) and way != LITERAL:
-            other = np.concatenate([[0], np.cumsum(~(_DIGIT[raw] | _POINT[raw]))])
-            kinds[other[ends] == other[starts]] = NUMBER
-            capital = (raw >= 65) & (raw <= 90)
-            capital[:-1] |= latin[1:]
-            many = np.concatenate([[0], np.cumsum(capital)])
-            stops = np.concatenate([[0], np.cumsum(_END[raw])])
-            opens = np.zeros(len(starts), bool)
-            opens[1:] = stops[starts[1:]] > stops[ends[:-1]]
-            opens[first[:-1][first[:-1] < len(starts)]] = True
-            letters = ends - starts > 1
-            kinds[capital[starts] & (many[ends] - many[starts] == 1) & letters & (~opens | (way == ALL_ARE_NAMES))] = NAME
-            follows = np.zeros(len(starts), bool)
-            follows[1:] = kinds[:-1] == NUMBER
-            follows[first[:-1][first[:-1] < len(starts)]] = False
-            at = np.flatnonzero(follows & (kinds == WORD))
-            kinds[at[np.isin(found[at], _UNIT_HASHES)]] = UNIT
+            opens = words.openers
+            kinds[words.numbers] = NUMBER
+            names = words.capitalised
+            kinds[names if way == ALL_ARE_NAMES else names[~opens[names]]] = NAME
+            follows = words.numbers[words.numbers + 1 < len(starts)] + 1
+            follows = follows[kinds[follows] == WORD]
+            follows = np.setdiff1d(follows, words.heads, assume_unique=True)
+            kinds[follows[np.isin(found[follows], _UNIT_HASHES)]] = UNIT
             goes_on = np.zeros(len(starts), bool)
             goes_on[1:] = (kinds[1:] == NAME) & (kinds[:-1] == NAME) & ~opens[1:]
             keep = np.flatnonzero(~goes_on)
@@ -123,7 +162,7 @@ class Templates:
     def windows(self, length: int) -> tuple[np.ndarray, np.ndarray]:
         """(hash, text) of the windows of ``length`` tokens that lie in one text, text -1 elsewhere."""
         found = rolled(self.hashes, length) ^ self.way
-        text = np.searchsorted(self.first, np.arange(len(found)), "right") - 1
+        text = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))[: len(found)]
         text[self.first[text + 1] - np.arange(len(found)) < length] = -1
         return found, text
 
@@ -155,8 +194,7 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_bytes(batches):
             rows: list[tuple] = []
-            for way in WAYS:
-                all_ = Templates(batch.column("text"), way)
+            for way, all_ in zip(WAYS, readings(batch.column("text"))):
                 sizes = np.diff(all_.first)
                 for length in np.unique(np.minimum(sizes, WINDOW)):
                     if length < LEAST_TOKENS:
@@ -265,12 +303,14 @@ def find_in_texts(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_CO
         size = len(bits) << 6
         for batch in in_bytes(batches):
             rows: list[tuple] = []
-            for way in WAYS:
-                all_ = Templates(batch.column("text"), way)
+            for all_ in readings(batch.column("text")):
                 for length in lengths:
                     found, text = all_.windows(length)
-                    one, two = (bits[place >> np.uint64(6)] >> (place & np.uint64(63)) for place in _places(found, size))
-                    for at in np.flatnonzero((one & two & np.uint64(1)).astype(bool) & (text >= 0)):
+                    near = np.arange(len(found))
+                    for place in _places(found, size):
+                        place = place[near]
+                        near = near[(bits[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)]
+                    for at in near[text[near] >= 0]:
                         t = text[at]
                         rows.append((int(t), int(found[at].astype(np.int64)), int(at - all_.first[t]), all_.slots(at, length)))
             kinds_ = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string()))
