@@ -3,7 +3,8 @@
 Each stage takes the documents that the one before kept, written as Parquet and read again. All
 but the last return the columns of documents, extra ones included. Each row's own text decides, with
 or without a doc_id and whatever shares it: rows go in the pass that reads their text, or by doc_id
-and text together.
+and text together. All stages run on the same executors, so each bounds the batches of rows that
+their Python workers take.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from wayfare.llm import contamination, language, near_duplicates, packing, toxicity
 from wayfare.llm.tables import maybe_among, text_keys
-from wayfare.session import cut_lineage, scratch_path
+from wayfare.session import bound_batches, cut_lineage, scratch_path
 
 #: Probability of a toxic label from which a document is rejected.
 TOXIC = 0.3
@@ -38,11 +39,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Dictionaries come from the labelled languages of ``docs`` itself.
     """
+    bound_batches(spark)
     return language.drop(docs, language.fit(docs))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents at or above ``TOXIC``; learns from the labelled ones among ``docs``."""
+    bound_batches(spark)
     return toxicity.drop(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), TOXIC)
 
 
@@ -52,6 +55,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows without doc_id stay. Different texts under one doc_id are documents of their own; of those in
     one group, the one with the smallest set keys stays. Of rows equal in doc_id and text one stays.
     """
+    bound_batches(spark)
     found = cut_lineage(near_duplicates.cluster(docs.where("doc_id IS NOT NULL"), keyed=True))
     keys = [F.col("text_key").alias("key"), F.col("text_key2").alias("key2")]
     single = _without(docs, found.where("NOT leads").select("doc_id", *keys))
@@ -68,11 +72,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item, verbatim or with other numbers and names."""
+    bound_batches(spark)
     return _without(docs, contamination.find_in_texts(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, start, length, doc_tokens, ids, sequence_id, offset) of the pieces of all documents."""
+    bound_batches(spark)
     return packing.pack(docs, *packing.vocabulary(), most=SEQUENCE)
 
 

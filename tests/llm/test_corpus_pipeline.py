@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from wayfare.session import BATCH_BYTES
 
 SF = "/root/testdata/sf0.01"
 STAGES = dict(corpus_pipeline.STAGES)
@@ -104,3 +106,29 @@ def test_run(spark):
     whole = corpus_pipeline.run(spark, SF).select("doc_id", "start", "length").toPandas()
     key = ["doc_id", "start", "length"]
     assert step.sort_values(key).to_numpy().tolist() == whole.sort_values(key).to_numpy().tolist() and len(whole)
+
+
+def largest_batch(frame):
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64())], ["n"])
+
+    return frame.mapInArrow(run, "n long").agg(F.max("n")).first()[0]
+
+
+def test_stages_bound_the_batches_of_workers(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs, none = spark.range(0, 6000, 1, 1).select(F.repeat(F.lit("x"), 1500).alias("text")), documents(spark).where("false")
+    before = spark.conf.get(name, None)
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.unset(name)
+            stage(spark, none, SF)
+            assert largest_batch(docs) < 2 * BATCH_BYTES
+            spark.conf.set(name, str(BATCH_BYTES // 4))
+            stage(spark, none, SF)
+            assert spark.conf.get(name) == str(BATCH_BYTES // 4)
+    finally:
+        spark.conf.unset(name)
+        if before is not None:
+            spark.conf.set(name, before)
