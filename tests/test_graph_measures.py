@@ -94,6 +94,61 @@ def test_sources_of_components_side_by_side(monkeypatch, both_ways):
         assert np.allclose(found, want)
 
 
+def rows_taken(monkeypatch, run):
+    """What ``run`` gives, and how many rows of tables it takes, each times its length."""
+    taken, plain = [], np.take
+
+    def take(table, places, *given, **named):
+        taken.append(len(places) * table.shape[1] if table.ndim == 2 else 0)
+        return plain(table, places, *given, **named)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(np, "take", take)
+        return run(), sum(taken)
+
+
+def in_order(pairs):
+    """Links both ways, nodes in falling order of their numbers of links."""
+    n = int(pairs.max()) + 1
+    pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+    pairs = np.unique(np.concatenate([pairs, pairs[:, ::-1]]), axis=0)
+    rank = np.argsort(np.argsort(-np.bincount(pairs[:, 0], minlength=n), kind="stable"))
+    pairs = rank[pairs]
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+    return centrality._sorted_links(n, pairs[:, 0], pairs[:, 1], None, np.zeros(0))
+
+
+@pytest.mark.parametrize("shape", ["short", "long", "apart"])
+def test_longest_distance_beside_single_searches(shape):
+    """Whatever is known of the longest distance, the searches side by side give it."""
+    draw = np.random.default_rng(8)
+    pairs = draw.integers(0, 300, (1500, 2))
+    if shape == "long":
+        pairs = np.concatenate([pairs, [[at, at + 1] for at in range(299, 320)], [[7, 330], [330, 331]]])
+    if shape == "apart":
+        pairs = np.concatenate([pairs, pairs[:200] + 300])
+    links = in_order(pairs)
+    n = len(links.first) - 1
+    plain = centrality.Links(links.first, links.to, None, np.ones(n, np.int64))
+    far = np.array([sum(1 for _ in centrality._levels(plain, at)) for at in range(n)])
+    for at_once in (n, 70):
+        for most in range(far.max() + 1):
+            searches, found = centrality.Searches(links), most
+            for low in range(0, n, at_once):
+                found = searches.longest(np.arange(low, min(n, low + at_once)), found)
+            assert found == far.max()
+
+
+def test_longest_distance_takes_few_rows(monkeypatch):
+    """When the longest distance is known, far fewer rows are taken than there are links in each round."""
+    draw = np.random.default_rng(9)
+    links = in_order(draw.integers(0, 4_000, (80_000, 2)))
+    sources = np.arange(0, 64)
+    most = centrality.Searches(links).longest(np.arange(len(links.first) - 1), 0)
+    found, taken = rows_taken(monkeypatch, lambda: centrality.Searches(links).longest(sources, most))
+    assert found == most and taken < len(links.to)
+
+
 def test_long_path_and_giant_star(spark):
     path = spark.range(2_000).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     star = spark.range(2_001, 102_000).select(F.lit(500_000).cast("long").alias("a"), F.col("id").alias("b"))
