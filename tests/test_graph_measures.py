@@ -149,6 +149,31 @@ def test_longest_distance_takes_few_rows(monkeypatch):
     assert found == most and taken < len(links.to)
 
 
+def test_sources_side_by_side_take_few_rows(monkeypatch):
+    """Rows are taken once a distance there and back where many cells are met, not for the first steps; shares are as of single sources."""
+    draw = np.random.default_rng(10)
+    links = in_order(draw.integers(0, 4_000, (80_000, 2)))
+    links = centrality.Links(links.first, links.to, None, draw.integers(1, 4, 4_000))
+    sources = draw.choice(4_000, 16, replace=False)
+    for by_paths in (True, False):
+        many = centrality._SideBySide(links, True)
+        found, taken = rows_taken(monkeypatch, lambda: many.passed(sources, by_paths))
+        assert np.allclose(found, sum(centrality.from_source(links, source, by_paths) for source in sources), rtol=1e-12)
+        assert taken < 3 * len(sources) * len(links.to)
+
+
+@pytest.mark.parametrize("widest", [centrality.MOST_CELLS, 0])
+def test_numbers_of_paths_that_outgrow_their_types(monkeypatch, widest):
+    """Layers of 20 nodes, each tied to the next: 20 ** 9 paths, by single cells and by rows."""
+    monkeypatch.setattr(centrality, "MOST_CELLS", widest)
+    pairs = [(20 * at + a, 20 * at + 20 + b) for at in range(10) for a in range(20) for b in range(20)]
+    links = in_order(np.array(pairs + [(0, 220), (220, 221)]))
+    links = centrality.Links(links.first, links.to, None, np.ones(222, np.int64))
+    for by_paths in (True, False):
+        found = centrality._SideBySide(links, True).passed(np.arange(222), by_paths)
+        assert np.allclose(found, sum(centrality.from_source(links, at, by_paths) for at in range(222)), rtol=1e-12)
+
+
 def test_long_path_and_giant_star(spark):
     path = spark.range(2_000).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     star = spark.range(2_001, 102_000).select(F.lit(500_000).cast("long").alias("a"), F.col("id").alias("b"))
